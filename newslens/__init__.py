@@ -2,8 +2,9 @@
 
 from pyspark import cloudpickle as _cloudpickle
 
-from newslens import schemas
+
 from newslens.functions.sentiment import Lexicon, Model, transformers_model
+from newslens import rules, schemas
 from newslens.operators import clean, extract, listing, mentions
 from newslens.plans.articles import build_articles, visits
 from newslens.plans.confidence import confidence_index, sentence_mentions

@@ -71,7 +71,7 @@ def _of_rules(df: DataFrame, rules: Sequence[SiteRule]) -> DataFrame:
     return df.filter(F.col("source").isin([r.source for r in rules]) & F.col("html").isNotNull())
 
 
-def _by_rule(rules: Sequence[SiteRule], value: Callable[[SiteRule], Column]) -> Column:
+def by_rule(rules: Sequence[SiteRule], value: Callable[[SiteRule], Column]) -> Column:
     """``value`` of the rule whose source the row has."""
     cases = [F.when(F.col("source") == r.source, value(r)) for r in rules]
     return F.coalesce(*cases)
@@ -130,7 +130,7 @@ def article_links(found: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> D
         "source",
         F.col("page_no").cast("int").alias("page_no"),
         F.col("pos").cast("int").alias("pos"),
-        _by_rule(rules, url).alias("url"),
+        by_rule(rules, url).alias("url"),
     )
 
 
@@ -177,13 +177,13 @@ def articles(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFr
         pieces(pages, rules)
         .select(
             "source",
-            F.coalesce("title", _by_rule(rules, lambda r: F.lit(r.title_default))).alias("title"),
+            F.coalesce("title", by_rule(rules, lambda r: F.lit(r.title_default))).alias("title"),
             F.col("url").alias("link"),
             body().alias("content"),
-            _by_rule(rules, parsed_date).alias("published_date"),
+            by_rule(rules, parsed_date).alias("published_date"),
             "stamps",
         )
-        .withColumn("date_text", _by_rule(rules, date_text))
+        .withColumn("date_text", by_rule(rules, date_text))
         .filter(
             ~F.col("source").isin(strict)
             | (F.col("title").isNotNull() & F.col("published_date").isNotNull())

@@ -6,9 +6,14 @@ row and the whole text take part. ``oracles.py`` holds the same definitions as S
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newslens import Model
+
 AS_OF = "2025-04-01 00:00:00"
 PORTALS = ("Kathmandu Post", "Setopati", "OnlineKhabar")
 
@@ -39,7 +44,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             "source",
             F.substring("t", 1, 40).alias("title"),
-            F.concat("doc_id", F.lit("")).alias("_id"),
+            F.col("doc_id").cast("string").alias("_id"),
             F.concat(
                 "t",
                 _every(3, ". K.P. Sharma Oli of the UML met CPN-UML"),
@@ -112,3 +117,147 @@ def walk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "url",
         F.when(F.col("page_id") % 13 != 5, _day(F.lit(90) - back)).alias("published_date"),
     )
+
+
+def _escaped(text):
+    for plain, mark in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return text
+
+
+def _portal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread over the portals, newest first in walking order."""
+    docs = table(spark, sf_dir, "documents")
+    last = docs.agg(F.max("doc_id")).scalar()
+    doc = F.col("doc_id")
+    back = F.floor(doc * 90 / (last + 1)) - doc % 7
+    kind = doc % 3
+    return docs.select(
+        "doc_id",
+        F.element_at(F.array(*map(F.lit, PORTALS)), (kind + 1).cast("int")).alias("source"),
+        F.when(kind == 0, F.concat(F.lit("https://kathmandupost.com/politics/"), "doc_id"))
+        .when(kind == 1, F.concat(F.lit("https://en.setopati.com/political/"), "doc_id"))
+        .otherwise(F.concat(F.lit("https://english.onlinekhabar.com/"), "doc_id", F.lit(".html")))
+        .alias("url"),
+        F.expr("cast(doc_id div 60 + 1 as int)").alias("page_no"),
+        F.expr("cast((doc_id % 60) div 3 as int)").alias("pos"),
+        _day(F.lit(90) - back).alias("day"),
+        F.when(doc % 17 == 3, 404).otherwise(200).alias("status"),
+        _ascii("text").alias("t"),
+    )
+
+
+def portal_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of the portal rows; some links come again two pages later."""
+    rows = _portal_rows(spark, sf_dir).select("doc_id", "source", "page_no", "pos", "url")
+    again = rows.filter("doc_id % 5 = 1").withColumns(
+        {"page_no": F.col("page_no") + 2, "pos": F.col("pos") + 20}
+    )
+    return rows.unionByName(again).drop("doc_id")
+
+
+def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages in the layout of each portal: a paragraph per line of the document."""
+    dated = F.col("doc_id") % 19 != 4
+    title = _escaped(F.substring("t", 1, 40))
+    lines = F.transform(
+        F.split(_escaped(F.col("t")), "\n"), lambda line: F.concat(F.lit("<p>"), line, F.lit("</p>"))
+    )
+    body = F.array_join(lines, "\n")
+    printed = F.when(dated, F.date_format("day", "MMMM d, yyyy")).otherwise("soon")
+    minute = F.when(dated, F.date_format("day", "yyyy-MM-dd HH:mm")).otherwise("soon")
+    iso = F.when(dated, F.date_format("day", "yyyy-MM-dd'T'HH:mm:ss")).otherwise("soon")
+    kathmandu = F.concat(
+        F.lit('<div class="row"><div class="col-sm-8"><h1>'), title,
+        F.lit('</h1></div></div><div class="updated-time">Published at : '), printed,
+        F.lit('</div><section class="story-section">'), body, F.lit("</section>"),
+    )
+    setopati = F.concat(
+        F.lit('<span class="news-big-title">'), title,
+        F.lit('</span><span class="pub-date">Published: '), minute,
+        F.lit('</span><div class="editor-box">'), body, F.lit("</div>"),
+    )
+    khabar = F.concat(
+        F.lit('<meta property="article:published_time" content="'), iso,
+        F.lit('+05:45"><h1 class="ok-single-post-title">'), title,
+        F.lit('</h1><div class="ok-single-post-content">'), body, F.lit("</div>"),
+    )
+    kind = F.col("doc_id") % 3
+    layout = F.when(kind == 0, kathmandu).when(kind == 1, setopati).otherwise(khabar)
+    page = F.concat(
+        F.lit("<!DOCTYPE html><html><body><p>menu</p>"), layout, F.lit("<p>end</p></body></html>")
+    )
+    return _portal_rows(spark, sf_dir).select("source", "url", "status", page.alias("html"))
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The real pages inside each portal's listing frame, with article links around them."""
+    number = F.col("page_id").cast("string")
+    k = F.concat(
+        F.lit('<div id="news-list">'), "html",
+        F.lit('<article class="article-image"><a href="/politics/'), number,
+        F.lit('"><h3>x</h3></a></article><article class="article-image">'
+              '<a href="https://kathmandupost.com/money/'), number,
+        F.lit('"><h3>y</h3></a><a href="/none"><h4>z</h4></a></article></div>'),
+    )
+    s = F.concat(
+        F.lit('<div class="extra"><a href="/political/1"></a></div>'
+              '<div class="row bishesh news-cat-list"><div class="items">'), "html",
+        F.lit('<a href="https://en.setopati.com/political/'), number,
+        F.lit('/">a</a><a href="https://en.setopati.com/political/page">b</a></div></div>'),
+    )
+    o = F.concat(
+        F.lit('<div class="ok-news-post ltr-post">'), "html",
+        F.lit('<a class="ok-post-image" href=" https://english.onlinekhabar.com/'), number,
+        F.lit('.html "></a><a class="ok-post-image" href="https://english.onlinekhabar.com/z">'
+              '</a></div><div class="ok-news-post ltr-post">'
+              '<a class="ok-post-image" href="https://elsewhere.example.org/"></a></div>'),
+    )
+    kind = F.col("page_id") % 3
+    return table(spark, sf_dir, "pages").select(
+        F.element_at(F.array(*map(F.lit, PORTALS)), (kind + 1).cast("int")).alias("source"),
+        F.expr("cast(page_id div 3 + 1 as int)").alias("page_no"),
+        F.when(kind == 0, k).when(kind == 1, s).otherwise(o).alias("html"),
+    )
+
+
+def date_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sites print as dates, by portal, without the HTML around it."""
+    number = F.substring_index("link", "/", -1).cast("bigint")
+    at = F.col("published_date")
+    minute, second = F.date_format(at, "yyyy-MM-dd HH:mm"), F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    printed = F.date_format(at, "MMMM d, yyyy")
+    junk = number % 5 == 4
+    return news(spark, sf_dir).select(
+        "link",
+        F.element_at(F.array(*map(F.lit, PORTALS)), (number % 3 + 1).cast("int")).alias("source"),
+        F.when(junk, F.array(F.lit("soon")))
+        .when(number % 3 == 1, F.array(F.concat(F.lit("Published : "), F.when(number % 2 == 0, minute).otherwise(second))))
+        .when(number % 2 == 0, F.array(F.lit("2025-13-45"), F.concat(F.replace(second, F.lit(" "), F.lit("T")), F.lit("+05:45"))))
+        .otherwise(F.array(F.lit("today"), F.concat(F.date_format(at, "yyyy-MM-dd"), F.lit("T10:00+05:45"))))
+        .alias("stamps"),
+        F.when(junk & (number % 2 == 0), F.array(F.lit("later")))
+        .when(number % 3 == 0, F.array(F.concat(F.lit("Updated. Published at : "), printed)))
+        .otherwise(F.array(F.lit("x"), F.concat(F.lit("Tuesday, "), F.date_format(at, "MMM d, yyyy"))))
+        .alias("long_dates"),
+    )
+
+
+def word_model() -> Model:
+    """The default lexicon as an external model."""
+
+    def load():
+        def predict(texts):
+            return [
+                ("positive", 1.0) if "good" in t.lower()
+                else ("negative", 1.0) if "bad" in t.lower()
+                else ("neutral", 0.0)
+                for t in texts
+            ]
+
+        return predict
+
+    return Model(load)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
