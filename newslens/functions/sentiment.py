@@ -67,7 +67,8 @@ class Model:
             for batch in batches:
                 yield score_batch(predict, batch, on_error)
 
-        return run(text)
+        # keeps a filter on the label from running the model a second time
+        return run.asNondeterministic()(text)
 
 
 def score_batch(predict: Predict, texts: pd.Series, on_error: str) -> pd.DataFrame:

@@ -31,7 +31,7 @@ def with_dates(df: DataFrame) -> DataFrame:
 
 def dated(df: DataFrame) -> DataFrame:
     """Only rows with a readable date."""
-    return with_dates(df).na.drop(subset=["published_date"])
+    return with_dates(df).filter(F.col("published_date").isNotNull())
 
 
 def with_day(df: DataFrame) -> DataFrame:

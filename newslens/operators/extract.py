@@ -2,6 +2,9 @@
 
 One pass over the pages for all sites: the Python step picks the site's rule by the row's
 source and returns the raw pieces; fallbacks, dates, joining and filtering are expressions.
+
+The Python steps are declared nondeterministic. They are not, but otherwise a filter on their
+result is pushed below them with a second copy of the step, and every page is parsed twice.
 """
 
 from __future__ import annotations
@@ -86,6 +89,7 @@ def pieces(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFram
         rows = [one(s, h) or {} for s, h in zip(source, html)]
         return pd.DataFrame(rows, columns=["title", "stamps", "long_dates", "paragraphs"])
 
+    read = read.asNondeterministic()
     return (
         _of_rules(pages, rules)
         .withColumn("_p", read("source", "html"))
@@ -102,8 +106,11 @@ def links(listing_pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> D
     def read(source: pd.Series, html: pd.Series) -> pd.Series:
         return pd.Series([one(s, h) or [] for s, h in zip(source, html)], dtype=object)
 
-    found = _of_rules(listing_pages, rules).select(
-        "source", "page_no", F.posexplode(read("source", "html")).alias("pos", "url")
+    read = read.asNondeterministic()
+    found = (
+        _of_rules(listing_pages, rules)
+        .withColumn("_links", read("source", "html"))
+        .select("source", "page_no", F.posexplode("_links").alias("pos", "url"))
     )
     return article_links(found, rules)
 
@@ -136,8 +143,9 @@ def article_links(found: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> D
 
 def body(paragraphs: Column | str = "paragraphs") -> Column:
     """Trimmed, non-empty paragraphs, one per line."""
-    parts = F.transform(F.col(paragraphs) if isinstance(paragraphs, str) else paragraphs, F.trim)
-    return F.array_join(F.filter(parts, lambda p: p != ""), "\n")
+    # a bare F.trim would be handed the position as the characters to trim
+    trimmed = F.transform(paragraphs, lambda p: F.trim(p))
+    return F.array_join(F.filter(trimmed, lambda p: p != ""), "\n")
 
 
 def parsed_date(rule: SiteRule) -> Column:

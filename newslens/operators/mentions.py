@@ -40,9 +40,17 @@ def count_columns(full_text: Column, rules: Sequence[CountRule]) -> dict[str, Co
 
 
 def named(sentence: Column, patterns: Sequence[EntityPattern]) -> Column:
-    """Array of the entities whose pattern is found."""
+    """One array place per pattern: its entity where the pattern is found, else null.
+
+    Explode it and drop the nulls; compacting the array first would leave generated code.
+    """
     hits = [F.when(text.matches(sentence, p.pattern, p.needs), p.entity) for p in patterns]
-    return F.array_compact(F.array(*hits))
+    return F.array(*hits)
+
+
+def per_entity(rows: DataFrame, *keep: Column | str) -> DataFrame:
+    """One row per entity in ``entities``, as column ``entity`` before ``keep``."""
+    return rows.select(F.explode("entities").alias("entity"), *keep).filter("entity IS NOT NULL")
 
 
 def names_any(sentence: Column, patterns: Sequence[EntityPattern]) -> Column:

@@ -23,9 +23,13 @@ def with_periods(dated: DataFrame, days: int = 30) -> DataFrame:
 
     The newest date is a scalar subquery over one column.
     """
-    newest = dated.agg(F.max("published_date")).scalar()
-    date = F.col("published_date")
-    edge, far = newest - n_days(days), newest - n_days(2 * days)
+    newest = F.max("published_date")
+    edges = dated.agg(
+        F.struct(
+            (newest - n_days(days)).alias("recent"), (newest - n_days(2 * days)).alias("previous")
+        )
+    ).scalar()
+    date, edge, far = F.col("published_date"), edges["recent"], edges["previous"]
     return dated.withColumns({"recent": date >= edge, "previous": (date < edge) & (date >= far)})
 
 
@@ -35,19 +39,15 @@ def sentence_mentions(
     scorer: Lexicon | Model = Lexicon(),
     max_chars: int = MAX_CHARS,
 ) -> DataFrame:
-    """(link, published_date, pos, sentence, entity, label): one row per sentence and entity.
+    """(entity, link, published_date, pos, sentence, label): one row per sentence and entity.
 
     Each sentence is scored before it is multiplied by the entities it names.
     """
     seen = text.clipped(F.col("sentence"), max_chars)
-    return (
-        mentions.naming_sentences(clean.dated(articles), patterns, "link", "published_date")
-        .withColumn("label", scorer.score(seen)["label"])
-        .select(
-            "link", "published_date", "pos", "sentence",
-            F.explode("entities").alias("entity"), "label",
-        )
-    )
+    rows = mentions.naming_sentences(
+        clean.dated(articles), patterns, "link", "published_date"
+    ).withColumn("label", scorer.score(seen)["label"])
+    return mentions.per_entity(rows, "link", "published_date", "pos", "sentence", "label")
 
 
 def labelled_counts(
@@ -78,9 +78,9 @@ def labelled_counts(
         rows = rows.groupBy("seen", "entities").agg(*[F.sum(c).alias(c) for c in _COUNTS])
         if score_partitions:
             rows = rows.repartition(score_partitions, "seen")
+    rows = rows.withColumn("label", scorer.score(F.col("seen"))["label"])
     return (
-        rows.withColumn("label", scorer.score(F.col("seen"))["label"])
-        .select(F.explode("entities").alias("entity"), "label", *_COUNTS)
+        mentions.per_entity(rows, "label", *_COUNTS)
         .groupBy("entity", "label")
         .agg(*[F.sum(c).alias(c) for c in _COUNTS])
     )

@@ -40,3 +40,13 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     df.write.partitionBy(*partition_by).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return stored.select(*df.columns)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out an input that has fewer splits than the cluster has cores.
+
+    For per-row work that costs more than moving the row, such as parsing HTML or matching
+    long texts. An input with enough splits, so any large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import Model
+from newslens.sources import workspace
 
 AS_OF = "2025-04-01 00:00:00"
 PORTALS = ("Kathmandu Post", "Setopati", "OnlineKhabar")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return workspace.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _every(n: int, suffix: str):
