@@ -1,7 +1,8 @@
 """Scans and sinks.
 
 Parquet is the main form. CSV is for exchange: a file with line breaks inside quotes cannot
-be split, so one CSV file is one task.
+be split, so one CSV file is one task. CSV does not tell empty text from none: both come
+back as null.
 """
 
 from __future__ import annotations

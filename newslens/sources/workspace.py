@@ -15,13 +15,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own; a cluster must
     name one, as its executors do not see the driver's disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="newslens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="newslens-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
