@@ -22,9 +22,14 @@ UNSEEN = frozenset(("script", "style", "template"))
 _PART = re.compile(r"([#.]?)([\w-]+)|\[([\w-]+)(?:=([^\]]*))?\]")
 
 
-def selector(text: str) -> list[list[tuple]]:
-    """``tag.class#id[attr=value]`` steps, a space for "somewhere below"."""
-    return [_PART.findall(step) for step in text.split()]
+def wanted(*selectors: str) -> dict[str, list[tuple[str, list]]]:
+    """``tag.class#id[attr=value]`` steps, a space for "somewhere below", by their last tag."""
+    by_tag: dict[str, list[tuple[str, list]]] = {}
+    for text in dict.fromkeys(selectors):
+        steps = [_PART.findall(step) for step in text.split()]
+        kind, name = steps[-1][0][:2]
+        by_tag.setdefault("" if kind else name, []).append((text, steps))
+    return by_tag
 
 
 def _fits(step: list[tuple], tag: str, attrs: dict) -> bool:
@@ -63,11 +68,11 @@ class Page(HTMLParser):
     the line. Otherwise an element lasts until its own end tag or that of an outer one.
     """
 
-    def __init__(self, html: str, selectors: list[str], rendered: bool = False):
+    def __init__(self, html: str, by_tag: dict, rendered: bool = False):
         super().__init__(convert_charrefs=True)
         self.rendered = rendered
-        self.steps = [(text, selector(text)) for text in selectors]
-        self.found: dict[str, list[Found]] = {text: [] for text in selectors}
+        self.by_tag, self.any_tag = by_tag, by_tag.get("", [])
+        self.found: dict[str, list[Found]] = {t: [] for group in by_tag.values() for t, _ in group}
         self.open: list[tuple[str, dict, list[Found]]] = []
         self.depth: dict[str, int] = {}
         self.listening: list[Found] = []
@@ -103,7 +108,7 @@ class Page(HTMLParser):
             self.tell("\0")
         given = {name: value or "" for name, value in attrs}
         fitting = []
-        for text, steps in self.steps:
+        for text, steps in [*self.by_tag.get(tag, ()), *self.any_tag]:
             if _fits(steps[-1], tag, given) and self.below(steps[:-1]):
                 fitting.append(self.note(text, given))
         if tag not in VOID:

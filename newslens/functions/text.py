@@ -82,7 +82,8 @@ def count_matches(
 
 def variant_pattern(variants: Iterable[str]) -> str:
     """Whole-word alternation of literal spellings."""
-    return r"\b(?:" + "|".join(re.escape(v) for v in variants) + r")\b"
+    words = "|".join(map(re.escape, variants))
+    return rf"\b(?:{words})\b"
 
 
 def sentences(text: Column) -> Column:

@@ -19,51 +19,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import dates
-from newslens.functions.html import Page
+from newslens.functions.html import Page, wanted
 from newslens.rules import SITE_RULES, SiteRule
 
 _PIECES = "title string, stamps array<string>, long_dates array<string>, paragraphs array<string>"
 
 
-def _read_article(rule: SiteRule, html: str) -> dict:
-    wanted = [*rule.title, rule.body, *rule.long_dates, *(s for g in rule.stamps for s in g)]
-    page = Page(html, list(dict.fromkeys(wanted)), rule.rendered)
-    heading = page.first(*rule.title)
-    stamps = []
-    for group in rule.stamps:
-        element = page.first(*group)
-        if element is not None:
-            # metadata carries its value as content, time elements as datetime
-            value = element.attrs.get("content") if len(group) > 1 else None
-            value = value or element.attrs.get("datetime", "").strip()
-            stamps.append(value or element.text(rule.rendered))
-    long_dates = [page.first(s) for s in rule.long_dates]
-    return {
-        "title": heading.text(rule.rendered) if heading else None,
-        "stamps": stamps,
-        "long_dates": [d.text(rule.rendered) for d in long_dates if d],
-        "paragraphs": [p.text(rule.rendered) for p in page.found[rule.body]],
-    }
-
-
-def _read_links(rule: SiteRule, html: str) -> list[str]:
-    page = Page(html, [rule.links] + ([rule.links_per] if rule.links_per else []))
-    found = page.found[rule.links]
-    if rule.links_per:
-        found = [
-            next((f for f in found if box in f.around), None) for box in page.found[rule.links_per]
-        ]
-    hrefs = [(f.parent if rule.link_from_parent else f.attrs).get("href", "") for f in found if f]
-    return [urljoin(rule.link_base, h) if h and rule.link_base else h for h in hrefs]
-
-
-def _each(read: Callable, rules: Sequence[SiteRule]) -> Callable:
-    """Apply ``read`` with the rule of each row's source; None for pages that cannot be read."""
-    by_source = {rule.source: rule for rule in rules}
+def _article_reader(rule: SiteRule) -> Callable[[str], dict]:
+    parts = wanted(
+        *rule.title, rule.body, *rule.long_dates, *(s for group in rule.stamps for s in group)
+    )
+
+    def read(html: str) -> dict:
+        page = Page(html, parts, rule.rendered)
+        heading = page.first(*rule.title)
+        stamps = []
+        for group in rule.stamps:
+            element = page.first(*group)
+            if element is not None:
+                # metadata carries its value as content, time elements as datetime
+                value = element.attrs.get("content") if len(group) > 1 else None
+                value = value or element.attrs.get("datetime", "").strip()
+                stamps.append(value or element.text(rule.rendered))
+        long_dates = [page.first(s) for s in rule.long_dates]
+        return {
+            "title": heading.text(rule.rendered) if heading else None,
+            "stamps": stamps,
+            "long_dates": [d.text(rule.rendered) for d in long_dates if d],
+            "paragraphs": [p.text(rule.rendered) for p in page.found[rule.body]],
+        }
+
+    return read
+
+
+def _link_reader(rule: SiteRule) -> Callable[[str], list[str]]:
+    parts = wanted(rule.links, *([rule.links_per] if rule.links_per else []))
+
+    def read(html: str) -> list[str]:
+        page = Page(html, parts)
+        found = page.found[rule.links]
+        if rule.links_per:
+            boxes = page.found[rule.links_per]
+            found = [next((f for f in found if box in f.around), None) for box in boxes]
+        elements = [f.parent if rule.link_from_parent else f.attrs for f in found if f]
+        hrefs = [attrs.get("href", "") for attrs in elements]
+        return [urljoin(rule.link_base, h) if h and rule.link_base else h for h in hrefs]
+
+    return read
+
+
+def _each(reader: Callable, rules: Sequence[SiteRule]) -> Callable:
+    """Read with the rule of each row's source; None for pages that cannot be read."""
+    by_source = {rule.source: reader(rule) for rule in rules}
 
     def one(source: str, html: str):
         try:
-            return read(by_source[source], html)
+            return by_source[source](html)
         except AssertionError:  # the parser's way to reject broken declarations
             return None
 
@@ -82,7 +93,7 @@ def by_rule(rules: Sequence[SiteRule], value: Callable[[SiteRule], Column]) -> C
 
 def pieces(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFrame:
     """Adds the raw parts of each article page and drops its HTML."""
-    one = _each(_read_article, rules)
+    one = _each(_article_reader, rules)
 
     @F.pandas_udf(_PIECES)
     def read(source: pd.Series, html: pd.Series) -> pd.DataFrame:
@@ -100,7 +111,7 @@ def pieces(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFram
 
 def links(listing_pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFrame:
     """Listing pages (source, page_no, html) to their article links in page order."""
-    one = _each(_read_links, rules)
+    one = _each(_link_reader, rules)
 
     @F.pandas_udf("array<string>")
     def read(source: pd.Series, html: pd.Series) -> pd.Series:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import dates
+from newslens.sources.workspace import measured
 
 ORDER = ("source", "page_no", "pos")
 
@@ -50,18 +51,20 @@ def first_seen(listing: DataFrame) -> DataFrame:
     )
 
 
-def _first_pages(listing: DataFrame) -> DataFrame:
-    return listing.groupBy("source", "url").agg(F.min("page_no").alias("page_no"))
-
-
 def not_on_earlier_page(listing: DataFrame) -> DataFrame:
     """Drop addresses seen on an earlier page; repeats within a page stay.
 
-    The join key includes the page, which spreads an address that is on every page.
+    Only addresses that are on several pages take part in the join.
     """
     _require(listing, *ORDER, "url")
-    return listing.join(_first_pages(listing), ["source", "url", "page_no"], "left_semi").select(
-        "source", "page_no", "pos", "url"
+    pages = listing.groupBy("source", "url").agg(
+        F.min("page_no").alias("_first"), F.max("page_no").alias("_last")
+    )
+    repeated = measured(pages.filter("_first < _last").drop("_last"), "repeated")
+    return (
+        listing.join(repeated, ["source", "url"], "left")
+        .filter(F.col("_first").isNull() | (F.col("page_no") == F.col("_first")))
+        .select("source", "page_no", "pos", "url")
     )
 
 
@@ -73,14 +76,25 @@ def until_exhausted(
     """Stop before the first page without a new address (a missing page has none).
 
     ``listing`` is the whole listing to read the stops from, where ``links`` is already
-    reduced; both share one aggregate with ``not_on_earlier_page``.
+    reduced.
     """
     _require(links, *ORDER, "url")
     walked = links if listing is None else listing
-    fresh = _first_pages(walked).select("source", "page_no").distinct()
-    following = fresh.select("source", (F.col("page_no") + 1).alias("page_no"))
-    ends = following.join(fresh, ["source", "page_no"], "left_anti")
-    return _before(links, ends, F.col("page_no"), lambda stop: F.col("page_no") < stop, sources)
+    fresh = walked.groupBy("source", "url").agg(F.min("page_no").alias("page_no"))
+    here, following = F.col("page_no"), F.col("page_no") + 1
+    marks = fresh.select(
+        "source",
+        F.inline(
+            F.array(
+                F.struct(here.alias("page_no"), F.lit(True).alias("has_new")),
+                F.struct(following.alias("page_no"), F.lit(False).alias("has_new")),
+            )
+        ),
+    )
+    ends = marks.groupBy("source", "page_no").agg(F.bool_or("has_new").alias("has_new"))
+    return _before(
+        links, ends.filter("NOT has_new"), here, lambda stop: F.col("page_no") < stop, sources
+    )
 
 
 def cutoff(
@@ -113,8 +127,8 @@ def _before(df, ends: DataFrame, at: Column, keep, sources: Sequence[str] | None
     """Filter ``df`` by the least ``at`` of ``ends`` within each source.
 
     For known sources the stops are one row, a scalar subquery: no join and no shuffle of
-    ``df``. Otherwise they are one row per source and joined without a hint, so that their
-    measured size decides between a broadcast and a sort-merge join with skew splitting.
+    ``df``. Otherwise they are one row per source, computed first and broadcast if few; many
+    are joined by a shuffle, where skew splitting takes care of a large source.
     """
     if sources is not None:
         names = list(sources)
@@ -126,5 +140,5 @@ def _before(df, ends: DataFrame, at: Column, keep, sources: Sequence[str] | None
             *[F.when(F.col("source") == s, stops[f"s{i}"]) for i, s in enumerate(names)]
         )
         return df.filter(F.col("source").isin(names)).filter(keep(stop))
-    stops = ends.groupBy("source").agg(F.min(at).alias("_stop"))
+    stops = measured(ends.groupBy("source").agg(F.min(at).alias("_stop")), "stops")
     return df.join(stops, "source", "left").filter(keep(F.col("_stop"))).drop("_stop")

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,6 +43,18 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     return stored.select(*df.columns)
 
 
+SMALL_ROWS = 100_000
+
+
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that should be small and count it; mark it for broadcast if it is.
+
+    Larger ones are left to a shuffle join, so the size never has to be guessed.
+    """
+    stored = written(df, name)
+    return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even out an input that has fewer splits than the cluster has cores.
 

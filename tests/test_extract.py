@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 import newslens as nl
-from newslens.functions.html import Page
+from newslens.functions.html import Page, wanted
 from newslens.sources.tables import fetched
 
 K, S, O = "Kathmandu Post", "Setopati", "OnlineKhabar"  # noqa: E741
@@ -131,9 +131,9 @@ def test_listing_links(spark):
 
 
 def test_page_reader_edges():
-    page = Page("<p>a<script>b</script>c<!-- d -->e &lt;f&gt; &eacute;<br/>g", ["p"], True)
+    page = Page("<p>a<script>b</script>c<!-- d -->e &lt;f&gt; &eacute;<br/>g", wanted("p"), True)
     assert [f.text(True) for f in page.found["p"]] == ["ace <f> é\ng"]
-    page = Page("</p></div><p>a</b>b</p>tail", ["p", "i"])
+    page = Page("</p></div><p>a</b>b</p>tail", wanted("p", "i"))
     assert [f.text(False) for f in page.found["p"]] == ["ab"]
     assert page.first("i", "p").text(False) == "ab" and page.first("i") is None
-    assert Page("", ["p"]).found == {"p": []}
+    assert Page("", wanted("p")).found == {"p": []}

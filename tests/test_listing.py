@@ -20,9 +20,12 @@ def places(df):
     return sorted((r.source, r.page_no, r.pos) for r in df.collect())
 
 
-@pytest.fixture(params=[None, ["s", "t", "u"]], ids=["any", "known"])
-def sources(request):
-    return request.param
+@pytest.fixture(params=["few", "many", "known"])
+def sources(request, monkeypatch):
+    """Known sources, or unknown ones on either side of the broadcast limit."""
+    if request.param == "many":
+        monkeypatch.setattr(nl.sources.workspace, "SMALL_ROWS", -1)
+    return ["s", "t", "u"] if request.param == "known" else None
 
 
 def test_cutoff_cases(spark, sources):
