@@ -58,9 +58,21 @@ def any_keyword(text: Column, keywords: Iterable[str]) -> Column:
     return held(text, lambda t: contains_any(t, words))
 
 
+_BOUNDED_WORD = re.compile(r"(?<!\\)\\b([a-z0-9]+)(?![a-z0-9?*+{])")
+
+
+def word_first(pattern: str) -> str:
+    """``\\bword`` as ``word(?<=\\bword)``: the same matches, found faster.
+
+    The engine then skips to the letters before it looks at the boundary, which is the
+    dearer test. Patterns with character classes are left alone.
+    """
+    return pattern if "[" in pattern else _BOUNDED_WORD.sub(r"\1(?<=\\b\1)", pattern)
+
+
 def unicode_pattern(pattern: str) -> str:
     """Word characters and spaces by Unicode, whatever the Java version's default is."""
-    return "(?U)" + pattern
+    return "(?U)" + word_first(pattern)
 
 
 def matches(text: Column, pattern: str, needs: Sequence[str] = ()) -> Column:
@@ -80,10 +92,25 @@ def count_matches(
     return hits
 
 
-def variant_pattern(variants: Iterable[str]) -> str:
-    """Whole-word alternation of literal spellings."""
-    words = "|".join(map(re.escape, variants))
-    return rf"\b(?:{words})\b"
+def word_pattern(words: str) -> str:
+    """The literal spelling as whole words."""
+    return rf"\b{re.escape(words)}\b"
+
+
+def telling(spellings: Iterable[str]) -> list[str]:
+    """Drop every spelling that holds another one as whole words: that one decides alone."""
+    every = list(dict.fromkeys(spellings))
+    return [
+        s for s in every if not any(o != s and re.search(word_pattern(o), s) for o in every)
+    ]
+
+
+def spelled(text: Column, spellings: Iterable[str]) -> Column:
+    """Any of the literal spellings as whole words.
+
+    One search per spelling, as a lone literal is found much faster than an alternation.
+    """
+    return reduce(or_, [matches(text, word_pattern(s), (s,)) for s in telling(spellings)])
 
 
 def sentences(text: Column) -> Column:

@@ -79,14 +79,10 @@ def naming_sentences(
 def variant_columns(variants: Sequence[Variants]) -> dict[str, Column]:
     """Per entity: does the title or the content hold one of its spellings?"""
     title, content = F.col("_title"), F.col("_content")
-
-    def either(v: Variants) -> Column:
-        pattern = text.variant_pattern(v.variants)
-        return text.matches(title, pattern, v.variants) | text.matches(
-            content, pattern, v.variants
-        )
-
-    return {v.entity: either(v) for v in variants}
+    return {
+        v.entity: text.spelled(title, v.variants) | text.spelled(content, v.variants)
+        for v in variants
+    }
 
 
 def variant_flags(
