@@ -38,8 +38,8 @@ def lenient(text: Column) -> Column:
 
 
 def after_label(text: Column, label: str = "Published at :") -> Column:
-    """The part behind the last label."""
-    return F.trim(F.substring_index(text, label, -1))
+    """The part behind the last label, its spaces evened out."""
+    return F.trim(F.regexp_replace(F.substring_index(text, label, -1), r"\s+", " "))
 
 
 def after_colon(text: Column) -> Column:

@@ -7,6 +7,7 @@ selectors collect the text that follows until they end.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 # Fixed values of the HTML standard.
@@ -48,12 +49,18 @@ def _fits(step: list[tuple], tag: str, attrs: dict) -> bool:
 
 
 class Found:
-    """One element that fits a selector."""
+    """One element that fits a selector; ``outer`` is the nearest such element around it."""
 
-    def __init__(self, attrs: dict, parent: dict, around: tuple):
-        self.attrs, self.parent, self.around = attrs, parent, around
+    def __init__(self, attrs: dict, parent: dict, outer: Found | None):
+        self.attrs, self.parent, self.outer = attrs, parent, outer
         self.pieces: list[str] = []
 
+    def around(self) -> Iterator[Found]:
+        outer = self.outer
+        while outer is not None:
+            yield outer
+            outer = outer.outer
+
     def text(self, rendered: bool) -> str:
         if not rendered:
             return "".join(piece.strip() for piece in self.pieces)
@@ -73,7 +80,7 @@ class Page(HTMLParser):
         self.rendered = rendered
         self.by_tag, self.any_tag = by_tag, by_tag.get("", [])
         self.found: dict[str, list[Found]] = {t: [] for group in by_tag.values() for t, _ in group}
-        self.open: list[tuple[str, dict, list[Found]]] = []
+        self.open: list[tuple[str, dict, int]] = []  # tag, attributes, listeners
         self.depth: dict[str, int] = {}
         self.listening: list[Found] = []
         self.text: list[str] = []
@@ -107,27 +114,30 @@ class Page(HTMLParser):
         if self.rendered and tag == "br":
             self.tell("\0")
         given = {name: value or "" for name, value in attrs}
-        fitting = []
+        parent = self.open[-1][1] if self.open else {}
+        outer = self.listening[-1] if self.listening else None
+        fitting = 0
         for text, steps in [*self.by_tag.get(tag, ()), *self.any_tag]:
             if _fits(steps[-1], tag, given) and self.below(steps[:-1]):
-                fitting.append(self.note(text, given))
+                outer = Found(given, parent, outer)
+                self.found[text].append(outer)
+                if tag not in VOID:
+                    self.listening.append(outer)
+                    fitting += 1
         if tag not in VOID:
             self.open.append((tag, given, fitting))
             self.depth[tag] = self.depth.get(tag, 0) + 1
-            self.listening.extend(fitting)
 
     def below(self, steps: list) -> bool:
         left = list(steps)
-        for tag, attrs, _ in reversed(self.open):
-            if left and _fits(left[-1], tag, attrs):
+        around = reversed(self.open)
+        while left:
+            tag, attrs, _ = next(around, (None, None, None))
+            if tag is None:
+                return False
+            if _fits(left[-1], tag, attrs):
                 left.pop()
-        return not left
-
-    def note(self, text: str, attrs: dict) -> Found:
-        parent = self.open[-1][1] if self.open else {}
-        around = tuple(f for _, _, fitting in self.open for f in fitting)
-        self.found[text].append(Found(attrs, parent, around))
-        return self.found[text][-1]
+        return True
 
     def handle_endtag(self, tag: str) -> None:
         self.flush()
@@ -137,8 +147,8 @@ class Page(HTMLParser):
         while self.depth.get(tag):
             name, _, fitting = self.open.pop()
             self.depth[name] -= 1
-            if fitting:
-                self.listening = [f for f in self.listening if f not in fitting]
+            if fitting:  # the last ones to start listening
+                del self.listening[-fitting:]
             if name == tag:
                 return
 

@@ -19,32 +19,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import dates
-from newslens.functions.html import Page, wanted
+from newslens.functions.html import Found, Page, wanted
 from newslens.rules import SITE_RULES, SiteRule
 
 _PIECES = "title string, stamps array<string>, long_dates array<string>, paragraphs array<string>"
 
 
 def _article_reader(rule: SiteRule) -> Callable[[str], dict]:
-    parts = wanted(
-        *rule.title, rule.body, *rule.long_dates, *(s for group in rule.stamps for s in group)
-    )
+    groups = [*rule.metadata, *((s,) for s in rule.stamps)]
+    parts = wanted(*rule.title, rule.body, *rule.long_dates, *(s for g in groups for s in g))
+
+    def value(element, attributes: tuple[str, ...]) -> str:
+        given = (element.attrs.get(a, "").strip() for a in attributes)
+        return next(filter(None, given), None) or element.text(rule.rendered)
 
     def read(html: str) -> dict:
         page = Page(html, parts, rule.rendered)
         heading = page.first(*rule.title)
-        stamps = []
-        for group in rule.stamps:
-            element = page.first(*group)
-            if element is not None:
-                # metadata carries its value as content, time elements as datetime
-                value = element.attrs.get("content") if len(group) > 1 else None
-                value = value or element.attrs.get("datetime", "").strip()
-                stamps.append(value or element.text(rule.rendered))
+        meta = [(page.first(*g), ("content", "datetime")) for g in rule.metadata]
+        marked = [(page.first(s), ("datetime",)) for s in rule.stamps]
         long_dates = [page.first(s) for s in rule.long_dates]
         return {
             "title": heading.text(rule.rendered) if heading else None,
-            "stamps": stamps,
+            "stamps": [value(element, names) for element, names in meta + marked if element],
             "long_dates": [d.text(rule.rendered) for d in long_dates if d],
             "paragraphs": [p.text(rule.rendered) for p in page.found[rule.body]],
         }
@@ -59,8 +56,11 @@ def _link_reader(rule: SiteRule) -> Callable[[str], list[str]]:
         page = Page(html, parts)
         found = page.found[rule.links]
         if rule.links_per:
-            boxes = page.found[rule.links_per]
-            found = [next((f for f in found if box in f.around), None) for box in boxes]
+            first: dict[int, Found] = {}
+            for link in found:
+                for box in link.around():
+                    first.setdefault(id(box), link)
+            found = [first.get(id(box)) for box in page.found[rule.links_per]]
         elements = [f.parent if rule.link_from_parent else f.attrs for f in found if f]
         hrefs = [attrs.get("href", "") for attrs in elements]
         return [urljoin(rule.link_base, h) if h and rule.link_base else h for h in hrefs]

@@ -51,8 +51,9 @@ class SiteRule:
     # article page
     title: tuple[str, ...]
     body: str
-    stamps: tuple[tuple[str, ...], ...] = ()  # groups; in each the first element found is read
-    long_dates: tuple[str, ...] = ()
+    metadata: tuple[tuple[str, ...], ...] = ()  # groups; the first element found has the value
+    stamps: tuple[str, ...] = ()  # machine-written dates, read after the metadata
+    long_dates: tuple[str, ...] = ()  # dates in words
     title_default: str | None = None  # None: an article without a title is dropped
     date_style: str = "cascade"  # "label" | "colon" | "cascade"
     rendered: bool = False  # text as a browser shows it, else stripped pieces glued together
@@ -174,7 +175,7 @@ SETOPATI = SiteRule(
     title=("span.news-big-title",),
     title_default="No Title",
     body="div.editor-box p",
-    stamps=(("span.pub-date",),),
+    stamps=("span.pub-date",),
     date_style="colon",
     links="div.row.bishesh.news-cat-list div.items a",
     link_contains="/political/",
@@ -188,7 +189,7 @@ ONLINE_KHABAR = SiteRule(
     title=("h1.ok-single-post-title", "h1"),
     title_default="No Title",
     body="div.ok-single-post-content p",
-    stamps=(
+    metadata=(
         (
             "meta[property=article:published_time]",
             "meta[name=article:published_time]",
@@ -199,11 +200,13 @@ ONLINE_KHABAR = SiteRule(
             "meta[name=datePublished]",
             "[itemprop=datePublished]",
         ),
-        ("time.ok-post-published-date",),
-        ("time[datetime]",),
-        ("time",),
-        ("span.ok-post-date",),
-        ("span.date",),
+    ),
+    stamps=(
+        "time.ok-post-published-date",
+        "time[datetime]",
+        "time",
+        "span.ok-post-date",
+        "span.date",
     ),
     long_dates=(
         "span.ok-post-date",
