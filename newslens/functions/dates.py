@@ -52,12 +52,13 @@ def wall_time(date: Column) -> Column:
 
 
 def moment(as_of: dt.datetime | str | Column | None) -> Column:
-    """``as_of`` as a column; the current wall-clock time where none is given."""
-    if as_of is None:
-        return F.localtimestamp()
+    """``as_of`` as a column; the driver's wall-clock time where none is given.
+
+    That time is fixed when the plan is built, so that all steps of a job agree on it.
+    """
     if isinstance(as_of, Column):
         return as_of
-    return F.lit(str(as_of)).cast("timestamp_ntz")
+    return F.lit(str(as_of or dt.datetime.now())).cast("timestamp_ntz")
 
 
 def days(n: int) -> Column:

@@ -81,20 +81,18 @@ def until_exhausted(
     _require(links, *ORDER, "url")
     walked = links if listing is None else listing
     fresh = walked.groupBy("source", "url").agg(F.min("page_no").alias("page_no"))
-    here, following = F.col("page_no"), F.col("page_no") + 1
+    here = F.col("page_no")
     marks = fresh.select(
         "source",
         F.inline(
             F.array(
                 F.struct(here.alias("page_no"), F.lit(True).alias("has_new")),
-                F.struct(following.alias("page_no"), F.lit(False).alias("has_new")),
+                F.struct((here + 1).alias("page_no"), F.lit(False).alias("has_new")),
             )
         ),
     )
     ends = marks.groupBy("source", "page_no").agg(F.bool_or("has_new").alias("has_new"))
-    return _before(
-        links, ends.filter("NOT has_new"), here, lambda stop: F.col("page_no") < stop, sources
-    )
+    return _before(links, ends.filter("NOT has_new"), here, sources)
 
 
 def cutoff(
@@ -110,35 +108,41 @@ def cutoff(
     without the old ones. An article without a date is never old.
     """
     _require(df, *ORDER, "published_date")
-    is_old = F.coalesce(
-        F.col("published_date") < dates.moment(as_of) - dates.days(days), F.lit(False)
-    )
+    date, edge = F.col("published_date"), dates.moment(as_of) - dates.days(days)
+    old = df.filter(date < edge)
     if mode == "immediate":
-        at, keep = _place(), lambda stop: stop.isNull() | (_place() < stop)
-    elif mode == "page_end":
-        at = F.col("page_no")
-        keep = lambda stop: ~is_old & (stop.isNull() | (F.col("page_no") <= stop))
-    else:
-        raise ValueError(f"unknown cutoff mode {mode!r}")
-    return _before(df, df.filter(is_old), at, keep, sources)
+        return _before(df, old, _place(), sources)
+    if mode == "page_end":
+        young = df.filter(date.isNull() | (date >= edge))
+        return _before(young, old, F.col("page_no"), sources, inclusive=True)
+    raise ValueError(f"unknown cutoff mode {mode!r}")
 
 
-def _before(df, ends: DataFrame, at: Column, keep, sources: Sequence[str] | None) -> DataFrame:
-    """Filter ``df`` by the least ``at`` of ``ends`` within each source.
+def _before(
+    df: DataFrame,
+    ends: DataFrame,
+    at: Column,
+    sources: Sequence[str] | None,
+    inclusive: bool = False,
+) -> DataFrame:
+    """Rows of ``df`` before the least ``at`` of ``ends`` within their source; all without one.
 
     For known sources the stops are one row, a scalar subquery: no join and no shuffle of
     ``df``. Otherwise they are one row per source, computed first and broadcast if few; many
     are joined by a shuffle, where skew splitting takes care of a large source.
     """
-    if sources is not None:
-        names = list(sources)
-        if not names:
-            return df.filter(F.lit(False))
-        least = [F.min(F.when(F.col("source") == s, at)).alias(f"s{i}") for i, s in enumerate(names)]
-        stops = ends.filter(F.col("source").isin(names)).agg(F.struct(*least).alias("s")).scalar()
-        stop = F.coalesce(
-            *[F.when(F.col("source") == s, stops[f"s{i}"]) for i, s in enumerate(names)]
-        )
-        return df.filter(F.col("source").isin(names)).filter(keep(stop))
-    stops = measured(ends.groupBy("source").agg(F.min(at).alias("_stop")), "stops")
-    return df.join(stops, "source", "left").filter(keep(F.col("_stop"))).drop("_stop")
+
+    def kept(stop: Column) -> Column:
+        return F.coalesce(at <= stop if inclusive else at < stop, F.lit(True))
+
+    if sources is None:
+        stops = measured(ends.groupBy("source").agg(F.min(at).alias("_stop")), "stops")
+        return df.join(stops, "source", "left").filter(kept(F.col("_stop"))).drop("_stop")
+    names = list(sources)
+    mine = df.filter(F.col("source").isin(names))
+    if not names:
+        return mine
+    least = [F.min(F.when(F.col("source") == s, at)).alias(f"s{i}") for i, s in enumerate(names)]
+    stops = ends.filter(F.col("source").isin(names)).agg(F.struct(*least).alias("s")).scalar()
+    cases = [F.when(F.col("source") == s, stops[f"s{i}"]) for i, s in enumerate(names)]
+    return mine.filter(kept(F.coalesce(*cases)))
