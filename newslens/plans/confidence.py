@@ -50,7 +50,7 @@ def sentence_mentions(
     return mentions.per_entity(rows, "link", "published_date", "pos", "sentence", "label")
 
 
-def labelled_counts(
+def labelled_rows(
     articles: DataFrame,
     patterns: Sequence[EntityPattern],
     scorer: Lexicon | Model = Lexicon(),
@@ -58,11 +58,11 @@ def labelled_counts(
     max_chars: int = MAX_CHARS,
     score_partitions: int | None = None,
 ) -> DataFrame:
-    """(entity, label, n, recent, previous): the counts every score is made of.
+    """(entity, label, n, recent, previous): what every score is a sum of.
 
-    A native scorer runs in the scan's stage. For a model, equal sentences are first
-    counted together, so that each distinct one is scored once and no text is joined back;
-    ``score_partitions`` fixes the parallelism of that step.
+    A native scorer runs in the scan's stage, one row per mention. For a model, equal
+    sentences are first counted together, so that each distinct one is scored once and no
+    text is joined back; ``score_partitions`` fixes the parallelism of that step.
     """
     seen = text.clipped(F.col("sentence"), max_chars).alias("seen")
     rows = mentions.naming_sentences(
@@ -79,11 +79,13 @@ def labelled_counts(
         if score_partitions:
             rows = rows.repartition(score_partitions, "seen")
     rows = rows.withColumn("label", scorer.score(F.col("seen"))["label"])
-    return (
-        mentions.per_entity(rows, "label", *_COUNTS)
-        .groupBy("entity", "label")
-        .agg(*[F.sum(c).alias(c) for c in _COUNTS])
-    )
+    return mentions.per_entity(rows, "label", *_COUNTS)
+
+
+def labelled_counts(articles: DataFrame, patterns: Sequence[EntityPattern], **options) -> DataFrame:
+    """(entity, label, n, recent, previous) with one row per entity and label."""
+    rows = labelled_rows(articles, patterns, **options)
+    return rows.groupBy("entity", "label").agg(*[F.sum(c).alias(c) for c in _COUNTS])
 
 
 def confidence_index(
@@ -98,30 +100,31 @@ def confidence_index(
 ) -> DataFrame:
     """Scores per entity, rounded to three digits.
 
-    One pass over the articles; from the first aggregate on there is one row per entity and
-    label. ``keep_unmentioned`` gives entities without a mention a row of zeros.
+    One pass over the articles; what is shuffled is one row per entity and task.
+    ``keep_unmentioned`` gives entities without a mention a row of zeros.
     """
-    counts = labelled_counts(articles, patterns, scorer, days, max_chars, score_partitions)
+    rows = labelled_rows(articles, patterns, scorer, days, max_chars, score_partitions)
     if keep_unmentioned:
-        no_hits = [F.lit(0).cast("bigint").alias(c) for c in _COUNTS]
-        none = [
-            F.struct(F.lit(e).alias("entity"), F.lit(NEUTRAL).alias("label"), *no_hits)
-            for e in mentions.entities_of(patterns)
-        ]
-        zeros = articles.sparkSession.range(1).select(F.inline(F.array(*none)))
-        counts = counts.unionByName(zeros)
-    return scores(counts, weights)
+        entities = F.array(*map(F.lit, mentions.entities_of(patterns)))
+        rows = rows.unionByName(
+            articles.sparkSession.range(0, 1, numPartitions=1).select(
+                F.explode(entities).alias("entity"),
+                F.lit(NEUTRAL).alias("label"),
+                *[F.lit(0).cast("bigint").alias(c) for c in _COUNTS],
+            )
+        )
+    return scores(rows, weights)
 
 
-def scores(counts: DataFrame, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
-    """From (entity, label, n, recent, previous) to the result table."""
+def scores(rows: DataFrame, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
+    """From (entity, label, n, recent, previous), in any number of rows, to the results."""
 
     def balance(count: str) -> Column:
         sign = F.when(F.col("label") == POSITIVE, 1).when(F.col("label") == NEGATIVE, -1)
         signed = F.sum(sign.otherwise(0) * F.col(count))
         return F.coalesce(F.try_divide(signed, F.sum(count)), F.lit(0.0))
 
-    per_entity = counts.groupBy("entity").agg(
+    per_entity = rows.groupBy("entity").agg(
         F.sum("n").alias("total_mentions"),
         balance("n").alias("s"),
         (balance("recent") - balance("previous")).alias("m"),
