@@ -32,12 +32,10 @@ WEB = nl.SiteRule(
 
 def _shown(df: DataFrame) -> DataFrame:
     """Dates and times as text, so that every engine returns the same values."""
-    forms = {T.TimestampNTZType: dates.STAMP_FORMAT, T.DateType: "yyyy-MM-dd"}
+    forms = {T.TimestampNTZType: dates.wall_time, T.DateType: lambda c: c.cast("string")}
     return df.select(
         *[
-            F.date_format(f.name, forms[type(f.dataType)]).alias(f.name)
-            if type(f.dataType) in forms
-            else F.col(f.name)
+            forms.get(type(f.dataType), lambda c: c)(F.col(f.name)).alias(f.name)
             for f in df.schema
         ]
     )
@@ -283,7 +281,7 @@ def csv_results(spark, sf):
 def landed_pages(spark, sf):
     path = workspace.new_path(spark, "landed")
     tv.portal_pages(spark, sf).write.parquet(path)
-    return tables.read_landed_pages(spark, path)
+    return tables.read_landed_pages(spark, path).drop("html")
 
 
 _QUERIES = (

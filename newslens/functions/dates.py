@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 _STAMP = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}(:\d{1,2})?)?$"
 _WEEKDAY = r"(?i)^(mon|tues|wednes|thurs|fri|satur|sun)day,\s+"
-STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def stamp(text: Column, need_time: bool = False) -> Column:
@@ -48,7 +47,8 @@ def after_colon(text: Column) -> Column:
 
 
 def wall_time(date: Column) -> Column:
-    return F.date_format(date, STAMP_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss``; formatting by pattern would go through the session's zone."""
+    return F.substring(date.cast("string"), 1, 19)
 
 
 def moment(as_of: dt.datetime | str | Column | None) -> Column:

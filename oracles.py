@@ -453,7 +453,8 @@ stops AS (
             f"""{PORTALS},
 links AS (
   SELECT source, kind, page_no, pos, url FROM portal
-  UNION ALL SELECT source, kind, page_no + 2, pos + 20, url FROM portal WHERE doc_id % 5 = 1
+  UNION ALL SELECT source, kind, page_no + CASE WHEN doc_id % 5 = 1 THEN 2 ELSE 0 END,
+    pos + 20, url FROM portal
 ),
 capped AS (SELECT * FROM links WHERE kind <> 0 OR page_no <= 11),
 seen AS (
@@ -486,6 +487,7 @@ ended AS (
                 ELSE NOT at_once END
               AND (kind <> 0 OR {keywords})""",
         ),
+        "landed_pages": _with(PORTALS, "SELECT source, url, status FROM portal WHERE status = 200"),
         "union_sources": _with(WALK, f"SELECT {walk_columns} FROM walk"),
         "run_summary": _with(
             PRINTED,

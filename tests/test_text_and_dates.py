@@ -96,7 +96,9 @@ def test_lenient_dates(spark, zone):
         df = spark.createDataFrame([(k,) for k in READ], "raw string")
         got = {r.raw: r.d for r in df.select("raw", dates.lenient(F.col("raw")).alias("d")).collect()}
         gap = spark.createDataFrame([("2025-03-09 02:30:00",)], "raw string")
-        assert gap.select(dates.lenient(F.col("raw"))).collect()[0][0].hour == 2
+        read = dates.lenient(F.col("raw"))
+        row = gap.select(read.alias("d"), dates.wall_time(read).alias("text")).collect()[0]
+        assert row.d.hour == 2 and row.text == "2025-03-09 02:30:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert got == READ

@@ -149,11 +149,10 @@ def _portal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def portal_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing of the portal rows; some links come again two pages later."""
+    """Listing of the portal rows; every link comes again, some only two pages later."""
     rows = _portal_rows(spark, sf_dir).select("doc_id", "source", "page_no", "pos", "url")
-    again = rows.filter("doc_id % 5 = 1").withColumns(
-        {"page_no": F.col("page_no") + 2, "pos": F.col("pos") + 20}
-    )
+    later = F.when(F.col("doc_id") % 5 == 1, 2).otherwise(0)
+    again = rows.withColumns({"page_no": F.col("page_no") + later, "pos": F.col("pos") + 20})
     return rows.unionByName(again).drop("doc_id")
 
 
