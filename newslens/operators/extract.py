@@ -137,7 +137,6 @@ def article_links(found: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> D
         if rule.link_contains:
             keep &= F.col("url").contains(rule.link_contains)
         if rule.link_digits_after:
-            # the reverse of the address up to the mark: only closing slashes and digits
             tail = F.substring_index(F.rtrim("url", F.lit("/")), rule.link_digits_after, -1)
             keep &= tail.rlike("^[0-9]+$")
         if rule.link_prefix:

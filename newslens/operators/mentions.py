@@ -39,13 +39,22 @@ def count_columns(full_text: Column, rules: Sequence[CountRule]) -> dict[str, Co
     }
 
 
+def names_any(sentence: Column, patterns: Sequence[EntityPattern]) -> Column:
+    """True when any of the patterns is found."""
+    return reduce(or_, [text.matches(sentence, p.pattern, p.needs) for p in patterns])
+
+
 def named(sentence: Column, patterns: Sequence[EntityPattern]) -> Column:
-    """One array place per pattern: its entity where the pattern is found, else null.
+    """One array place per entity: its name where one of its patterns is found, else null.
 
     Explode it and drop the nulls; compacting the array first would leave generated code.
     """
-    hits = [F.when(text.matches(sentence, p.pattern, p.needs), p.entity) for p in patterns]
-    return F.array(*hits)
+    return F.array(
+        *[
+            F.when(names_any(sentence, [p for p in patterns if p.entity == entity]), entity)
+            for entity in entities_of(patterns)
+        ]
+    )
 
 
 def per_entity(rows: DataFrame, *keep: Column | str) -> DataFrame:
@@ -53,15 +62,10 @@ def per_entity(rows: DataFrame, *keep: Column | str) -> DataFrame:
     return rows.select(F.explode("entities").alias("entity"), *keep).filter("entity IS NOT NULL")
 
 
-def names_any(sentence: Column, patterns: Sequence[EntityPattern]) -> Column:
-    return reduce(or_, [text.matches(sentence, p.pattern, p.needs) for p in patterns])
-
-
 def sentence_rows(articles: DataFrame, *keep: Column | str) -> DataFrame:
     """One row per sentence of title + content, numbered within its article."""
-    return articles.select(*keep, text.full_text().alias("_t")).select(
-        "*", F.posexplode(text.sentences(F.col("_t"))).alias("pos", "sentence")
-    ).drop("_t")
+    split = F.posexplode(text.sentences(F.col("_t"))).alias("pos", "sentence")
+    return articles.select(*keep, text.full_text().alias("_t")).select("*", split).drop("_t")
 
 
 def naming_sentences(

@@ -69,6 +69,12 @@ def test_unmentioned(articles):
     assert index(articles(("", "ann", None)))["A"].total_mentions == 0
 
 
+def test_several_patterns_of_one_entity(articles):
+    df = articles(("", "ann and bob. bob. x", "2025-03-31"))
+    both = (A, EntityPattern("A", r"\bbob\b"))
+    assert index(df, both)["A"].total_mentions == 2
+
+
 def test_label_only_of_the_scorers_reach(articles):
     far = "ann " + "x" * 600 + " good"
     assert index(articles(("", far, "2025-03-31")))["A"].sentiment_score == 0.0
