@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -19,6 +20,13 @@ from newslens.functions import dates, text  # noqa: E402
 from newslens.plans.confidence import labelled_counts  # noqa: E402
 from newslens.sources import tables, workspace  # noqa: E402
 
+# Queries over training data; the subpackage may be absent.
+if importlib.util.find_spec("newslens.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline  # noqa: E402
+    from newslens.llm import queries as training_data  # noqa: E402
+else:
+    corpus_pipeline = training_data = None
+
 COUNTED = nl.mentions.entities_of(nl.COUNT_RULES)
 
 WEB = nl.SiteRule(
@@ -304,9 +312,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
-    return {q.__name__: q for q in _QUERIES}
+    own = {q.__name__: q for q in _QUERIES}
+    if training_data:
+        own |= training_data.queries() | {"pipeline": corpus_pipeline.run}
+    return own
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same queries in SQL."""
-    return oracles.all_queries()
+    """The same queries in SQL, where it can express them."""
+    own = oracles.all_queries()
+    if training_data:
+        own |= training_data.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
