@@ -61,14 +61,24 @@ def pieces(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         row = end
 
 
+def _code_terms(seed: int, salt: np.uint64, store: dict = {}) -> np.ndarray:  # noqa: B006  kept as above
+    if seed not in store:
+        store[seed] = mixed((np.arange(0x10000, dtype=np.uint64) + _U(1)) * salt)
+    return store[seed]
+
+
 class Spans:
-    """Hashes of parts of a sequence of small numbers (bytes or code points)."""
+    """Hashes of parts of a sequence of bytes, code points (uint32) or other hashes (uint64)."""
 
     def __init__(self, values: np.ndarray, seed: int = 0):
         salt = _U((0xD1B54A32D192ED03 * (2 * seed + 1)) % (1 << 64))
         table = mixed((np.arange(256, dtype=np.uint64) + _U(1)) * salt)
         if values.dtype == np.uint8:
             terms = table[values]
+        elif values.dtype == np.uint32:  # code points
+            terms = _code_terms(seed, salt)[np.minimum(values, 0xFFFF)]
+            far = np.flatnonzero(values >= 0xFFFF)
+            terms[far] = mixed((values[far].astype(np.uint64) + _U(1)) * salt)
         else:
             terms = mixed((values.astype(np.uint64) + _U(1)) * salt)
         self.base = (_BASE + 2 * 0x51_7CC1_B727 * seed) % (1 << 64)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from newslens.llm.common import or_empty, word_count, written
 
-SLICE_ROWS = 65_536
+SLICE_ROWS = 4096
 UNKNOWN = "unknown"
 ADDED = ("epoch", "n_tokens")
 

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens.llm import exact_dedup, fingerprints, mixing, packing, urls
-from newslens.llm.common import or_empty, word_count, written
+from newslens.llm import (
+    exact_dedup, fingerprints, jaccard, language, lines, mixing, packing, pitman_yor, quality, urls,
+)
+from newslens.llm.common import doc_part, or_empty, word_count, written
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -65,6 +67,12 @@ def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under a model of nine tenths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    return pitman_yor.score(docs, doc_part("doc_id", 10) == 0)
+
+
 def op4_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of the mix, once per epoch, by domain - language - source."""
     docs = _table(spark, sf_dir, "documents")
@@ -82,14 +90,47 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from labelled good and from unlabelled documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", doc_part("doc_id", 5) == 0)
+    learned = docs.filter("NOT held_out")
+    good = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+    model = quality.learn(learned.join(good, "doc_id", "left_semi"), learned)
+    rows = quality.score(docs, model)
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, by character models of three quarters of them."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = doc_part("doc_id", 4) == 2
+    models = language.learn(docs.filter(~held_out))
+    rows = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), models)
+    return rows.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "accepted")
+
+
 def op8_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's URL."""
     rows = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return rows.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates and its number of links to different texts."""
+    rows = jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line equals or nearly equals."""
+    rows = lines.line_dedup(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "text", "n_chars", "n_lines", "n_dropped")
+
+
 _QUERIES = (
-    op1_length_buckets, op2_closed_syncmers, op4_hierarchical_mix, op5_exact_dedup, op8_url_trie,
+    op1_length_buckets, op2_closed_syncmers, op3_pitman_yor, op4_hierarchical_mix, op5_exact_dedup,
+    op6_pu_quality, op7_kneser_ney, op8_url_trie, op9_jaccard_join, op10_line_dedup,
 )
 
 
