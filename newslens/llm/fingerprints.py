@@ -16,10 +16,12 @@ than ``K`` words, has one anchor, the hash of all of it. Equal texts have equal
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslens.llm.common import or_empty
+from newslens.llm.common import or_empty, written
 
 K, S, SIZE = 5, 2, 64
 SLICE_ROWS = 1024
@@ -75,44 +77,50 @@ def likeness(a: str, b: str, size: int = SIZE) -> Column:
     return F.when(F.size(least) == 0, 1.0).otherwise(F.try_divide(both.cast("double"), F.size(least)))
 
 
-def with_next(docs: DataFrame, id: str, values: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+def with_next(
+    docs: DataFrame,
+    id: str,
+    value: str,
+    derive: Callable[[DataFrame], DataFrame] = lambda df: df,
+    derived: Sequence[str] = (),
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
     """Adds ``next_<value>``: of the row with the next id, ascending; of the last row, the first's.
 
     Ids are cut into ranges of about ``slice_rows`` rows; each range also gets a copy of the row
-    that follows it, so one shuffle is enough and no range is large. Equal ids are ordered by
-    the values. Rows without an id come first, spread by a hash.
+    that follows it, so one shuffle is enough and no range is large. ``derive`` adds columns after that
+    shuffle, and those in ``derived`` are also taken from the next row. Equal ids are ordered by the
+    value. Rows without an id come first, spread by a hash.
     """
     ids = docs.agg(F.min(id).alias("low"), F.max(id).alias("high"), F.count(F.lit(1)).alias("n")).first()
     n = max(1, ids["n"])
     low, high = ids["low"] or 0, ids["high"] or 0
-    spread = F.lit(low - 1) - F.pmod(F.xxhash64(*values), F.lit(n))
-    key = F.coalesce(F.col(id).cast("bigint"), spread)
+    key = F.coalesce(F.col(id).cast("bigint"), F.lit(low - 1) - F.pmod(F.xxhash64(value), F.lit(n)))
     width = max(1, -(-(high - low + 1) * slice_rows // n))
     rows = docs.withColumn("_key", key).withColumn("_slice", F.floor((F.col("_key") - low) / width).cast("bigint"))
 
     firsts = rows.groupBy("_slice").agg(F.min("_key").alias("_key"))
     block = F.floor(F.col("_slice") / 4096).cast("bigint")
-    firsts = firsts.withColumn("_block", block)
+    firsts = written(firsts.withColumn("_block", block), "firsts")
     inside = Window.partitionBy("_block").orderBy("_slice")
     ends = firsts.groupBy("_block").agg(F.max("_slice").alias("_end"))
     across = Window.partitionBy(F.lit(0)).orderBy("_block")  # a row per 4096 ranges
     last = ends.agg(F.max("_end").alias("m")).scalar()
     ends = ends.select("_block", F.coalesce(F.lag("_end").over(across), last).alias("_earlier"))
     halo = firsts.withColumn("_to", F.lag("_slice").over(inside)).join(ends, "_block")
-    halo = halo.select("_key", F.coalesce("_to", "_earlier").alias("_to"))
+    # a row per range: written, so that its size is known when the join with the texts is planned
+    halo = written(halo.select("_key", F.coalesce("_to", "_earlier").alias("_to")), "halo")
     copies = rows.join(halo, "_key").withColumn("_slice", F.col("_to")).drop("_to")
     both = rows.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True)))
-    order = Window.partitionBy("_slice").orderBy("_copy", "_key", *values)
+    both = derive(both.repartition("_slice"))
+    order = Window.partitionBy("_slice").orderBy("_copy", "_key", value)
     return (
-        both.withColumns({f"next_{v}": F.lead(v).over(order) for v in values})
+        both.withColumns({f"next_{v}": F.lead(v).over(order) for v in (value, *derived)})
         .filter("NOT _copy")
         .drop("_copy", "_key", "_slice")
     )
 
 
-def fingerprint_table(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, sketch) of every row."""
-    rows = docs.select(F.col(id), or_empty(text).alias("text"))
-    return with_anchors(rows, "text", "anchors").select(
-        id, "text", sketch("anchors").alias("sketch")
-    )
+def with_sketch(df: DataFrame, text: str = "text", out: str = "sketch") -> DataFrame:
+    """Adds the sketch of a text."""
+    return with_anchors(df, text, "_anchors").withColumn(out, sketch("_anchors")).drop("_anchors")

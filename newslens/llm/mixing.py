@@ -90,7 +90,7 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Weights, epochs:
 
 def mix(
     docs: DataFrame,
-    levels: Mapping[str, Column],
+    levels: Mapping[str, str],
     weights: Weights,
     budget_percent: int = 60,
     epochs: int = 3,
@@ -101,13 +101,13 @@ def mix(
 ) -> DataFrame:
     """The chosen rows, once per epoch that chose them, with ``epoch`` (from 0) and ``n_tokens``.
 
-    ``levels`` gives the tree from the top as named expressions; the budget is
+    ``levels`` gives the tree from the top as named SQL expressions; the budget is
     ``budget_percent`` of all tokens.
     """
     length = word_count(or_empty(text)) if tokens is None else F.coalesce(tokens.cast("bigint"), F.lit(0))
     kept = [c for c in docs.columns if c.lower() not in ADDED]
     own = [f"level{k}" for k in range(len(levels))]
-    paths = [F.coalesce(e.cast("string"), F.lit(UNKNOWN)).alias(n) for n, e in zip(own, levels.values())]
+    paths = [F.coalesce(F.expr(e).cast("string"), F.lit(UNKNOWN)).alias(n) for n, e in zip(own, levels.values())]
     rows = docs.select(F.struct(*kept).alias("doc"), *paths, length.alias("tokens"))
 
     leaves = written(

@@ -4,7 +4,7 @@ A linear model with logistic loss minimises the non-negative unbiased risk
 ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` from trusted positives and unlabelled texts: where
 the second term turns negative on a batch, its gradient is turned back. The class prior is
 estimated first, from a plain positive-against-unlabelled model on the other half of the sample: the
-least ratio of unlabelled to positive texts above a threshold, with a margin for the sample.
+least ratio of unlabelled to positive texts above a threshold, with a margin for the sample, drawn towards ``GUESS`` by ``GUESS_TEXTS`` texts.
 Known negatives are never used.
 
 Features are shares of bytes and of hashed byte pairs, and measures of a text's shape: length, cases,
@@ -36,7 +36,11 @@ POSITIVES, UNLABELLED = 6_000, 10_000
 PAIRS = 1024
 SHAPES = 16
 WIDTH = 256 + PAIRS + SHAPES
-ROUNDS, BATCH, RATE, DECAY = 40, 512, 0.02, 1e-4
+ROUNDS, BATCH, RATE = 40, 512, 0.02
+#: The class prior before any text was seen, and the number of texts that this counts as.
+GUESS, GUESS_TEXTS = 0.8, 300
+#: The penalty on the squared weights, divided by the number of unlabelled texts.
+PENALTY = 80.0
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -94,6 +98,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         np.bincount(row, weights=data >= 128, minlength=rows) / n[:, 0],
     ]
     out[:, 256 + PAIRS :] = np.minimum(np.stack(shape, axis=1), 5.0)
+    out[size == 0] = 0.0
     return out
 
 
@@ -129,7 +134,7 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, seed: int) -> tuple[
     rng = np.random.default_rng(seed)
     w, b = np.zeros(p.shape[1]), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    step = 0
+    step, decay = 0, PENALTY / len(u)
     size_p, size_u = min(BATCH, len(p)), min(2 * BATCH, len(u))
     per_round = max(1, len(u) // size_u)
     for _ in range(ROUNDS):
@@ -146,7 +151,7 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, seed: int) -> tuple[
                 turn = 1.0 if negative >= 0 else -1.0
                 gp = prior * ((sp - 1.0) if turn > 0 else 0.0) / size_p - turn * prior * sp / size_p
                 gu = turn * su / size_u
-            grad = np.concatenate([x.T @ gp + y.T @ gu + DECAY * w, [gp.sum() + gu.sum()]])
+            grad = np.concatenate([x.T @ gp + y.T @ gu + decay * w, [gp.sum() + gu.sum()]])
             step += 1
             m = 0.9 * m + 0.1 * grad
             v = 0.999 * v + 0.001 * grad * grad
@@ -162,7 +167,8 @@ def class_prior(p: np.ndarray, u: np.ndarray, confidence: float = 0.1) -> float:
     qu = np.array([(u >= c).mean() for c in cuts])
     margin = np.sqrt(np.log(4 / confidence) / (2 * len(u))) + np.sqrt(np.log(4 / confidence) / (2 * len(p)))
     best = np.argmin((qu + margin) / np.maximum(qp, 1e-9))
-    return float(np.clip(qu[best] / max(qp[best], 1e-9), 0.02, 0.98))
+    found = np.clip(qu[best] / max(qp[best], 1e-9), 0.02, 0.98)
+    return float((len(u) * found + GUESS_TEXTS * GUESS) / (len(u) + GUESS_TEXTS))
 
 
 def train(p: np.ndarray, u: np.ndarray, seed: int = 17) -> Classifier:
@@ -177,7 +183,7 @@ def train(p: np.ndarray, u: np.ndarray, seed: int = 17) -> Classifier:
         w, b = _fit(p[::2], u[::2], None, seed)
         prior = class_prior(_sigmoid(p[1::2] @ w + b), _sigmoid(u[1::2] @ w + b))
     else:
-        prior = 0.5
+        prior = GUESS
     w, b = _fit(p, u, prior, seed + 1)
     return Classifier(w, b, mean, scale, prior)
 

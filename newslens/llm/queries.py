@@ -22,11 +22,11 @@ URL_RULES = (
 )
 
 #: The tree of the mix: three groups of sources, their languages, the sources themselves.
-_NUMBER = F.try_to_number(F.nullif(F.regexp_extract("source", r"([0-9]{1,9})$", 1), F.lit("")), F.lit("999999999"))
+_NUMBER = r"try_cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '') AS bigint)"
 MIX_LEVELS = {
-    "domain": F.when(_NUMBER < 10, "web").when(_NUMBER < 15, "reference").when(_NUMBER >= 15, "books").otherwise("other"),
-    "language": F.col("lang"),
-    "source": F.col("source"),
+    "domain": f"CASE WHEN {_NUMBER} < 10 THEN 'web' WHEN {_NUMBER} < 15 THEN 'reference' WHEN {_NUMBER} >= 15 THEN 'books' ELSE 'other' END",
+    "language": "lang",
+    "source": "source",
 }
 MIX_WEIGHTS = (
     {"web": 5, "reference": 3, "books": 2},
@@ -46,16 +46,15 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likenesses."""
-    rows = fingerprints.fingerprint_table(_table(spark, sf_dir, "documents"))
-    rows = fingerprints.with_next(rows, "doc_id", ["text", "sketch"])
+    rows = _table(spark, sf_dir, "documents").select("doc_id", or_empty("text").alias("text"))
+    rows = fingerprints.with_next(rows, "doc_id", "text", fingerprints.with_sketch, ["sketch"])
     n = F.length("text").cast("bigint")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), (n - cut).cast("int")), F.substring("next_text", F.lit(1), cut)
     )
     rows = rows.select("doc_id", n.alias("n_chars"), "sketch", "next_sketch", edited.alias("edited"))
-    rows = fingerprints.with_anchors(rows, "edited", "anchors")
-    rows = rows.withColumn("edited_sketch", fingerprints.sketch("anchors"))
+    rows = fingerprints.with_sketch(rows, "edited", "edited_sketch")
     return rows.select(
         "doc_id",
         "n_chars",
