@@ -34,10 +34,10 @@ def test_class_prior_of_identical_scores_is_near_one():
 
 
 def test_odd_rows(spark):
-    good = [(i, f"A plain sentence with number {i} and some words.") for i in range(30)]
-    junk = [(100 + i, f"$$$ {i} !!! %%% ### {i} &&& " * 5) for i in range(10)]
+    good = [(i, f"A plain sentence with number {i} and some words.") for i in range(300)]
+    junk = [(1000 + i, f"$$$ {i} !!! %%% ### {i} &&& " * 5) for i in range(100)]
     docs = spark.createDataFrame([(*r, "own") for r in good + junk], "doc_id int, text string, score string")
-    model = learn(docs.filter("doc_id < 20"), docs)
+    model = learn(docs.filter("doc_id < 200"), docs)
     odd = spark.createDataFrame(
         [(1, None, 3), (2, "", 3), (3, "word " * 50_000, 3), (4, good[0][1], 3), (4, good[0][1], 3), (None, junk[0][1], 3)],
         "doc_id int, text string, other int",
