@@ -122,7 +122,8 @@ class Classifier:
     prior: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(((x - self.mean) / self.scale) @ self.weights + self.bias)
+        # summed row by row: a matrix product would round by the number of rows
+        return _sigmoid((((x - self.mean) / self.scale) * self.weights).sum(axis=1) + self.bias)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
