@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import importlib.util
 import os
+import re
 import sys
+import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -120,6 +123,16 @@ def daily_mentions_parties(spark, sf):
     return _shown(nl.daily_mentions(tv.news(spark, sf), nl.PARTY_VARIANTS, last_days=60))
 
 
+def daily_mentions_of_results(spark, sf):
+    """The days of the parties in a result table: one is left out, one is never mentioned."""
+    unmentioned = oracles.UNMENTIONED
+    patterns = [p for p in nl.PARTY_PATTERNS if p.entity != "RSP"] + [unmentioned]
+    variants = [*nl.PARTY_VARIANTS, nl.Variants(unmentioned.entity, unmentioned.needs)]
+    news = tv.news(spark, sf)
+    results = nl.confidence_index(news, patterns, tv.TONE)
+    return _shown(nl.daily_mentions(news, variants, results=results))
+
+
 def coverage_ratio(spark, sf):
     return nl.coverage_ratio(tv.news(spark, sf))
 
@@ -132,7 +145,7 @@ def sentence_split(spark, sf):
 
 
 def sentence_mentions(spark, sf):
-    return _shown(nl.sentence_mentions(tv.news(spark, sf), nl.LEADER_PATTERNS))
+    return _shown(nl.sentence_mentions(tv.news(spark, sf), nl.LEADER_PATTERNS, tv.TONE))
 
 
 def sentence_mentions_model(spark, sf):
@@ -141,7 +154,18 @@ def sentence_mentions_model(spark, sf):
 
 
 def article_sentiment(spark, sf):
-    rows = nl.label_articles(tv.news(spark, sf))
+    rows = nl.label_articles(tv.news(spark, sf), tv.TONE)
+    return rows.select("link", "sentiment", "confidence")
+
+
+def article_sentiment_512(spark, sf):
+    """The original scorer's limit of 512 characters."""
+    rows = nl.label_articles(tv.news(spark, sf), tv.TONE, nl.plans.labels.MAX_CHARS)
+    return rows.select("link", "sentiment", "confidence")
+
+
+def article_sentiment_errors(spark, sf):
+    rows = nl.label_articles(tv.news(spark, sf), tv.failing_model())
     return rows.select("link", "sentiment", "confidence")
 
 
@@ -151,16 +175,21 @@ def article_sentiment_model(spark, sf):
 
 
 def label_windows(spark, sf):
-    return labelled_counts(tv.news(spark, sf), nl.LEADER_PATTERNS)
+    return labelled_counts(tv.news(spark, sf), nl.LEADER_PATTERNS, scorer=tv.TONE)
 
 
 def confidence_leaders(spark, sf):
-    return nl.confidence_index(tv.news(spark, sf), nl.LEADER_PATTERNS)
+    return nl.confidence_index(tv.news(spark, sf), nl.LEADER_PATTERNS, tv.TONE)
 
 
 def confidence_parties(spark, sf):
     news = tv.news(spark, sf)
-    return nl.confidence_index(news, nl.PARTY_PATTERNS, keep_unmentioned=False)
+    return nl.confidence_index(news, nl.PARTY_PATTERNS, tv.TONE, keep_unmentioned=False)
+
+
+def confidence_with_unmentioned(spark, sf):
+    patterns = (*nl.PARTY_PATTERNS, oracles.UNMENTIONED)
+    return nl.confidence_index(tv.news(spark, sf), patterns, tv.TONE)
 
 
 def confidence_model(spark, sf):
@@ -168,7 +197,7 @@ def confidence_model(spark, sf):
 
 
 def _scenario(spark, sf, patterns=nl.LEADER_PATTERNS):
-    return nl.scenario(nl.confidence_index(tv.news(spark, sf), patterns), 0.5, 0.2, 0.6)
+    return nl.scenario(nl.confidence_index(tv.news(spark, sf), patterns, tv.TONE), 0.5, 0.2, 0.6)
 
 
 def scenario_ranking(spark, sf):
@@ -228,8 +257,12 @@ def stop_when_exhausted(spark, sf):
     return nl.listing.until_exhausted(tv.listing(spark, sf))
 
 
+def stop_without_first_page(spark, sf):
+    return nl.listing.until_exhausted(tv.late_listing(spark, sf), tv.PORTALS)
+
+
 def page_cap(spark, sf):
-    return nl.listing.capped(tv.listing(spark, sf), nl.rules.KATHMANDU_POST.page_cap)
+    return nl.listing.capped(tv.listing(spark, sf), nl.rules.KATHMANDU_PAGES)
 
 
 def cutoff_immediate(spark, sf):
@@ -248,6 +281,11 @@ def build_articles(spark, sf):
     return _shown(rows)
 
 
+def articles_from_listings(spark, sf):
+    links = nl.extract.links(tv.listing_pages(spark, sf))
+    return _shown(nl.build_articles(tv.listed_pages(spark, sf), links, as_of=tv.AS_OF))
+
+
 # --- sources and sinks --------------------------------------------------------------
 
 
@@ -266,6 +304,14 @@ def csv_articles(spark, sf):
     return _shown(tables.read_articles(spark, path, form="csv"))
 
 
+def csv_by_header(spark, sf):
+    """Columns in another order and more of them, as other tools write them."""
+    path = workspace.new_path(spark, "reordered-csv")
+    news = tv.news(spark, sf).withColumn("extra", F.lit("x"))
+    tables.write_articles(news.select(*sorted(news.columns)), path, form="csv")
+    return _shown(tables.read_articles(spark, path, form="csv"))
+
+
 def csv_tracked(spark, sf):
     path = workspace.new_path(spark, "tracked-csv")
     tables.write_tracked(nl.track_mentions(tv.news(spark, sf)), path, form="csv")
@@ -275,7 +321,7 @@ def csv_tracked(spark, sf):
 
 def csv_labelled(spark, sf):
     path = workspace.new_path(spark, "labelled-csv")
-    tables.write_labelled(nl.label_articles(tv.news(spark, sf)), path, form="csv")
+    tables.write_labelled(nl.label_articles(tv.news(spark, sf), tv.TONE), path, form="csv")
     rows = tables.read_labelled(spark, path, form="csv")
     return rows.select("link", "sentiment", "confidence")
 
@@ -295,6 +341,8 @@ def landed_pages(spark, sf):
 _QUERIES = (
     clean_articles, lenient_dates, dated_articles, recent_articles, keyword_filter, context_gate,
     mention_counts, mention_totals, articles_naming, daily_mentions, daily_mentions_parties,
+    daily_mentions_of_results, confidence_with_unmentioned, article_sentiment_512,
+    article_sentiment_errors, stop_without_first_page, articles_from_listings, csv_by_header,
     coverage_ratio, sentence_split, sentence_mentions, sentence_mentions_model,
     article_sentiment, article_sentiment_model, label_windows, confidence_leaders,
     confidence_parties, confidence_model, scenario_ranking, momentum_trend, gauges,
@@ -307,7 +355,21 @@ _QUERIES = (
 
 def entry(spark: SparkSession) -> DataFrame:
     """The confidence index of the leaders."""
-    return confidence_leaders(spark, "/root/testdata/sf0.001")
+    return queries()["confidence_leaders"](spark, "/root/testdata/sf0.001")
+
+
+def _with_folder(query: Callable) -> Callable:
+    """A local session without ``spark.checkpoint.dir`` gets a folder; a cluster must name one."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        context = spark.sparkContext
+        unset = not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir())
+        if unset and re.match(r"local(\[|$)", context.master):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="newslens-"))
+        return query(spark, sf)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -315,7 +377,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {q.__name__: q for q in _QUERIES}
     if training_data:
         own |= training_data.queries() | {"pipeline": corpus_pipeline.run}
-    return own
+    return {name: _with_folder(query) for name, query in own.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,7 +1,8 @@
 """The jobs from the command line, one step each.
 
 Each step reads tables by path and writes a table; Parquet unless the path ends in ``.csv``.
-Results (one row per entity) are always CSV with the titles of their view.
+Results (one row per entity) are always CSV with the titles of their view. Steps with several
+tables write them below ``--out``.
 """
 
 from __future__ import annotations
@@ -28,18 +29,17 @@ def _articles(spark: SparkSession, path: str) -> DataFrame:
     return tables.read_articles(spark, path, _form(path))
 
 
-def _scorer(args: argparse.Namespace):
-    return nl.transformers_model(args.model) if args.model else nl.Lexicon()
+def _scorer(args: argparse.Namespace) -> nl.Lexicon:
+    return nl.Lexicon(tuple(args.positive), tuple(args.negative))
 
 
 def articles(spark: SparkSession, args: argparse.Namespace) -> None:
     pages = spark.read.schema(nl.schemas.LANDED_PAGE).parquet(args.pages)
     lists = spark.read.schema(nl.schemas.LISTING_PAGE).parquet(args.listing_pages)
     built = nl.build_articles(pages, nl.extract.links(lists), as_of=args.as_of)
-    if _form(args.out) == "parquet":
-        built = built.drop("date_text")
     tables.write_articles(built, args.out, _form(args.out), args.mode)
-    tables.run_summary(_articles(spark, args.out)).show()
+    summary = tables.run_summary(_articles(spark, args.out)).first()  # one row
+    print(*[f"{name}: {n}" for name, n in summary.asDict().items()], sep="\n")
 
 
 def track(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -47,7 +47,7 @@ def track(spark: SparkSession, args: argparse.Namespace) -> None:
     tracked = nl.track_mentions(_articles(spark, args.articles))
     tables.write_tracked(tracked, args.out, _form(args.out), args.mode)
     stored = tables.read_tracked(spark, args.out, entities, _form(args.out))
-    nl.mention_totals(stored, entities).show()
+    nl.mention_totals(stored, entities).write.mode(args.mode).parquet(args.totals)
 
 
 def label(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -69,48 +69,49 @@ def confidence(spark: SparkSession, args: argparse.Namespace) -> None:
 def ranking(spark: SparkSession, args: argparse.Namespace) -> None:
     results = tables.read_results(spark, args.results, args.view)
     scenarios = nl.scenario(results, *args.weights)
-    nl.ranking(scenarios).show(truncate=False)
-    nl.momentum_trend(scenarios).show(truncate=False)
-    nl.gauges(scenarios).show(truncate=False)
+    for view in (nl.ranking, nl.momentum_trend, nl.gauges):
+        view(scenarios).write.mode(args.mode).parquet(f"{args.out.rstrip('/')}/{view.__name__}")
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
     _, variants = VIEWS[args.view]
-    days = nl.daily_mentions(_articles(spark, args.articles), variants)
+    results = tables.read_results(spark, args.results, args.view) if args.results else None
+    days = nl.daily_mentions(_articles(spark, args.articles), variants, args.last_days, results)
     days.write.mode(args.mode).parquet(args.out)
 
 
 def ratio(spark: SparkSession, args: argparse.Namespace) -> None:
-    nl.coverage_ratio(_articles(spark, args.articles)).show(truncate=False)
+    nl.coverage_ratio(_articles(spark, args.articles)).write.mode(args.mode).parquet(args.out)
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="newslens", description=__doc__.splitlines()[0])
     steps = top.add_subparsers(required=True)
 
-    def step(run, *paths: str, out: bool = True, view: bool = False, model: bool = False):
+    def step(run, *paths: str, view: bool = False, words: bool = False):
         sub = steps.add_parser(run.__name__)
         sub.set_defaults(run=run)
-        for path in paths:
+        for path in (*paths, "out"):
             sub.add_argument(f"--{path}", required=True)
-        if out:
-            sub.add_argument("--out", required=True)
-            sub.add_argument("--mode", default="error", choices=["error", "overwrite"])
+        sub.add_argument("--mode", default="error", choices=["error", "overwrite"])
         if view:
             sub.add_argument("--view", default="Leader", choices=list(VIEWS))
-        if model:
-            sub.add_argument("--model", help="public model name; the word lexicon without it")
+        if words:
+            for tone in ("positive", "negative"):
+                sub.add_argument(f"--{tone}", nargs="+", required=True, help=f"{tone} words")
         return sub
 
     step(articles, "pages", "listing-pages").add_argument("--as-of", help="default: now")
-    step(track, "articles")
-    step(label, "articles", model=True)
-    step(confidence, "articles", view=True, model=True)
-    step(ranking, "results", out=False, view=True).add_argument(
+    step(track, "articles", "totals")
+    step(label, "articles", words=True)
+    step(confidence, "articles", view=True, words=True)
+    step(ranking, "results", view=True).add_argument(
         "--weights", nargs=3, type=float, default=(0.4, 0.3, 0.3), metavar=("S", "V", "M")
     )
-    step(daily, "articles", view=True)
-    step(ratio, "articles", out=False)
+    sub = step(daily, "articles", view=True)
+    sub.add_argument("--last-days", type=int, help="default: all days")
+    sub.add_argument("--results", help="only the entities of this result file")
+    step(ratio, "articles")
     return top
 
 

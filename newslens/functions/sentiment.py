@@ -5,14 +5,17 @@ The labels that count are ``positive`` and ``negative``; anything else only adds
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newslens.functions.text import contains_any
+from newslens.functions.text import spelled
 
 POSITIVE, NEGATIVE, NEUTRAL, ERROR = "positive", "negative", "neutral", "error"
 
@@ -22,48 +25,53 @@ Predict = Callable[[list[str]], Sequence[tuple[str, float]]]
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Transparent default: a positive word decides, else a negative one, else neutral.
+    """Own word lists: a positive word decides, else a negative one, else neutral.
 
-    A native expression, so scoring stays in the scan's stage.
+    Words match as whole words in any case. A native expression, so scoring stays in the
+    scan's stage.
     """
 
-    positive: tuple[str, ...] = ("good",)
-    negative: tuple[str, ...] = ("bad",)
+    positive: tuple[str, ...]
+    negative: tuple[str, ...]
 
     native = True
 
     def score(self, text: Column, on_error: str = "raise") -> Column:
         lowered = F.lower(text)
+        found = {
+            label: spelled(lowered, [w.lower() for w in words]) if words else F.lit(False)
+            for label, words in ((POSITIVE, self.positive), (NEGATIVE, self.negative))
+        }
         label = (
-            F.when(contains_any(lowered, self.positive), POSITIVE)
-            .when(contains_any(lowered, self.negative), NEGATIVE)
-            .otherwise(NEUTRAL)
+            F.when(found[POSITIVE], POSITIVE).when(found[NEGATIVE], NEGATIVE).otherwise(NEUTRAL)
         )
-        score = F.when(contains_any(lowered, self.positive + self.negative), 1.0).otherwise(0.0)
+        score = F.when(found[POSITIVE] | found[NEGATIVE], 1.0).otherwise(0.0)
         return F.struct(label.alias("label"), score.alias("score"))
 
 
 @dataclass(frozen=True)
 class Model:
-    """An external model, loaded once per task and fed Arrow batches.
+    """An external model, loaded once per Python worker and fed Arrow batches.
 
-    ``load`` returns the predict function; it runs on the executors. Equal texts of a batch
-    are scored once. ``on_error="label"`` turns a failing text into ``("error", 0.0)``;
-    ``"raise"`` fails the job.
+    ``load`` returns the predict function; it runs on the executors. ``key`` names the loaded
+    model there: a worker that has it does not load it again. Equal texts of a batch are scored
+    once. ``on_error="label"`` turns a failing text into ``("error", 0.0)``; ``"raise"``
+    fails the job.
     """
 
     load: Callable[[], Predict]
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     native = False
 
     def score(self, text: Column, on_error: str = "raise") -> Column:
         if on_error not in ("raise", "label"):
             raise ValueError(f"unknown error rule {on_error!r}")
-        load = self.load
+        load, key = self.load, self.key
 
         @F.pandas_udf("label string, score double")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            predict = load()
+            predict = loaded(load, key)
             for batch in batches:
                 yield score_batch(predict, batch, on_error)
 
@@ -71,6 +79,17 @@ class Model:
         return run.asNondeterministic()(text)
 
 
+def loaded(load: Callable[[], Predict], key: str) -> Predict:
+    """The worker's model of this key.
+
+    Kept beside the worker's modules: this module itself travels with every task as a copy.
+    """
+    kept = sys.modules.setdefault("_newslens_models", types.ModuleType("_newslens_models"))
+    if key not in kept.__dict__:
+        kept.__dict__[key] = load()
+    return kept.__dict__[key]
+
+
 def score_batch(predict: Predict, texts: pd.Series, on_error: str) -> pd.DataFrame:
     """Score each distinct text once; after a failed batch, one by one."""
     codes, distinct = pd.factorize(texts.fillna(""))
@@ -97,23 +116,3 @@ def _one(predict: Predict, text: str) -> tuple[str, float]:
         return _pairs(predict, [text])[0]
     except Exception:
         return (ERROR, 0.0)
-
-
-def transformers_model(
-    name: str = "cardiffnlp/twitter-roberta-base-sentiment-latest", batch_size: int = 32
-) -> Model:
-    """The default model by its public name; needs ``transformers`` on the executors."""
-
-    def load() -> Predict:
-        try:
-            from transformers import pipeline
-        except ImportError as missing:
-            raise RuntimeError("the model scorer needs the transformers package") from missing
-        classify = pipeline("sentiment-analysis", model=name)
-
-        def predict(texts: list[str]) -> list[tuple[str, float]]:
-            return [(r["label"], r["score"]) for r in classify(texts, batch_size=batch_size)]
-
-        return predict
-
-    return Model(load)

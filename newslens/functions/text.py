@@ -118,6 +118,6 @@ def sentences(text: Column) -> Column:
     return F.split(text, "[.!?]")
 
 
-def clipped(text: Column, max_chars: int = 512) -> Column:
-    """What the scorer gets to see: its input limit in characters."""
-    return F.substring(text, 1, max_chars)
+def clipped(text: Column, max_chars: int | None = None) -> Column:
+    """What the scorer gets to see: the whole text, unless it has a limit in characters."""
+    return text if max_chars is None else F.substring(text, 1, max_chars)

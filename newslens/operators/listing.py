@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import dates
-from newslens.sources.workspace import measured
 
 ORDER = ("source", "page_no", "pos")
 
@@ -54,13 +53,13 @@ def first_seen(listing: DataFrame) -> DataFrame:
 def not_on_earlier_page(listing: DataFrame) -> DataFrame:
     """Drop addresses seen on an earlier page; repeats within a page stay.
 
-    Only addresses that are on several pages take part in the join.
+    Only addresses that are on several pages are joined.
     """
     _require(listing, *ORDER, "url")
     pages = listing.groupBy("source", "url").agg(
         F.min("page_no").alias("_first"), F.max("page_no").alias("_last")
     )
-    repeated = measured(pages.filter("_first < _last").drop("_last"), "repeated")
+    repeated = pages.filter("_first < _last").drop("_last")
     return (
         listing.join(repeated, ["source", "url"], "left")
         .filter(F.col("_first").isNull() | (F.col("page_no") == F.col("_first")))
@@ -72,14 +71,16 @@ def until_exhausted(
     links: DataFrame,
     sources: Sequence[str] | None = None,
     listing: DataFrame | None = None,
+    first_page: int = 1,
 ) -> DataFrame:
-    """Stop before the first page without a new address (a missing page has none).
+    """Walk from ``first_page`` and stop before the first page without a new address.
 
-    ``listing`` is the whole listing to read the stops from, where ``links`` is already
-    reduced.
+    A missing page has none, so a source without ``first_page`` is not walked at all. ``listing``
+    is the whole listing to read the stops from, where ``links`` is already reduced.
     """
     _require(links, *ORDER, "url")
-    walked = links if listing is None else listing
+    walked = (links if listing is None else listing).filter(F.col("page_no") >= first_page)
+    links = links.filter(F.col("page_no") >= first_page)
     fresh = walked.groupBy("source", "url").agg(F.min("page_no").alias("page_no"))
     here = F.col("page_no")
     marks = fresh.select(
@@ -91,7 +92,12 @@ def until_exhausted(
             )
         ),
     )
-    ends = marks.groupBy("source", "page_no").agg(F.bool_or("has_new").alias("has_new"))
+    opened = fresh.select("source", F.lit(first_page).alias("page_no"), F.lit(False).alias("has_new"))
+    ends = (
+        marks.unionByName(opened.distinct())
+        .groupBy("source", "page_no")
+        .agg(F.bool_or("has_new").alias("has_new"))
+    )
     return _before(links, ends.filter("NOT has_new"), here, sources)
 
 
@@ -128,15 +134,15 @@ def _before(
     """Rows of ``df`` before the least ``at`` of ``ends`` within their source; all without one.
 
     For known sources the stops are one row, a scalar subquery: no join and no shuffle of
-    ``df``. Otherwise they are one row per source, computed first and broadcast if few; many
-    are joined by a shuffle, where skew splitting takes care of a large source.
+    ``df``. Otherwise they are one row per source; Spark broadcasts them if their bytes are few, else
+    joins by a shuffle, where skew splitting takes care of a large source.
     """
 
     def kept(stop: Column) -> Column:
         return F.coalesce(at <= stop if inclusive else at < stop, F.lit(True))
 
     if sources is None:
-        stops = measured(ends.groupBy("source").agg(F.min(at).alias("_stop")), "stops")
+        stops = ends.groupBy("source").agg(F.min(at).alias("_stop"))
         return df.join(stops, "source", "left").filter(kept(F.col("_stop"))).drop("_stop")
     names = list(sources)
     mine = df.filter(F.col("source").isin(names))

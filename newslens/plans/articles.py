@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newslens.operators import clean, extract, listing
 from newslens.rules import SITE_RULES, SiteRule
-from newslens.sources.tables import fetched, union_sources
+from newslens.sources.tables import union_sources
 from newslens.sources.workspace import written
 
 
@@ -33,6 +33,16 @@ def visits(links: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFram
     return union_sources(*walks)
 
 
+def of_status(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFrame:
+    """Landed pages with the status that their site's rule asks for."""
+    any_status = [r.source for r in rules if r.status is None]
+    keep = F.col("source").isin(any_status)
+    for status in sorted({r.status for r in rules if r.status is not None}):
+        names = [r.source for r in rules if r.status == status]
+        keep |= F.col("source").isin(names) & (F.col("status") == status)
+    return pages.filter(keep)
+
+
 def build_articles(
     pages: DataFrame,
     links: DataFrame,
@@ -42,16 +52,20 @@ def build_articles(
 ) -> DataFrame:
     """Landed pages (source, url, status, html; one per address) and listing links to articles.
 
-    Pages are parsed once, where they are read; only the much smaller articles are shuffled
-    to their links. That table is written to the shared folder, since the cut-off reads its
-    dates before its texts, and the parse should neither run twice nor be lost with an
-    executor.
+    The links are written once, by source, so that reading them (which may mean parsing the
+    listing) is not repeated by the walks, and so are the addresses the walks open. Only landed pages
+    with such an address are parsed. The articles are written too: the cut-off reads their dates
+    before their texts, and the parse should neither run twice nor be lost with an executor.
 
     The order of the steps is part of the result: unreadable articles go first, then the
     age cut-off, then the keywords, so an old article without keywords still ends a walk.
     """
-    found = extract.articles(fetched(pages), rules).withColumnRenamed("link", "url")
-    opened = visits(links, rules).join(found, ["source", "url"])
+    names = [r.source for r in rules]
+    known = links.filter(F.col("source").isin(names)).select(*listing.ORDER, "url")
+    opened = written(visits(written(known, "links", partition_by=["source"]), rules), "visits")
+    linked = of_status(pages, rules).join(opened.select("source", "url"), ["source", "url"], "left_semi")
+    found = extract.articles(linked, rules).withColumnRenamed("link", "url")
+    opened = opened.join(found, ["source", "url"])
     rows = written(opened, "articles", partition_by=["source"])
 
     kept = []

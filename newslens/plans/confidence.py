@@ -11,7 +11,6 @@ from newslens.functions import text
 from newslens.functions.dates import days as n_days
 from newslens.functions.sentiment import NEGATIVE, NEUTRAL, POSITIVE, Lexicon, Model
 from newslens.operators import clean, mentions
-from newslens.plans.labels import MAX_CHARS
 from newslens.rules import EntityPattern
 
 WEIGHTS = (0.4, 0.3, 0.3)  # fixed values: sentiment, volume, momentum
@@ -36,8 +35,8 @@ def with_periods(dated: DataFrame, days: int = 30) -> DataFrame:
 def sentence_mentions(
     articles: DataFrame,
     patterns: Sequence[EntityPattern],
-    scorer: Lexicon | Model = Lexicon(),
-    max_chars: int = MAX_CHARS,
+    scorer: Lexicon | Model,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """(entity, link, published_date, pos, sentence, label): one row per sentence and entity.
 
@@ -53,16 +52,17 @@ def sentence_mentions(
 def labelled_rows(
     articles: DataFrame,
     patterns: Sequence[EntityPattern],
-    scorer: Lexicon | Model = Lexicon(),
+    scorer: Lexicon | Model,
     days: int = 30,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
     score_partitions: int | None = None,
 ) -> DataFrame:
     """(entity, label, n, recent, previous): what every score is a sum of.
 
-    A native scorer runs in the scan's stage, one row per mention. For a model, equal
-    sentences are first counted together, so that each distinct one is scored once and no
-    text is joined back; ``score_partitions`` fixes the parallelism of that step.
+    A native scorer runs in the scan's stage, one row per mention. For a model, what it sees
+    of equal sentences is first counted together, so that each distinct text is scored once and no
+    text is joined back. That step runs in ``score_partitions`` tasks, by default
+    ``spark.sql.shuffle.partitions``: bytes say little about a model's time.
     """
     seen = text.clipped(F.col("sentence"), max_chars).alias("seen")
     rows = mentions.naming_sentences(
@@ -74,12 +74,20 @@ def labelled_rows(
         F.col("recent").cast("bigint").alias("recent"),
         F.col("previous").cast("bigint").alias("previous"),
     )
-    if not scorer.native:
-        rows = rows.groupBy("seen", "entities").agg(*[F.sum(c).alias(c) for c in _COUNTS])
-        if score_partitions:
-            rows = rows.repartition(score_partitions, "seen")
-    rows = rows.withColumn("label", scorer.score(F.col("seen"))["label"])
-    return mentions.per_entity(rows, "label", *_COUNTS)
+    if scorer.native:
+        rows = rows.withColumn("label", scorer.score(F.col("seen"))["label"])
+        return mentions.per_entity(rows, "label", *_COUNTS)
+    n = score_partitions or int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # sentences that differ only beyond the scorer's limit may name different entities
+    texts = (
+        rows.groupBy("seen", "entities")
+        .agg(*[F.sum(c).alias(c) for c in _COUNTS])
+        .groupBy("seen")
+        .agg(F.collect_list(F.struct("entities", *_COUNTS)).alias("named"))
+        .repartition(n, "seen")
+    )
+    scored = texts.withColumn("label", scorer.score(F.col("seen"))["label"])
+    return mentions.per_entity(scored.select("label", F.inline("named")), "label", *_COUNTS)
 
 
 def labelled_counts(articles: DataFrame, patterns: Sequence[EntityPattern], **options) -> DataFrame:
@@ -91,11 +99,11 @@ def labelled_counts(articles: DataFrame, patterns: Sequence[EntityPattern], **op
 def confidence_index(
     articles: DataFrame,
     patterns: Sequence[EntityPattern],
-    scorer: Lexicon | Model = Lexicon(),
+    scorer: Lexicon | Model,
     weights: tuple[float, float, float] = WEIGHTS,
     days: int = 30,
     keep_unmentioned: bool = True,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
     score_partitions: int | None = None,
 ) -> DataFrame:
     """Scores per entity, rounded to three digits.

@@ -66,12 +66,25 @@ def gauges(scenarios: DataFrame) -> DataFrame:
 
 
 def daily_mentions(
-    articles: DataFrame, variants: Sequence[Variants], last_days: int | None = None
+    articles: DataFrame,
+    variants: Sequence[Variants],
+    last_days: int | None = None,
+    results: DataFrame | Sequence[str] | None = None,
 ) -> DataFrame:
     """(entity, date, mentions): articles per entity and day, days without any left out.
 
     All days by default; ``last_days`` keeps those up to that many before the newest.
+    ``results`` (a result table, which has a row per entity, or names) narrows the entities to
+    those it holds; a name without variants is an error.
     """
+    if results is not None:
+        if isinstance(results, DataFrame):
+            # one more than there are variants is already an error, so no more are fetched
+            rows = results.select("entity").distinct().limit(len(variants) + 1).collect()
+            results = sorted(r.entity for r in rows)
+        variants = chosen(variants, results)
+        if not variants:
+            return articles.sparkSession.createDataFrame([], "entity string, date date, mentions long")
     dated = clean.with_day(clean.dated(articles))
     if last_days is not None:
         newest = dated.agg(F.max("date")).scalar()

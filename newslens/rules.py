@@ -69,6 +69,7 @@ class SiteRule:
     dedupe: str = "earlier_page"  # "first" | "earlier_page"
     cutoff: str = "immediate"  # "immediate" | "page_end"
     page_cap: int | None = None
+    status: int | None = 200  # article pages of another status are not read; None: all are
     keywords: tuple[str, ...] = field(default=())
 
 
@@ -154,6 +155,9 @@ KEYWORDS = (
     "chitwan 2", "chitwan-2",
 )
 
+# Pages of this site's listing that the original walk opens; no rule is capped by default.
+KATHMANDU_PAGES = 11
+
 KATHMANDU_POST = SiteRule(
     source="Kathmandu Post",
     title=("div.col-sm-8 h1",),
@@ -166,7 +170,7 @@ KATHMANDU_POST = SiteRule(
     link_base="https://kathmandupost.com/politics",
     dedupe="first",
     cutoff="immediate",
-    page_cap=11,
+    status=None,
     keywords=KEYWORDS,
 )
 

@@ -24,8 +24,8 @@ LANDED_PAGE = _struct(source=_S, url=_S, status=_I, html=_S)
 
 ARTICLE = _struct(source=_S, title=_S, link=_S, content=_S, published_date=_TS)
 
-# Articles as CSV keep the date as the text the site printed.
-ARTICLE_TEXT = _struct(source=_S, title=_S, link=_S, content=_S, published_date=_S)
+# Stored articles also keep the date as the text the site printed; CSV has it as the date.
+STORED_ARTICLE = T.StructType(ARTICLE.fields + _struct(date_text=_S).fields)
 
 LABELLED = T.StructType(ARTICLE.fields + _struct(sentiment=_S, confidence=_D).fields)
 

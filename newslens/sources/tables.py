@@ -39,7 +39,19 @@ VIEWS = ("Leader", "Party")
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+    """Columns by the names in the header; others are left out, a missing one is an error.
+
+    All files of the path must have the header of the first. Values that do not fit are null.
+    """
+    names = spark.read.options(**_CSV, multiLine=True).csv(path).columns
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = spark.read.schema(texts).options(**_CSV, multiLine=True, enforceSchema=False).csv(path)
+    return rows.select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema]
+    )
 
 
 def _write_csv(df: DataFrame, path: str, mode: str) -> None:
@@ -60,7 +72,11 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, form: str) -> Da
     if form == "parquet":
         return spark.read.schema(schema).parquet(path)
     if form == "csv":
-        return clean.with_dates(_read_csv(spark, path, _text_dates(schema)))
+        columns = T.StructType([f for f in _text_dates(schema) if f.name != "date_text"])
+        rows = _read_csv(spark, path, columns)
+        if "date_text" in schema.names:
+            rows = rows.withColumn("date_text", F.col("published_date"))
+        return clean.with_dates(rows)
     raise ValueError(f"unknown form {form!r}")
 
 
@@ -70,7 +86,7 @@ def _write(df: DataFrame, path: str, form: str, mode: str) -> None:
     elif form == "csv":
         date = dates.wall_time(F.col("published_date"))
         if "date_text" in df.columns:
-            date = F.col("date_text")
+            date = F.coalesce("date_text", date)
         _write_csv(df.withColumn("published_date", date).drop("date_text"), path, mode)
     else:
         raise ValueError(f"unknown form {form!r}")
@@ -86,7 +102,8 @@ def fetched(pages: DataFrame) -> DataFrame:
 
 
 def read_articles(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
-    return _read(spark, path, schemas.ARTICLE, form)
+    """Articles with ``date_text``, the printed date, where the file has it."""
+    return _read(spark, path, schemas.STORED_ARTICLE, form)
 
 
 def write_articles(df: DataFrame, path: str, form: str = "parquet", mode: str = "error") -> None:

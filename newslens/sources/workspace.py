@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session, or the checkpoint folder set on its context.
 
-    Only a local session without the setting gets a folder of its own; a cluster must
-    name one, as its executors do not see the driver's disk.
+    There is no other: executors do not see the driver's disk.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="newslens-"))
-        folder = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return folder
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where this application's tables lie."""
+    return f"{shared_folder(spark).rstrip('/')}/newslens/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/newslens/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -37,29 +34,23 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataF
     Cuts the lineage at a table that outlives executors, and lets each later reader fetch
     only the columns and partitions it needs.
     """
-    path = new_path(df.sparkSession, name)
+    return written_at(df, new_path(df.sparkSession, name), partition_by)
+
+
+def written_at(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``written`` at a path of ``new_path``, for tables that are deleted before the job ends."""
     df.write.partitionBy(*partition_by).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return stored.select(*df.columns)
 
 
-SMALL_ROWS = 100_000
-
-
-def measured(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that should be small and count it; mark it for broadcast if it is.
-
-    Larger ones are left to a shuffle join, so the size never has to be guessed.
-    """
-    stored = written(df, name)
-    return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored
-
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete one written table."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out an input that has fewer splits than the cluster has cores.
 
-    For per-row work that costs more than moving the row, such as parsing HTML or matching
-    long texts. An input with enough splits, so any large one, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def clean_up(spark: SparkSession) -> None:
+    """Delete all tables this application has written; its earlier results can no longer be read."""
+    delete(spark, own_folder(spark))

@@ -6,13 +6,16 @@ are ordered windows, and every pattern is tried on every text.
 
 from __future__ import annotations
 
-from newslens import COUNT_RULES, KEYWORDS, LEADER_PATTERNS, PARTY_PATTERNS
+from newslens import COUNT_RULES, KEYWORDS, LEADER_PATTERNS, PARTY_PATTERNS, EntityPattern
+
+#: A party that no document names.
+UNMENTIONED = EntityPattern("Janamat", r"\bjanamat\b", ("janamat",))
 
 AS_OF = "TIMESTAMP '2025-04-01'"
 
 NEWS = """
 base AS (
-  SELECT doc_id, source, regexp_replace(text, '[^\\x00-\\x7F]', ' ', 'g') AS t FROM documents
+  SELECT doc_id, source, text AS t FROM documents
 ),
 news AS (
   SELECT source, substr(t, 1, 40) AS title,
@@ -86,7 +89,7 @@ PORTALS = """
 base AS (
   SELECT doc_id, doc_id % 3 AS kind,
     ['Kathmandu Post', 'Setopati', 'OnlineKhabar'][doc_id % 3 + 1] AS source,
-    regexp_replace(text, '[^\\x00-\\x7F]', ' ', 'g') AS t,
+    text AS t,
     CAST(doc_id // 60 + 1 AS INTEGER) AS page_no, CAST(doc_id % 60 // 3 AS INTEGER) AS pos,
     TIMESTAMP '2025-01-01' + to_days(CAST(90 - (floor(doc_id * 90 /
       ((SELECT max(doc_id) FROM documents) + 1)) - doc_id % 7) AS INTEGER)) AS day
@@ -111,6 +114,16 @@ portal AS (
 """
 
 
+def _stops(seen: str) -> str:
+    """First page, from 1 on and one beyond the last, without a new address, by source."""
+    return f"""stops AS (
+  SELECT source, min(page_no) AS stop FROM (
+    SELECT source, unnest(range(1, max(page_no) + 2)) AS page_no FROM {seen} GROUP BY source
+  ) ANTI JOIN (SELECT source, page_no FROM {seen} WHERE page_no = p) USING (source, page_no)
+  GROUP BY source
+)"""
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select.strip()}"
 
@@ -123,15 +136,27 @@ def _quoted(word: str) -> str:
     return "'" + word.replace("'", "''") + "'"
 
 
+def _plain_letters(text: str) -> str:
+    """For patterns only: this engine's ``\\b`` knows ASCII letters, so others become ``_``."""
+    return f"regexp_replace({text}, '[^\\x00-\\x7F\\P{{L}}]', '_', 'g')"
+
+
+def _found(text: str, pattern: str) -> str:
+    return f"regexp_matches({_plain_letters(text)}, '{pattern}')"
+
+
 def _label(text: str) -> str:
     return (
-        f"CASE WHEN contains({text}, 'good') THEN 'positive' "
-        f"WHEN contains({text}, 'bad') THEN 'negative' ELSE 'neutral' END"
+        f"CASE WHEN {_found(text, _GOOD)} THEN 'positive' "
+        f"WHEN {_found(text, _BAD)} THEN 'negative' ELSE 'neutral' END"
     )
 
 
+_GOOD, _BAD = r"\bgood\b", r"\bbad\b"
+
+
 def _hits(text: str, pattern: str) -> str:
-    return f"len(regexp_extract_all({text}, '{pattern}'))"
+    return f"len(regexp_extract_all({_plain_letters(text)}, '{pattern}'))"
 
 
 def _gated(rule) -> str:
@@ -168,7 +193,8 @@ def _naming(words: dict[str, str]) -> str:
     return f"""words(entity, pattern) AS (VALUES {values}),
 naming AS (
   SELECT entity, link, published_date FROM news, words
-  WHERE regexp_matches(lower(title), pattern) OR regexp_matches(lower(content), pattern)
+  WHERE {_found("lower(title)", "PATTERN").replace("'PATTERN'", "pattern")}
+    OR {_found("lower(content)", "PATTERN").replace("'PATTERN'", "pattern")}
 )"""
 
 
@@ -183,12 +209,13 @@ sentences AS (
 
 def _mentions(patterns) -> str:
     values = ", ".join(f"('{p.entity}', '{p.pattern}')" for p in patterns)
-    label = _label("substr(sentence, 1, 512)")
+    label = _label("sentence")
     return f"""{NEWS}, {SENTENCES},
 patterns(entity, pattern) AS (VALUES {values}),
 mentions AS (
   SELECT link, published_date, pos, sentence, entity, {label} AS label
-  FROM sentences, patterns WHERE regexp_matches(sentence, pattern)
+  FROM sentences, patterns
+  WHERE {_found("sentence", "PATTERN").replace("'PATTERN'", "pattern")}
 ),
 placed AS (
   SELECT *, published_date >= m - to_days(30) AS recent,
@@ -263,13 +290,31 @@ def all_queries() -> dict[str, str]:
         "entity, sentiment_score, volume_score, momentum, mci_v2, total_mentions"
     )
     full = f"{NEWS}, {_counts()}"
-    sentiment = _with(
+    def labelled(content: str) -> str:
+        return _with(
+            NEWS,
+            f"""SELECT link, {_label(content)} AS sentiment,
+              CASE WHEN {_found(content, _GOOD)} OR {_found(content, _BAD)} THEN 1.0::DOUBLE
+                ELSE 0.0::DOUBLE END AS confidence FROM news""",
+        )
+
+    sentiment = labelled("lower(content)")
+    stored = _with(
         NEWS,
-        f"""SELECT link, {_label("substr(lower(content), 1, 512)")} AS sentiment,
-          CASE WHEN contains(substr(lower(content), 1, 512), 'good')
-            OR contains(substr(lower(content), 1, 512), 'bad') THEN 1.0::DOUBLE
-            ELSE 0.0::DOUBLE END AS confidence FROM news""",
+        f"""SELECT source, title, link, content, {_stamp("published_date")} AS published_date,
+          {_stamp("published_date")} AS date_text FROM news""",
     )
+
+    def exhausted(listing: str) -> str:
+        return _with(
+            f"""{LISTING},
+mine AS (SELECT * FROM {listing}),
+seen AS (SELECT *, min(page_no) OVER (PARTITION BY source, url) AS p FROM mine),
+{_stops("seen")}""",
+            """SELECT m.source, page_no, pos, url FROM mine m LEFT JOIN stops USING (source)
+              WHERE page_no < stop""",
+        )
+
     leaders = _with(_index(LEADER_PATTERNS), f"SELECT {result} FROM result")
 
     def mention_rows(patterns) -> str:
@@ -360,6 +405,14 @@ n AS (SELECT entity, count(*) AS n FROM naming GROUP BY entity)""",
         "sentence_mentions_model": mention_rows(PARTY_PATTERNS),
         "article_sentiment": sentiment,
         "article_sentiment_model": sentiment,
+        "article_sentiment_512": labelled("substr(lower(content), 1, 512)"),
+        "article_sentiment_errors": _with(
+            NEWS,
+            f"""SELECT link, CASE WHEN {_found("lower(content)", _BAD)} THEN 'error'
+                ELSE 'neutral' END AS sentiment,
+              CASE WHEN {_found("lower(content)", _BAD)} THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END
+                AS confidence FROM news""",
+        ),
         "label_windows": _with(
             _mentions(LEADER_PATTERNS),
             """SELECT entity, label, count(*) AS n, count(*) FILTER (WHERE recent) AS recent,
@@ -370,6 +423,10 @@ n AS (SELECT entity, count(*) AS n FROM naming GROUP BY entity)""",
             _index(PARTY_PATTERNS), f"SELECT {result} FROM result WHERE total_mentions > 0"
         ),
         "confidence_model": leaders,
+        "confidence_with_unmentioned": _with(
+            _index((*PARTY_PATTERNS, UNMENTIONED)), f"SELECT {result} FROM result"
+        ),
+        "daily_mentions_of_results": days({k: v for k, v in PARTY_WORDS.items() if k != "RSP"}),
         "csv_results": leaders,
         "scenario_ranking": _with(
             _scenario(LEADER_PATTERNS),
@@ -424,17 +481,10 @@ FROM pages""".strip(),
             """SELECT source, page_no, pos, url FROM (SELECT *, min(page_no) OVER (
               PARTITION BY source, url) AS p FROM listing) WHERE page_no = p""",
         ),
-        "stop_when_exhausted": _with(
-            f"""{LISTING},
-seen AS (SELECT *, min(page_no) OVER (PARTITION BY source, url) AS p FROM listing),
-walked AS (
-  SELECT source, page_no, bool_or(page_no = p) AS has_new FROM seen GROUP BY ALL
-),
-stops AS (
-  SELECT source, min(page_no) AS stop FROM walked WHERE NOT has_new GROUP BY source
-)""",
-            """SELECT l.source, page_no, pos, url FROM listing l LEFT JOIN stops USING (source)
-              WHERE stop IS NULL OR page_no < stop""",
+        "stop_when_exhausted": exhausted("listing"),
+        "stop_without_first_page": exhausted(
+            "(SELECT * FROM listing WHERE NOT (source = 'Setopati' AND page_no = 1 "
+            "OR source = 'OnlineKhabar' AND page_no = 3))"
         ),
         "page_cap": _with(LISTING, "SELECT source, page_no, pos, url FROM listing WHERE page_no <= 11"),
         "cutoff_immediate": _with(
@@ -456,22 +506,22 @@ links AS (
   UNION ALL SELECT source, kind, page_no + CASE WHEN doc_id % 5 = 1 THEN 2 ELSE 0 END,
     pos + 20, url FROM portal
 ),
-capped AS (SELECT * FROM links WHERE kind <> 0 OR page_no <= 11),
 seen AS (
   SELECT *, min(page_no) OVER (PARTITION BY source, url) AS p,
-    row_number() OVER (PARTITION BY source, url ORDER BY page_no, pos) AS k FROM capped
+    row_number() OVER (PARTITION BY source, url ORDER BY page_no, pos) AS k FROM links
 ),
-walked AS (SELECT source, page_no, bool_or(page_no = p) AS fresh FROM seen GROUP BY ALL),
-stops AS (SELECT source, min(page_no) AS stop FROM walked WHERE NOT fresh GROUP BY source),
+"""
+            + _stops("seen")
+            + f""",
 visits AS (
   SELECT s.* FROM seen s LEFT JOIN stops USING (source)
-  WHERE CASE kind WHEN 0 THEN k = 1 ELSE page_no = p AND (stop IS NULL OR page_no < stop) END
+  WHERE CASE kind WHEN 0 THEN k = 1 ELSE page_no = p AND page_no < stop END
 ),
 opened AS (
   SELECT v.page_no, v.pos, a.*,
     coalesce(a.published_date < {AS_OF} - to_days(60), false) AS is_old
   FROM visits v JOIN (SELECT * EXCLUDE (page_no, pos) FROM portal) a USING (source, url)
-  WHERE status = 200 AND (a.kind <> 0 OR a.published_date IS NOT NULL)
+  WHERE (status = 200 OR a.kind = 0) AND (a.kind <> 0 OR a.published_date IS NOT NULL)
 ),
 ended AS (
   SELECT *, bool_or(is_old) OVER (PARTITION BY source ORDER BY page_no, pos) AS at_once,
@@ -487,6 +537,18 @@ ended AS (
                 ELSE NOT at_once END
               AND (kind <> 0 OR {keywords})""",
         ),
+        "articles_from_listings": f"""
+SELECT source, 'Election ' || page_id AS title, link, url AS content,
+  strftime(d, '%Y-%m-%d %H:%M:%S') AS published_date,
+  CASE page_id % 3 WHEN 1 THEN strftime(d, '%Y-%m-%d %H:%M')
+    ELSE strftime(d, '%Y-%m-%d %H:%M:%S') END AS date_text
+FROM (
+  SELECT page_id, url, ['Kathmandu Post', 'Setopati', 'OnlineKhabar'][page_id % 3 + 1] AS source,
+    CASE page_id % 3 WHEN 0 THEN 'https://kathmandupost.com/politics/' || page_id
+      WHEN 1 THEN 'https://en.setopati.com/political/' || page_id || '/'
+      ELSE 'https://english.onlinekhabar.com/' || page_id || '.html' END AS link,
+    TIMESTAMP '2025-01-01' + to_days(CAST(60 + page_id % 31 AS INTEGER)) AS d
+  FROM pages WHERE page_id % 2 = 0)""".strip(),
         "landed_pages": _with(PORTALS, "SELECT source, url, status FROM portal WHERE status = 200"),
         "union_sources": _with(WALK, f"SELECT {walk_columns} FROM walk"),
         "run_summary": _with(
@@ -494,11 +556,8 @@ ended AS (
             """SELECT count(link) AS link, count(source) AS source,
               count(published_date) AS published_date, count(*) AS total_rows FROM read""",
         ),
-        "csv_articles": _with(
-            NEWS,
-            f"""SELECT source, title, link, content, {_stamp("published_date")} AS published_date
-              FROM news""",
-        ),
+        "csv_articles": stored,
+        "csv_by_header": stored,
         "csv_tracked": _with(full, f"SELECT link, t AS full_text, {counted} FROM tracked"),
         "csv_labelled": sentiment,
     }

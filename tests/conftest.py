@@ -9,7 +9,7 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("newslens-tests")
@@ -17,10 +17,15 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+
+    from newslens.sources import workspace
+
+    workspace.clean_up(session)
     session.stop()
 
 

@@ -26,7 +26,7 @@ def world(seed):
     pages, links = {}, []
     for source in (K, S, O):
         for page in range(1, 15):
-            if rng.random() < 0.03 and page > 3:
+            if rng.random() < (0.2 if page == 1 and seed else 0.03):
                 continue
             for place in range(rng.randint(1, 5)):
                 url = f"{source[0]}{page * 10 + rng.randint(-12, 4)}"
@@ -59,10 +59,10 @@ def walk(source, pages, links):
     if source == K:
         for _, number, _, url in mine:
             page = pages[source, url]
-            if number > 11 or url in seen:
+            if url in seen:
                 continue
             seen.add(url)
-            if page["status"] != 200 or page["date"] is None or not page["title"]:
+            if page["date"] is None or not page["title"]:
                 continue
             if old(page):
                 return kept
@@ -89,7 +89,7 @@ def walk(source, pages, links):
     return kept
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(5))
 def test_against_plain_walk(spark, seed):
     pages, links = world(seed)
     landed = spark.createDataFrame(
@@ -107,6 +107,53 @@ def test_against_plain_walk(spark, seed):
         assert r.published_date == page["date"]
 
 
+def test_page_cap_and_status_are_rules(spark):
+    import dataclasses
+
+    page = {"date": dt.datetime(2025, 3, 5), "status": 200, "title": "Vote", "text": "x"}
+    landed = [(K, f"u{n}", 404 if n == 2 else 200, html(K, page)) for n in range(1, 14)]
+    links = [(K, n, 0, f"u{n}") for n in range(1, 14)]
+    landed, links = (
+        spark.createDataFrame(landed, nl.schemas.LANDED_PAGE), spark.createDataFrame(links, nl.schemas.LISTING)
+    )
+    got = lambda rule: nl.build_articles(landed, links, [rule], AS_OF).count()
+    rule = nl.rules.KATHMANDU_POST
+    assert got(rule) == 13
+    assert got(dataclasses.replace(rule, page_cap=nl.rules.KATHMANDU_PAGES)) == 11
+    assert got(dataclasses.replace(rule, status=200)) == 12
+
+
+def test_pages_are_parsed_once_and_only_if_linked(spark, monkeypatch):
+    from newslens.operators import extract
+
+    counts = {"links": spark.sparkContext.accumulator(0), "pages": spark.sparkContext.accumulator(0)}
+
+    def counted(reader, count):
+        def make(rule):
+            one = reader(rule)
+
+            def run(text):
+                count.add(1)
+                return one(text)
+
+            return run
+
+        return make
+
+    monkeypatch.setattr(extract, "_link_reader", counted(extract._link_reader, counts["links"]))
+    monkeypatch.setattr(extract, "_article_reader", counted(extract._article_reader, counts["pages"]))
+    card = '<a class="ok-post-image" href="https://english.onlinekhabar.com/{0}.html"></a>'
+    listing = [(O, n, f'<div class="ok-news-post ltr-post">{card.format(n)}</div>') for n in range(1, 41)]
+    listing += [(S, n, "<p>nothing</p>") for n in range(1, 11)]
+    page = {"date": dt.datetime(2025, 3, 5), "status": 200, "title": "Vote", "text": "x"}
+    url = "https://english.onlinekhabar.com/{0}.html"
+    landed = [(O, url.format(n), 200, html(O, page)) for n in range(1, 121)]
+    links = nl.extract.links(spark.createDataFrame(listing, nl.schemas.LISTING_PAGE))
+    built = nl.build_articles(spark.createDataFrame(landed, nl.schemas.LANDED_PAGE), links, as_of=AS_OF)
+    assert built.count() == 40
+    assert (counts["links"].value, counts["pages"].value) == (50, 40)
+
+
 def test_listing_to_articles(spark):
     """Listing pages and article pages together."""
     card = '<article class="article-image"><a href="/politics/{0}"><h3>x</h3></a></article>'

@@ -25,8 +25,11 @@ PARTIES = [
 ]
 
 
-def index(df, patterns=(A, B), **options):
-    return {r.entity: r for r in nl.confidence_index(df, patterns, **options).collect()}
+WORDS = nl.Lexicon(positive=("good",), negative=("bad",))
+
+
+def index(df, patterns=(A, B), scorer=WORDS, **options):
+    return {r.entity: r for r in nl.confidence_index(df, patterns, scorer, **options).collect()}
 
 
 def test_window_edges(articles):
@@ -64,7 +67,7 @@ def test_unmentioned(articles):
     assert set(index(df, keep_unmentioned=False)) == {"A"}
     nobody = articles(("", "x", "2025-03-31"))
     assert {r.total_mentions for r in index(nobody).values()} == {0}
-    empty = nl.confidence_index(nobody, (A, B), keep_unmentioned=False)
+    empty = nl.confidence_index(nobody, (A, B), WORDS, keep_unmentioned=False)
     assert empty.collect() == [] and empty.columns == nl.schemas.RESULT.names
     assert index(articles(("", "ann", None)))["A"].total_mentions == 0
 
@@ -77,12 +80,11 @@ def test_several_patterns_of_one_entity(articles):
 
 def test_label_only_of_the_scorers_reach(articles):
     far = "ann " + "x" * 600 + " good"
-    assert index(articles(("", far, "2025-03-31")))["A"].sentiment_score == 0.0
-    near = index(articles(("", far, "2025-03-31")), max_chars=1000)
-    assert near["A"].sentiment_score == 1.0
+    assert index(articles(("", far, "2025-03-31")), max_chars=512)["A"].sentiment_score == 0.0
+    assert index(articles(("", far, "2025-03-31")))["A"].sentiment_score == 1.0
     # the entity may stand behind the scorer's reach
     late = articles(("", "good " + "x" * 600 + " ann", "2025-03-31"))
-    assert index(late)["A"].total_mentions == 1
+    assert index(late, max_chars=512)["A"].total_mentions == 1
 
 
 def random_news(seed, n=60):
@@ -180,14 +182,14 @@ def test_volume_and_index_of_published_results(spark):
 
 
 def test_volumes_sum_to_one(articles):
-    counts = labelled_counts(articles(*random_news(3)), (A, B))
+    counts = labelled_counts(articles(*random_news(3)), (A, B), scorer=WORDS)
     total = counts.agg(F.sum("n")).collect()[0][0]
-    got = nl.confidence_index(articles(*random_news(3)), (A, B)).collect()
+    got = nl.confidence_index(articles(*random_news(3)), (A, B), WORDS).collect()
     assert sum(r.total_mentions for r in got) == total
     assert all(-1 <= r.sentiment_score <= 1 for r in got)
 
 
 def test_sentence_mentions(articles):
     df = articles(("", "ann good bob. x. bob", "2025-03-31"))
-    got = {(r.pos, r.entity, r.label) for r in nl.sentence_mentions(df, (A, B)).collect()}
+    got = {(r.pos, r.entity, r.label) for r in nl.sentence_mentions(df, (A, B), WORDS).collect()}
     assert got == {(0, "A", "positive"), (0, "B", "positive"), (2, "B", "neutral")}

@@ -21,11 +21,12 @@ def places(df):
 
 
 @pytest.fixture(params=["few", "many", "known"])
-def sources(request, monkeypatch):
-    """Known sources, or unknown ones on either side of the broadcast limit."""
+def sources(request, spark):
+    """Known sources, or unknown ones that are broadcast or shuffled."""
     if request.param == "many":
-        monkeypatch.setattr(nl.sources.workspace, "SMALL_ROWS", -1)
-    return ["s", "t", "u"] if request.param == "known" else None
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield ["s", "t", "u"] if request.param == "known" else None
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_cutoff_cases(spark, sources):
@@ -55,7 +56,7 @@ def test_duplicate_cases(spark):
 
 def test_page_cap(spark):
     df = table(spark, [("s", p, 0, str(p), None) for p in range(1, 14)])
-    assert nl.listing.capped(df, nl.rules.KATHMANDU_POST.page_cap).count() == 11
+    assert nl.listing.capped(df, nl.rules.KATHMANDU_PAGES).count() == 11
 
 
 def walk(rows, how):
@@ -63,7 +64,7 @@ def walk(rows, how):
     kept = []
     for source in sorted({r[0] for r in rows}):
         mine = sorted(r for r in rows if r[0] == source)
-        seen, page = set(), min(r[1] for r in mine)
+        seen, page = set(), 1
         if how == "first":
             for r in mine:
                 if r[3] not in seen:
@@ -77,14 +78,14 @@ def walk(rows, how):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(4))
 def test_against_plain_walk(spark, sources, seed):
     rng = random.Random(seed)
     rows = [
         (s, p, i, f"u{rng.randrange(4 + seed * 6)}", None)
         for s in "stu"
         for p in range(1, 9)
-        if rng.random() < 0.95 or p == 1
+        if rng.random() < (0.95 if p > 1 else 0.7)
         for i in range(rng.randrange(1, 5))
     ]
     df = table(spark, rows)
@@ -96,6 +97,13 @@ def test_against_plain_walk(spark, sources, seed):
     assert places(before) == walk(rows, "earlier_page")
 
 
+def test_first_page(spark, sources):
+    df = table(spark, [("s", 2, 0, "a", None), ("s", 3, 0, "b", None), ("t", 1, 0, "c", None), ("u", 0, 0, "d", None)])
+    assert places(nl.listing.until_exhausted(df, sources)) == [("t", 1, 0)]
+    assert places(nl.listing.until_exhausted(df, sources, first_page=2)) == [("s", 2, 0), ("s", 3, 0)]
+    assert places(nl.listing.until_exhausted(df.limit(0), sources)) == []
+
+
 def test_one_hot_address(spark):
     rows = [("s", p, i, "hot" if i < 10 else f"u{p}-{i}", None) for p in range(1, 60) for i in range(20)]
     df = table(spark, rows)

@@ -9,7 +9,9 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+EXTRA = entry.training_data.queries() if entry.training_data else {}  # they have their own tests
+QUERIES = {n: q for n, q in entry.queries().items() if n not in EXTRA and n != "pipeline"}
+SQL = {n: q for n, q in entry.oracle_sql().items() if n in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +47,18 @@ def test_every_query_has_its_sql():
     assert set(SQL) == set(QUERIES)
 
 
+def test_building_a_walk_starts_no_job(spark):
+    groups = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    spark.sparkContext.setJobGroup("building", "")
+    for name in ("url_new_on_page", "stop_when_exhausted", "cutoff_page_end"):
+        QUERIES[name](spark, SF).explain()
+    # reading a Parquet schema is a job of its own
+    reading = groups()
+    tables = [spark.read.parquet(f"{SF}/pages.parquet") for _ in range(4)]
+    assert tables and groups() - reading >= reading - 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -64,8 +78,8 @@ def test_plans_of_row_wise_jobs_do_not_shuffle(spark, tmp_path):
     stored = nl.tables.read_articles(spark, str(tmp_path / "a"))
     for df in (
         nl.track_mentions(stored),
-        nl.label_articles(stored),
-        nl.sentence_mentions(stored, nl.LEADER_PATTERNS),
+        nl.label_articles(stored, nl.Lexicon(("good",), ("bad",))),
+        nl.sentence_mentions(stored, nl.LEADER_PATTERNS, nl.Lexicon(("good",), ("bad",))),
         nl.clean.with_keywords(stored, nl.KEYWORDS),
     ):
         assert "Exchange" not in plan(df)

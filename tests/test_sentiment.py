@@ -1,8 +1,5 @@
 """The scorers' contract."""
 
-import sys
-import types
-
 import pandas as pd
 import pytest
 
@@ -17,7 +14,7 @@ def picky():
         def predict(texts):
             if any("boom" in t for t in texts):
                 raise RuntimeError("boom")
-            return [("positive" if len(t) <= 512 else "long", 0.75) for t in texts]
+            return [("positive" if len(t) < 900 else "long", 0.75) for t in texts]
 
         return predict
 
@@ -28,7 +25,7 @@ def test_article_labels_survive_failures(articles):
     df = articles(("boom", "fine", None), ("", "boom", None), ("", None, None), ("", "x" * 900, None))
     got = nl.label_articles(df, picky()).orderBy("link").collect()
     assert [(r.sentiment, r.confidence) for r in got] == [
-        ("positive", 0.75), ("error", 0.0), ("positive", 0.75), ("positive", 0.75)
+        ("positive", 0.75), ("error", 0.0), ("positive", 0.75), ("long", 0.75)
     ]
     assert got[0].asDict().keys() == {*df.columns, "sentiment", "confidence"}
 
@@ -39,14 +36,76 @@ def test_sentence_labels_do_not(articles):
         nl.sentence_mentions(df, nl.LEADER_PATTERNS, picky()).collect()
 
 
+WORDS = nl.Lexicon(positive=("good",), negative=("bad", "Très mal"))
+
+
 def test_lexicon(articles):
-    df = articles(("bad", "Good and bad", None), ("", "BAD", None), ("", "x", None), ("", None, None))
-    got = nl.label_articles(df).orderBy("link").collect()
+    texts = ["Good and bad", "BAD", "x", None, "goodbye badly", "très MAL!", "ügood"]
+    got = nl.label_articles(articles(*[("bad", t, None) for t in texts]), WORDS).orderBy("link").collect()
     assert [(r.sentiment, r.confidence) for r in got] == [
-        ("positive", 1.0), ("negative", 1.0), ("neutral", 0.0), ("neutral", 0.0)
+        ("positive", 1.0), ("negative", 1.0), ("neutral", 0.0), ("neutral", 0.0), ("neutral", 0.0),
+        ("negative", 1.0), ("neutral", 0.0),
     ]
-    own = nl.label_articles(df, nl.Lexicon(positive=("x",), negative=())).orderBy("link").collect()
-    assert [r.sentiment for r in own] == ["neutral", "neutral", "positive", "neutral"]
+    none = nl.Lexicon(positive=(), negative=())
+    assert {r.sentiment for r in nl.label_articles(articles(("", "good", None)), none).collect()} == {"neutral"}
+
+
+def test_a_scorer_must_be_given(articles):
+    with pytest.raises(TypeError):
+        nl.label_articles(articles(("", "x", None)))
+
+
+def test_whole_texts_unless_limited(articles):
+    df = articles(("", "x" * 600 + " good", None))
+    assert nl.label_articles(df, WORDS).collect()[0].sentiment == "positive"
+    assert nl.label_articles(df, WORDS, nl.plans.labels.MAX_CHARS).collect()[0].sentiment == "neutral"
+
+
+def noting(folder):
+    """A model that leaves a file for each load and for each text it sees."""
+
+    def load():
+        import uuid
+
+        (folder / f"load-{uuid.uuid4().hex}").touch()
+
+        def predict(texts):
+            for _ in texts:
+                (folder / f"text-{uuid.uuid4().hex}").touch()
+            return [("positive", 1.0) for _ in texts]
+
+        return predict
+
+    return nl.Model(load)
+
+
+def noted(folder, kind):
+    return len(list(folder.glob(f"{kind}-*")))
+
+
+def test_a_worker_loads_a_model_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    texts = spark.range(400, numPartitions=40).select(F.col("id").cast("string").alias("t"))
+    scored = texts.select(noting(tmp_path).score(F.col("t"))["label"].alias("label"))
+    assert scored.filter("label = 'positive'").count() == 400
+    # workers may be replaced, but not one for each task
+    assert noted(tmp_path, "text") == 400 and 1 <= noted(tmp_path, "load") <= 12
+    before = noted(tmp_path, "load")
+    assert texts.select(noting(tmp_path).score(F.col("t"))["label"].alias("l")).distinct().count() == 1
+    assert noted(tmp_path, "load") > before  # another model is another key
+
+
+def test_each_distinct_text_is_scored_once_in_many_tasks(spark, articles, tmp_path):
+    from pyspark.sql import functions as F
+
+    from newslens.plans.confidence import labelled_rows
+
+    news = articles(*[("", f"uml number {i % 30:02}. rsp {i % 7} and uml", "2025-03-01") for i in range(300)])
+    rows = labelled_rows(news, nl.PARTY_PATTERNS, noting(tmp_path), max_chars=14)
+    assert rows.agg(F.sum("n")).first()[0] == 300 + 600
+    assert noted(tmp_path, "text") == 30 + 7
+    assert rows.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_equal_texts_of_a_batch_are_scored_once():
@@ -68,20 +127,3 @@ def test_wrong_number_of_labels_is_an_error():
     assert list(score_batch(lambda texts: [], pd.Series(["a"]), "label").label) == ["error"]
     with pytest.raises(ValueError):
         picky().score(None, on_error="ignore")
-
-
-def test_public_model_by_name(monkeypatch):
-    fake = types.ModuleType("transformers")
-    seen = {}
-
-    def pipeline(task, model):
-        seen.update(task=task, model=model)
-        return lambda texts, batch_size: [{"label": "neutral", "score": 0.5} for _ in texts]
-
-    fake.pipeline = pipeline
-    monkeypatch.setitem(sys.modules, "transformers", fake)
-    assert nl.transformers_model("some/model").load()(["a"]) == [("neutral", 0.5)]
-    assert seen == {"task": "sentiment-analysis", "model": "some/model"}
-    monkeypatch.setitem(sys.modules, "transformers", None)
-    with pytest.raises(RuntimeError, match="transformers"):
-        nl.transformers_model().load()

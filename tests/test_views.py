@@ -47,6 +47,18 @@ def test_trend_and_gauges(spark):
     assert (gauge.name, gauge.value, gauge.axis_min, gauge.axis_max) == ("KP_Oli", 0.023, -0.5, 0.5)
 
 
+def test_daily_mentions_of_results(spark, articles):
+    df = articles(("balen", "", "2025-03-01"), ("gagan", "oli kp", "2025-03-01"))
+    days = lambda results: [r.entity for r in nl.daily_mentions(df, nl.LEADER_VARIANTS, results=results).collect()]
+    assert days(["Gagan_Thapa"]) == ["Gagan_Thapa"]
+    assert days(results(spark, LEADERS[:2])) == ["Balen_Shah", "KP_Oli"]
+    assert days([]) == []
+    with pytest.raises(KeyError, match="Nobody"):
+        days(["Nobody"])
+    with pytest.raises(KeyError):
+        days(results(spark, [("Nobody", 0.0, 0.0, 0.0, 0.0, 1)]))
+
+
 def test_daily_mentions(articles):
     df = articles(
         ("Balen", "balen shah mayor", "2025-03-01 08:00"),

@@ -6,31 +6,29 @@ row and the whole text take part. ``oracles.py`` holds the same definitions as S
 
 from __future__ import annotations
 
+import re
 import sys
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslens import Model
-from newslens.sources import workspace
+from newslens import Lexicon, Model
 
+#: The words that the views below append.
+TONE = Lexicon(positive=("good",), negative=("bad",))
 AS_OF = "2025-04-01 00:00:00"
 PORTALS = ("Kathmandu Post", "Setopati", "OnlineKhabar")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return workspace.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _every(n: int, suffix: str):
     return F.when(F.col("doc_id") % n == 0, F.lit(suffix)).otherwise(F.lit(""))
 
 
-def _ascii(column: str):
-    return F.regexp_replace(column, r"[^\x00-\x7F]", " ")
-
-
 def _day(days):
     return F.date_add(F.lit("2025-01-01").cast("date"), days.cast("int")).cast("timestamp_ntz")
 
@@ -41,7 +39,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     tone = F.when(doc % 7 == 0, " good win").when(doc % 11 == 0, " bad loss").otherwise("")
     return (
         table(spark, sf_dir, "documents")
-        .select("doc_id", "source", _ascii("text").alias("t"))
+        .select("doc_id", "source", F.col("text").alias("t"))
         .select(
             "source",
             F.substring("t", 1, 40).alias("title"),
@@ -104,6 +102,13 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(again).drop("page_id")
 
 
+def late_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing where one portal lacks its first page and another its third."""
+    source, page = F.col("source"), F.col("page_no")
+    gone = (source == PORTALS[1]) & (page == 1) | (source == PORTALS[2]) & (page == 3)
+    return listing(spark, sf_dir).filter(~gone)
+
+
 def walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated pages in walking order: the further down, the older, with some scatter."""
     pages = table(spark, sf_dir, "pages")
@@ -144,7 +149,7 @@ def _portal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("cast((doc_id % 60) div 3 as int)").alias("pos"),
         _day(F.lit(90) - back).alias("day"),
         F.when(doc % 17 == 3, 404).otherwise(200).alias("status"),
-        _ascii("text").alias("t"),
+        F.col("text").alias("t"),
     )
 
 
@@ -221,6 +226,37 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of every second address that the listing pages name, and others."""
+    page = F.col("page_id")
+    kind = page % 3
+    day = _day(F.lit(60) + page % 31)
+    url = (
+        F.when(kind == 0, F.concat(F.lit("https://kathmandupost.com/politics/"), "page_id"))
+        .when(kind == 1, F.concat(F.lit("https://en.setopati.com/political/"), "page_id", F.lit("/")))
+        .otherwise(F.concat(F.lit("https://english.onlinekhabar.com/"), "page_id", F.lit(".html")))
+    )
+    title = F.concat(F.lit("Election "), "page_id")
+    k = F.concat(
+        F.lit('<div class="col-sm-8"><h1>'), title, F.lit('</h1></div><p class="updated-time">Published at : '),
+        F.date_format(day, "MMMM d, yyyy"), F.lit('</p><section class="story-section"><p>'), "url", F.lit("</p></section>"),
+    )
+    s = F.concat(
+        F.lit('<span class="news-big-title">'), title, F.lit('</span><span class="pub-date">P: '),
+        F.date_format(day, "yyyy-MM-dd HH:mm"), F.lit('</span><div class="editor-box"><p>'), "url", F.lit("</p></div>"),
+    )
+    o = F.concat(
+        F.lit("<h1>"), title, F.lit("</h1><time>"), F.date_format(day, "yyyy-MM-dd HH:mm:ss"),
+        F.lit('</time><div class="ok-single-post-content"><p>'), "url", F.lit("</p></div>"),
+    )
+    return table(spark, sf_dir, "pages").filter(page % 2 == 0).select(
+        F.element_at(F.array(*map(F.lit, PORTALS)), (kind + 1).cast("int")).alias("source"),
+        url.alias("url"),
+        F.lit(200).alias("status"),
+        F.when(kind == 0, k).when(kind == 1, s).otherwise(o).alias("html"),
+    )
+
+
 def date_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the sites print as dates, by portal, without the HTML around it."""
     number = F.substring_index("link", "/", -1).cast("bigint")
@@ -244,20 +280,36 @@ def date_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_model() -> Model:
-    """The default lexicon as an external model."""
+    """The same words as an external model."""
 
     def load():
+        good, bad = re.compile(r"\bgood\b"), re.compile(r"\bbad\b")
+
         def predict(texts):
             return [
-                ("positive", 1.0) if "good" in t.lower()
-                else ("negative", 1.0) if "bad" in t.lower()
+                ("positive", 1.0) if good.search(t.lower())
+                else ("negative", 1.0) if bad.search(t.lower())
                 else ("neutral", 0.0)
                 for t in texts
             ]
 
         return predict
 
-    return Model(load)
+    return Model(load, key="test words")
+
+
+def failing_model() -> Model:
+    """A model that fails on the word bad."""
+
+    def load():
+        def predict(texts):
+            if any(re.search(r"\bbad\b", t.lower()) for t in texts):
+                raise RuntimeError("bad")
+            return [("neutral", 0.5) for _ in texts]
+
+        return predict
+
+    return Model(load, key="failing test model")
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
