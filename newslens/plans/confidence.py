@@ -82,9 +82,9 @@ def labelled_rows(
     texts = (
         rows.groupBy("seen", "entities")
         .agg(*[F.sum(c).alias(c) for c in _COUNTS])
+        .repartition(n, "seen")  # before the grouping, which keeps this number of tasks
         .groupBy("seen")
         .agg(F.collect_list(F.struct("entities", *_COUNTS)).alias("named"))
-        .repartition(n, "seen")
     )
     scored = texts.withColumn("label", scorer.score(F.col("seen"))["label"])
     return mentions.per_entity(scored.select("label", F.inline("named")), "label", *_COUNTS)
