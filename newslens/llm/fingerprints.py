@@ -90,7 +90,8 @@ def with_next(
     Ids are cut into ranges of about ``slice_rows`` rows; each range also gets a copy of the row
     that follows it, so one shuffle is enough and no range is large. ``derive`` adds columns after that
     shuffle, and those in ``derived`` are also taken from the next row. Equal ids are ordered by the
-    value. Rows without an id come first, spread by a hash.
+    value. Rows without an id come first, spread by a hash. Texts cross the network once: what is
+    copied is found by a join with one number per range.
     """
     ids = docs.agg(F.min(id).alias("low"), F.max(id).alias("high"), F.count(F.lit(1)).alias("n")).first()
     n = max(1, ids["n"])
