@@ -23,8 +23,9 @@ from newslens.functions import dates, text  # noqa: E402
 from newslens.plans.confidence import labelled_counts  # noqa: E402
 from newslens.sources import tables, workspace  # noqa: E402
 
-# Queries over training data; the subpackage may be absent.
-if importlib.util.find_spec("newslens.llm") and importlib.util.find_spec("corpus_pipeline"):
+# Queries over training data; the subpackage may be absent, or an empty folder.
+_found = [importlib.util.find_spec(name) for name in ("newslens.llm", "corpus_pipeline")]
+if all(spec and spec.origin for spec in _found):
     import corpus_pipeline  # noqa: E402
     from newslens.llm import queries as training_data  # noqa: E402
 else:

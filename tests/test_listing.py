@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import newslens as nl
 
@@ -97,6 +98,22 @@ def test_against_plain_walk(spark, sources, seed):
     assert places(before) == walk(rows, "earlier_page")
 
 
+def test_building_a_walk_starts_no_job(spark):
+    df = table(spark, [("s", 1, 0, "a", NEW), ("s", 2, 0, "a", NEW)])
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        for walked in (
+            nl.listing.not_on_earlier_page(df), nl.listing.until_exhausted(df),
+            nl.listing.cutoff(df, "page_end", AS_OF), nl.visits(df.withColumn("source", F.lit("Setopati"))),
+        ):
+            walked._jdf.queryExecution().executedPlan().toString()
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+        assert df.count() == 2
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_first_page(spark, sources):
     df = table(spark, [("s", 2, 0, "a", None), ("s", 3, 0, "b", None), ("t", 1, 0, "c", None), ("u", 0, 0, "d", None)])
     assert places(nl.listing.until_exhausted(df, sources)) == [("t", 1, 0)]

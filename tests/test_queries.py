@@ -47,18 +47,6 @@ def test_every_query_has_its_sql():
     assert set(SQL) == set(QUERIES)
 
 
-def test_building_a_walk_starts_no_job(spark):
-    groups = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
-    spark.sparkContext.setJobGroup("building", "")
-    for name in ("url_new_on_page", "stop_when_exhausted", "cutoff_page_end"):
-        QUERIES[name](spark, SF).explain()
-    # reading a Parquet schema is a job of its own
-    reading = groups()
-    tables = [spark.read.parquet(f"{SF}/pages.parquet") for _ in range(4)]
-    assert tables and groups() - reading >= reading - 3
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
