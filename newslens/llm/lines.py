@@ -280,7 +280,26 @@ def near_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     checked = pairs.join(spelled, "name").join(
         spelled.select(F.col("name").alias("earlier"), F.col("line").alias("before")), "earlier"
     )
-    return checked.filter(F.levenshtein("line", "before") <= 1).select("line").distinct()
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, before = (batch.column(k).to_pylist() for k in (0, 1))
+            found = [x for x, y in zip(lines, before) if one_edit(x, y)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["line"])
+
+    return checked.select("line", "before").mapInArrow(near, "line string").distinct()
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether one insertion, deletion or substitution at most lies between two lines.
+
+    By the end of their common start, found by halving: a full distance would take the square of
+    the length.
+    """
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return a[low + 1 :] == b[low + 1 :] or a[low + 1 :] == b[low:] or a[low:] == b[low + 1 :]
 
 
 def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:

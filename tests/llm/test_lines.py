@@ -1,7 +1,7 @@
 import random
 from collections import defaultdict
 
-from newslens.llm.lines import SPACES, dropped_lines, line_dedup
+from newslens.llm.lines import SPACES, dropped_lines, line_dedup, one_edit
 
 
 def brute(docs, least=20):
@@ -77,6 +77,22 @@ def test_every_single_edit_is_found(spark):
     assert {r.doc_id: r.text for r in got} == {i: line if i == 0 else "" for i, _ in docs}
 
 
+def test_one_edit():
+    random.seed(7)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    for _ in range(3000):
+        a, b = ("".join(random.choices("ab", k=random.randint(0, 6))) for _ in "12")
+        assert one_edit(a, b) == (distance(a, b) <= 1)
+
+
 def test_two_edits_are_kept(spark):
     line = "abcdefghijklmnopqrstuvwxyz 12"
     docs = [(0, line), (1, line[:3] + line[5:]), (2, "#" + line[1:-1] + "#"), (3, line[1:] + "a" + "b")]
