@@ -248,6 +248,8 @@ def near_lines(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         ),
         "variants",
     )
+    first.destroy()
+    second.destroy()
     lines = (
         rows.filter("kind IS NULL")
         .groupBy("name")
