@@ -1,17 +1,22 @@
 """Document fingerprints from closed syncmers.
 
-The alphabet is the text's words. A k-mer of ``K`` words is an anchor if the least hash
+The alphabet is the text's words. In scripts that are written without spaces, and in runs of more than ``LONG``
+code points, each code point is a word. A k-mer of ``K`` words is an anchor if the least hash
 among its inner ``S``-mers lies at its first or last place. Whether a k-mer is an anchor depends on
 nothing but itself, so a passage gives the same anchors wherever it stands, and their positions
 can be matched between documents. The fingerprint is the bottom-``SIZE`` sketch of a text's
 anchors: their ``SIZE`` least hashes, in hex. The likeness of two fingerprints is the share of the
 ``SIZE`` least hashes of both that both have, an estimate of the anchors' Jaccard similarity.
 
+A text of fewer than ``K`` words has anchors of ``SHORT_K`` code points instead, by ``SHORT_S``-mers, over its words with one space
+between them. Sketches of texts of fewer than 2 * ``K`` words have both kinds, so that short texts are comparable with
+somewhat longer ones.
+
 Everything is DataFrame expressions over the array of a text's words; a text is read whole.
 
 Defined results: null text is empty; an empty text has no anchor and an empty fingerprint, whose
-likeness to another empty one is 1 and to any other 0. A text without a word, or of fewer
-than ``K`` words, has one anchor, the hash of all of it. Equal texts have equal fingerprints.
+likeness to another empty one is 1 and to any other 0. A text without a word, or of fewer than ``K`` words
+and ``SHORT_K`` code points, has one anchor, the hash of all of it. Equal texts have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -24,22 +29,51 @@ from pyspark.sql import functions as F
 from newslens.llm.common import or_empty, written
 
 K, S, SIZE = 5, 2, 64
+SHORT_K, SHORT_S, LONG = 10, 4, 32
 SLICE_ROWS = 1024
 WORD_GAPS = r"[\x20\x09-\x0D]+"
+#: Thai, Lao, Tibetan, Burmese, Khmer, ideographs and kana.
+UNSEGMENTED = (
+    r"[\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{2FDF}\x{3005}-\x{3007}\x{3031}-\x{312F}\x{31F0}-\x{31FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]"
+)
+
 
+def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, short: str | None = None) -> DataFrame:
+    """Adds ``out``: array of struct(position in words, or code points if there are too few, hash), in text order.
 
-def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """Adds ``out``: array of struct(position in words, hash), in text order."""
+    Also adds ``short``, if named: the anchors of code points of texts that have at least ``k`` words, but fewer than 2 * ``k``.
+    """
     if not 0 < s < k:
         raise ValueError("the inner length must be between 0 and k")
-    width = k - s + 1
-    words, inner = f"_{out}_words", f"_{out}_inner"
-    split = F.filter(F.split(or_empty(text), WORD_GAPS), lambda w: w != "")
-    df = df.withColumn(words, F.transform(split, lambda w: F.xxhash64(w)))
+    words, seen, spelled = f"_{out}_words", f"_{out}_hashes", f"_{out}_spelled"
+    df = df.withColumn(words, _words(or_empty(text)))
+    df = df.withColumn(seen, F.transform(words, lambda w: F.xxhash64(w)))
+    df = _syncmers(df, seen, out, k, s)
+    df = _spelled(df, words, spelled, F.size(words) < (2 * k if short else k))
+    whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(or_empty(text), F.lit(k)).alias("hash")))
+    none = F.array().cast("array<struct<position:int,hash:bigint>>")
+    rest = F.when(F.length(or_empty(text)) > 0, whole).otherwise(none)
+    if short:
+        df = df.withColumn(short, F.when(F.size(words) >= k, F.coalesce(spelled, none)).otherwise(none))
+    return df.withColumn(out, F.coalesce(out, spelled, rest)).drop(words, seen, spelled)
+
+
+def _words(text: Column) -> Column:
+    """The words of a text, those of ``UNSEGMENTED`` scripts and long runs by code points."""
+    apart = F.when(text.rlike(UNSEGMENTED), F.regexp_replace(text, f"({UNSEGMENTED})", " $1 ")).otherwise(text)
+    split = F.filter(F.split(apart, WORD_GAPS), lambda w: w != "")
+    parts = F.flatten(F.transform(split, lambda w: F.when(F.length(w) > LONG, F.split(w, "")).otherwise(F.array(w))))
+    return F.when(F.exists(split, lambda w: F.length(w) > LONG), parts).otherwise(split)
+
+
+def _syncmers(df: DataFrame, hashes: str, out: str, k: int, s: int) -> DataFrame:
+    """Adds ``out``, the anchors of a sequence of hashes; null if it has fewer than ``k``."""
+    width, inner = k - s + 1, f"_{out}_inner"
     hashed = F.transform(
-        F.sequence(F.lit(1), F.size(words) - (s - 1)), lambda i: F.xxhash64(F.slice(words, i, s))
+        F.sequence(F.lit(1), F.size(hashes) - (s - 1)), lambda i: F.xxhash64(F.slice(hashes, i, s))
     )
-    df = df.withColumn(inner, F.when(F.size(words) >= k, hashed))
+    df = df.withColumn(inner, F.when(F.size(hashes) >= k, hashed))
     edges = F.filter(
         F.sequence(F.lit(1), F.size(inner) - (width - 1)),
         lambda i: F.array_min(F.slice(inner, i, width))
@@ -54,10 +88,16 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) ->
             F.xxhash64(*[F.get(F.col(inner), i - 1 + step) for step in steps]).alias("hash"),
         ),
     )
-    whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(or_empty(text), F.lit(k)).alias("hash")))
-    none = F.array().cast("array<struct<position:int,hash:bigint>>")
-    short = F.when(F.length(or_empty(text)) > 0, whole).otherwise(none)
-    return df.withColumn(out, F.when(F.col(inner).isNotNull(), anchors).otherwise(short)).drop(words, inner)
+    return df.withColumn(out, F.when(F.col(inner).isNotNull(), anchors)).drop(inner)
+
+
+def _spelled(df: DataFrame, words: str, out: str, when: Column) -> DataFrame:
+    """Adds ``out``, the anchors of the code points of few words; null without such."""
+    seen = f"_{out}_hashes"
+    letters = F.transform(F.split(F.array_join(words, " "), ""), lambda c: F.xxhash64(c))
+    df = df.withColumn(seen, F.when(when, letters))
+    df = _syncmers(df, seen, out, SHORT_K, SHORT_S).drop(seen)
+    return df.withColumn(out, F.when(F.size(out) > 0, F.col(out)))
 
 
 def sketch(anchors: str | Column, size: int = SIZE) -> Column:
@@ -124,4 +164,5 @@ def with_next(
 
 def with_sketch(df: DataFrame, text: str = "text", out: str = "sketch") -> DataFrame:
     """Adds the sketch of a text."""
-    return with_anchors(df, text, "_anchors").withColumn(out, sketch("_anchors")).drop("_anchors")
+    df = with_anchors(df, text, "_anchors", short="_short")
+    return df.withColumn(out, sketch(F.concat("_anchors", "_short"))).drop("_anchors", "_short")

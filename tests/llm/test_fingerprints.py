@@ -84,3 +84,33 @@ def test_rows_without_id_come_first(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     after = {r.text: r.next_text for r in with_next(df, "doc_id", "text").collect()}
     assert after["a"] == "c" and after["c"] in "xy" and {after["x"], after["y"]} in ({"y", "a"}, {"x", "a"})
+
+
+def test_texts_of_few_words_and_without_spaces_have_likeness(spark):
+    random.seed(9)
+    han = lambda n: "".join(chr(random.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    old, lines = han(400), [han(30) for _ in range(12)]
+    few = "internationalisation of neighbourhoods misunderstood"
+    far = "".join(random.choices("abcdefghij", k=400))
+    texts = {
+        "few": few, "few edited": few[:-13] + "reconsidered", "few, a word more": few[:-13] + "often reconsidered again",
+        "han": old, "han edited": old[:300] + han(100), "lines": "\n".join(lines),
+        "lines edited": "\n".join(x[:10] + han(1) + x[11:] for x in lines),
+        "thai": "ภาษาไทยเขียนโดยไม่มีช่องว่างระหว่างคำ", "thai edited": "ภาษาไทยเขียนโดยไม่มีช่องว่างเลยสักแห่ง",
+        "run": far, "run edited": far[:300] + "".join(random.choices("klmnop", k=100)),
+    }
+    df = with_sketch(spark.createDataFrame(list(texts.items()), "id string, text string"))
+    pairs = df.crossJoin(df.select(F.col("id").alias("j"), F.col("sketch").alias("other")))
+    near = {(r.id, r.j): r.n for r in pairs.withColumn("n", likeness("sketch", "other")).collect()}
+    for name in ("few", "han", "lines", "thai", "run"):
+        assert near[name, f"{name} edited"] > 0.3, name
+    assert near["few", "few, a word more"] > 0.3
+    assert near["few", "run"] == near["han", "lines"] == near["thai", "han"] == 0.0
+
+
+def test_unsegmented_anchors_against_brute_force(spark):
+    texts = ["漢字仮名交じり文、と mixed words は two alphabets です", "a" * 40 + " bb cc", "𠀀𠀁 𠀂x𠀃𠀄", "ก ข\nคงจฉ"]
+    apart = ["漢 字 仮 名 交 じ り 文 、 と mixed words は two alphabets で す", "a " * 40 + "bb cc", "𠀀 𠀁 𠀂 x 𠀃 𠀄", "ก ข ค ง จ ฉ"]
+    df = spark.createDataFrame(list(zip(texts, apart)), "text string, apart string")
+    for row in with_anchors(df, "text", "a").collect():
+        assert [(a.position, a.hash) for a in row.a] == brute(row.apart)
