@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import (
-    exact_dedup, fingerprints, jaccard, language, lines, mixing, packing, pitman_yor, quality, urls,
+    exact_dedup, fingerprints, jaccard, language, lines, mixing, packing, periodic, pitman_yor, quality, urls,
 )
-from newslens.llm.common import doc_part, or_empty, word_count, written
+from newslens.llm.common import WORD, doc_part, or_empty, word_count, written
 
 URL_RULES = (
     urls.Rule("block", "net", "/"),
@@ -127,9 +127,37 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", "n_chars", "n_lines", "n_dropped")
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of each tenth document, by a hash of its id, the words from some place on repeat."""
+    docs = docs.select("doc_id", or_empty("text").alias("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    docs = docs.withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    )
+    docs = docs.withColumn("n", F.size("words")).withColumn("g", F.expr("h DIV 10"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    tail = F.flatten(F.array_repeat(F.expr("slice(words, a + 1, p)"), F.expr("CAST(1 + (n - a) DIV p AS INT)")))
+    repeated = F.concat(F.expr("slice(words, 1, a)"), F.slice(tail, F.lit(1), F.expr("n - a")))
+    return docs.select("doc_id", F.coalesce(F.array_join(repeated, " "), "text").alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, its most repeated one, and its text without their repetitions."""
+    docs = _with_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = periodic.with_runs(docs).withColumn("best", periodic.best_run("runs"))
+    line = lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return rows.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _QUERIES = (
     op1_length_buckets, op2_closed_syncmers, op3_pitman_yor, op4_hierarchical_mix, op5_exact_dedup,
-    op6_pu_quality, op7_kneser_ney, op8_url_trie, op9_jaccard_join, op10_line_dedup,
+    op6_pu_quality, op7_kneser_ney, op8_url_trie, op9_jaccard_join, op10_line_dedup, op13_periodic_runs,
 )
 
 

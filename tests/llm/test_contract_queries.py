@@ -5,8 +5,10 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import duckdb
+import numpy as np
 import pytest
 
 from newslens.llm import queries as llm
@@ -52,7 +54,7 @@ def test_query_against_its_sql(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == [*range(1, 11), 13]
 
 
 def test_native_queries_run_no_python(spark):
@@ -136,3 +138,41 @@ def test_languages(spark, duck, texts):
     assert set(held) == {i for i in texts if part(i, 4) == 2}
     assert sum(found[i].lang_pred == truth[i] for i in held) >= 0.95 * len(held)
     assert all(0 <= r.score <= 1 for r in found.values())
+
+
+def test_periodic_runs(spark, texts):
+    found = {r.doc_id: r for r in QUERIES["op13_periodic_runs"](spark, SF).collect()}
+    assert found.keys() == texts.keys()
+    edited = 0
+    for i, text in texts.items():
+        ws, h = words(text), zlib.crc32(str(i).encode())
+        n, g = len(ws), h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            ws = [ws[j if j < a else a + (j - a) % p] for j in range(n)]
+            edited += 1
+        runs = periods(ws)
+        best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None,) * 3)
+        gone = {j for s, m, q in runs for j in range(s + q, s + m)}
+        r = found[i]
+        assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *best)
+        assert r.exponent_milli == (1000 * best[1] // best[2] if runs else None)
+        listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        assert r.runs_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        kept = " ".join(w for j, w in enumerate(ws) if j not in gone)
+        assert r.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+    assert edited > 5
+
+
+def periods(ws):
+    """Every run, by comparing words at each distance."""
+    ids = {w: k for k, w in enumerate(dict.fromkeys(ws))}
+    w, runs, seen = np.array([ids[x] for x in ws]), [], set()
+    for q in range(1, len(ws) // 4 + 1):
+        same = np.concatenate([[0], w[:-q] == w[q:], [0]]).astype(int)
+        for s, e in zip(np.flatnonzero(np.diff(same) == 1), np.flatnonzero(np.diff(same) == -1)):
+            if e + q - s >= max(6, 4 * q) and (s, e + q) not in seen:  # periods ascend: the smallest counts
+                seen.add((s, e + q))
+                runs.append((int(s), int(e + q - s), q))
+    return sorted(runs, key=lambda r: (r[0], r[2]))
