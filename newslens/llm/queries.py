@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import (
-    exact_dedup, fingerprints, jaccard, language, lines, mixing, packing, periodic, pitman_yor, quality, urls,
+    exact_dedup, fingerprints, jaccard, language, lines, mixing, negatives, packing, periodic, pitman_yor, quality, urls,
 )
+from newslens.llm.blocks import whole_vector
 from newslens.llm.common import WORD, doc_part, or_empty, word_count, written
 
 URL_RULES = (
@@ -127,6 +128,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", "n_chars", "n_lines", "n_dropped")
 
 
+def _whole_numbers(vector: str):
+    """Each component as floor(256 x), in doubles: those from 2**53 on are whole already."""
+    scaled = lambda x: F.lit(256.0) * x.cast("double")
+    far = lambda x: F.abs(scaled(x)) >= F.lit(2.0**53)
+    return F.transform(vector, lambda x: F.when(far(x), scaled(x)).otherwise(F.floor(scaled(x)).cast("double")))
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each anchor and each of its positives, its hard negatives."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.filter(whole_vector("embedding")).select("vec_id", other.alias("label"), _whole_numbers("embedding").alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0).drop("positive_rank")
+
+
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text): of each tenth document, by a hash of its id, the words from some place on repeat."""
     docs = docs.select("doc_id", or_empty("text").alias("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
@@ -157,7 +173,8 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_length_buckets, op2_closed_syncmers, op3_pitman_yor, op4_hierarchical_mix, op5_exact_dedup,
-    op6_pu_quality, op7_kneser_ney, op8_url_trie, op9_jaccard_join, op10_line_dedup, op13_periodic_runs,
+    op6_pu_quality, op7_kneser_ney, op8_url_trie, op9_jaccard_join, op10_line_dedup, op11_hard_negatives,
+    op13_periodic_runs,
 )
 
 
@@ -261,5 +278,27 @@ FROM p LEFT JOIN fit ON fit.page_id = p.page_id AND k = 1
 """
 
 
+_OP11 = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT a.vec_id AS a, r.vec_id AS r, a.label = r.label AS same, CAST(list_dot_product(a.e, r.e) AS BIGINT) AS s
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+),
+p AS (SELECT a, r, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, r) <= 5),
+n AS (
+  SELECT p.a, p.r AS p, p.s AS ps, s.r AS n, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.r ORDER BY s.s DESC, s.r) AS k
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s
+)
+SELECT a AS anchor_id, p AS positive_id, CAST(k AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE k <= 3
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op4_hierarchical_mix": _OP4, "op5_exact_dedup": _OP5, "op8_url_trie": _OP8}
+    return {"op4_hierarchical_mix": _OP4, "op5_exact_dedup": _OP5, "op8_url_trie": _OP8, "op11_hard_negatives": _OP11}

@@ -15,7 +15,7 @@ from newslens.llm import queries as llm
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = llm.queries(), llm.oracle_sql()
-TABLES = ("documents", "pages", "labels")
+TABLES = ("documents", "pages", "labels", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -54,7 +54,7 @@ def test_query_against_its_sql(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == [*range(1, 12), 13]
 
 
 def test_native_queries_run_no_python(spark):
