@@ -5,15 +5,15 @@ the ``positives`` best other rows of its label; for each of them, the ``negative
 whose score lies between two percentages of the positive's are its hard negatives. Higher scores come
 first, ties by smaller id.
 
-Each vector is turned by a random rotation (sign flips and Hadamard transforms, ``BITS`` coordinates for each of its own),
-and only the signs are kept: a code ``b``. With it are stored its length in the vector's own space and
-its alignment ``a``, the cosine between vector and code. The vector is then ``a`` times the code's
-direction plus a residual of known length at right angles to it. For a query ``q`` in ``PLANES`` bit planes, popcounts
-of code and planes give ``m``, the part of ``q`` along the code, up to a known rounding error; by Cauchy and
-Schwarz the residual adds at most ``sqrt(1 - a^2) * sqrt(|q|^2 - m^2)``. The interval so found
-always holds the score, so a row is dropped only if it cannot count: below the k-th largest lower
-bound, or outside the band. Rows that are left are scored exactly, in whole numbers. The result is
-the one of scoring all pairs.
+Each vector is turned by a random rotation (sign flips and Hadamard transforms), and only the signs are
+kept: a one-bit code. With it is stored the alignment ``a``, the cosine between vector and code. The vector is
+then its length times ``a`` along the code, plus a residual of known length at right angles to it.
+The residual gets a code of its own by another rotation, and so on ``STAGES`` times; each leaves about 0.6 of the length. For
+a query ``q`` in ``PLANES`` bit planes, popcounts of codes and planes give its parts along the codes, up to
+a known rounding error. By Cauchy and Schwarz the last residual ``r`` adds at most ``|r| * sqrt(|q|^2 - m^2)``, where ``m`` is
+the part of ``q`` along the last code. The interval so found always holds the score, so a row
+is dropped only if it cannot count: below the k-th largest lower bound, or outside the band. Rows that are left are
+scored exactly, in whole numbers. The result is the one of scoring all pairs.
 
 The anchors, a stated query set, meet all rows in blocks (``ROWS`` by ``ANCHORS``); a pair of blocks sends on at most k rows for
 each anchor, which windows with a group limit merge. Labels and equal vectors may be as frequent as they
@@ -40,94 +40,136 @@ from newslens.llm.blocks import block_count, each_with_each, whole_vector
 from newslens.llm.common import written
 
 ROWS, ANCHORS = 4096, 2048  # rows of a block, anchors of a block
-BITS, PLANES, ROUNDS = 4, 6, 3
-CELLS = 1 << 19  # pairs estimated at once
+STAGES, PLANES, ROUNDS = 6, 7, 3
+CELLS = 1 << 16  # pairs estimated at once
 SLACK = 1e-9  # of |v| |q|, for the rounding of doubles
 EXACT = 2**53
 
 
-def _signs(size: int, store: dict = {}) -> np.ndarray:  # noqa: B006  kept for the worker's life
-    if size not in store:
-        store[size] = np.random.default_rng([17, size]).integers(0, 2, (ROUNDS, size)) * 2.0 - 1.0
-    return store[size]
+def _signs(size: int, stage: int, store: dict = {}) -> np.ndarray:  # noqa: B006  kept for the worker's life
+    if (size, stage) not in store:
+        store[size, stage] = np.random.default_rng([17, size, stage]).integers(0, 2, (ROUNDS, size)) * 2.0 - 1.0
+    return store[size, stage]
 
 
 def code_size(dims: int) -> int:
-    return max(64, 1 << max(0, BITS * dims - 1).bit_length())
+    return max(64, 1 << max(0, dims - 1).bit_length())
+
+
+def _matrix(size: int, store: dict = {}) -> np.ndarray:  # noqa: B006  kept as above
+    if size not in store:
+        k = np.arange(size, dtype=np.uint64)
+        store[size] = 1.0 - 2.0 * (np.bitwise_count(k[:, None] & k) % 2)
+    return store[size]
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
+    """The transform of each row, 64 coordinates at a time."""
     rows, n = x.shape
     width = 1
     while width < n:
-        pair = x.reshape(rows, n // (2 * width), 2, width)
-        x = np.stack([pair[:, :, 0] + pair[:, :, 1], pair[:, :, 0] - pair[:, :, 1]], axis=2).reshape(rows, n)
-        width *= 2
-    return x / np.sqrt(n)
+        m = min(64, n // width)
+        if width == 1:
+            x = x.reshape(-1, m) @ _matrix(m)
+        else:
+            x = _matrix(m) @ x.reshape(rows, n // (m * width), m, width)
+        width *= m
+    return x.reshape(rows, n) / np.sqrt(n)
 
 
-def rotate(vectors: np.ndarray) -> np.ndarray:
+def rotate(vectors: np.ndarray, stage: int) -> np.ndarray:
     """Each row in ``code_size`` coordinates; lengths and inner products stay."""
     rows, dims = vectors.shape
     size = code_size(dims)
     x = np.zeros((rows, size))
     x[:, :dims] = vectors
-    for signs in _signs(size):
+    for signs in _signs(size, stage):
         x = _hadamard(x * signs)
     return x
 
 
-def back(x: np.ndarray, dims: int) -> np.ndarray:
+def back(x: np.ndarray, dims: int, stage: int) -> np.ndarray:
     """The transpose of ``rotate``."""
-    for signs in _signs(x.shape[1])[::-1]:
+    for signs in _signs(x.shape[1], stage)[::-1]:
         x = _hadamard(x) * signs
     return x[:, :dims]
 
 
-def encode(vectors: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(code words, length of the vector, length of the code, alignment) of each row."""
-    turned = rotate(vectors)
-    bits = turned >= 0
-    length = np.linalg.norm(vectors, axis=1)
-    code_length = np.linalg.norm(back(bits * 2.0 - 1.0, vectors.shape[1]), axis=1)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        along = np.abs(turned).sum(axis=1) / (length * code_length)
-    along = np.where((length > 0) & (code_length > 0), np.clip(along, 0.0, 1.0), 0.0)
-    words = np.packbits(bits, axis=1, bitorder="little").view("<u8")
-    return words, length, code_length, along
+def _packed(bits: np.ndarray) -> np.ndarray:
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8")
+
+
+def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code words by stage, length, alignments, code lengths) of each row."""
+    rest, words, aligned, lengths = vectors.astype(float), [], [], []
+    for stage in range(STAGES):
+        bits = rotate(rest, stage) >= 0
+        code = back(bits * 2.0 - 1.0, vectors.shape[1], stage)
+        length = np.linalg.norm(code, axis=1)
+        direction = code / np.where(length > 0, length, 1.0)[:, None]
+        size = np.linalg.norm(rest, axis=1)
+        along = np.einsum("ij,ij->i", rest, direction)
+        words.append(_packed(bits))
+        aligned.append(np.clip(along / np.where(size > 0, size, 1.0), -1.0, 1.0))
+        lengths.append(np.where(length > 0, length, 1.0))
+        rest = rest - along[:, None] * direction
+    return np.stack(words, axis=1), np.linalg.norm(vectors, axis=1), np.stack(aligned, axis=1), np.stack(lengths, axis=1)
 
 
 class Codes:
-    """The codes of a block, by word, with what their intervals need."""
+    """The codes of a block, by stage and word, with what their intervals need."""
 
-    def __init__(self, words: np.ndarray, length: np.ndarray, code_length: np.ndarray, along: np.ndarray):
-        self.words = np.ascontiguousarray(words.T)
-        self.ones = np.bitwise_count(self.words).sum(axis=0, dtype=np.int32)
-        self.length = length
-        self.code_length = np.where(code_length > 0, code_length, 1.0)
-        self.along, self.across = along, np.sqrt(np.maximum(0.0, 1.0 - along * along))
+    def __init__(self, words: np.ndarray, length: np.ndarray, aligned: np.ndarray, lengths: np.ndarray):
+        self.words = np.ascontiguousarray(words.transpose(1, 2, 0))
+        self.ones = np.bitwise_count(self.words).sum(axis=1, dtype=np.int64)
+        self.length, self.lengths = length, lengths.T
+        across = np.cumprod(np.sqrt(np.maximum(0.0, 1.0 - aligned * aligned)), axis=1).T
+        before = np.concatenate([np.ones((1, len(length))), across[:-1]])
+        self.along, self.rest = length * before * aligned.T, length * across[-1]
 
     def intervals(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lower, upper) bound of the inner product of each query with each row."""
-        turned = rotate(queries)
-        low, high = turned.min(axis=1), turned.max(axis=1)
-        step = np.maximum((high - low) / (2**PLANES - 1), np.finfo(float).tiny)
-        whole = np.rint((turned - low[:, None]) / step[:, None]).astype(np.int64)
-        error = np.abs(turned - low[:, None] - whole * step[:, None]).sum(axis=1)
-        counts = np.zeros((len(queries), self.words.shape[1]), dtype=np.int32)
-        for plane in range(PLANES):
-            bits = np.packbits((whole >> plane & 1).astype(bool), axis=1, bitorder="little").view("<u8")
-            for k, words in enumerate(self.words):
-                counts += np.bitwise_count(words[None] & bits[:, k, None]).astype(np.int32) << plane
-        rounded = (low[:, None] + whole * step[:, None]).sum(axis=1)
-        part = 2.0 * (low[:, None] * self.ones + step[:, None] * counts) - rounded[:, None]
-        part /= self.code_length
-        off = error[:, None] / self.code_length
+        shape = len(queries), len(self.length)
         size = np.linalg.norm(queries, axis=1)[:, None]
-        rest = np.sqrt(np.maximum(0.0, size * size - np.square(np.maximum(0.0, np.abs(part) - off))))
-        wide = self.along * off + self.across * rest + SLACK * size
-        middle = self.along * part
-        return self.length * (middle - wide), self.length * (middle + wide)
+        middle = np.zeros(shape)
+        for_rows, of_queries, errors = [], [], []
+        for stage, words in enumerate(self.words):
+            turned = rotate(queries, stage)
+            low, high = turned.min(axis=1, keepdims=True), turned.max(axis=1, keepdims=True)
+            step = np.maximum((high - low) / (2**PLANES - 1), np.finfo(float).tiny)
+            whole = np.rint((turned - low) / step).astype(np.int64)
+            errors.append(np.abs(turned - low - whole * step).sum(axis=1))
+            # code . query = 2 step counts + 2 low ones - sum of the rounded query
+            part = np.multiply(_weighed(words, whole), 1.0 / self.lengths[stage])
+            part *= 2.0 * step
+            known = np.concatenate([2.0 * low, -(low + whole * step).sum(axis=1, keepdims=True)], axis=1)
+            if stage == STAGES - 1:
+                last = part + known @ (np.stack([self.ones[stage], np.ones(shape[1])]) / self.lengths[stage])
+            part *= self.along[stage]
+            middle += part
+            of_queries.append(known)
+            for_rows.append(np.stack([self.ones[stage], np.ones(shape[1])]) * (self.along[stage] / self.lengths[stage]))
+        middle += np.concatenate(of_queries, axis=1) @ np.concatenate(for_rows)
+        off = errors[-1][:, None] / self.lengths[-1]
+        wide = self.rest * np.sqrt(np.maximum(0.0, size * size - np.square(np.maximum(0.0, np.abs(last) - off))))
+        wide += np.stack(errors, axis=1) @ np.abs(self.along / self.lengths)
+        wide += SLACK * size * self.length
+        return middle - wide, middle + wide
+
+
+def _weighed(words: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """For each query and row: the sum of the query's whole numbers where the row's code has a one, by popcounts."""
+    kind = np.int16 if 64 * len(words) * 2**PLANES < 2**15 else np.int64
+    counts = np.zeros((len(whole), words.shape[1]), dtype=kind)
+    both, ones = np.empty(counts.shape, dtype="<u8"), np.empty(counts.shape, dtype=np.uint8)
+    for plane in reversed(range(PLANES)):
+        bits = _packed((whole >> plane & 1).astype(bool))
+        np.left_shift(counts, 1, out=counts)
+        for k, row in enumerate(words):
+            np.bitwise_and(row, bits[:, k, None], out=both)
+            np.bitwise_count(both, out=ones)
+            np.add(counts, ones, out=counts)
+    return counts
 
 
 def scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -165,13 +207,14 @@ class Block:
         self.n, self.dims = rows.num_rows, dims
         column = lambda name: rows.column(name).to_numpy()
         self.id, self.key, self.label = column("id"), column("key"), column("label")
-        joined = lambda name, kind, width: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(self.n, width)
+        joined = lambda name, kind, *shape: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(self.n, *shape)
         self.vectors = joined("vector", "<f8", dims)
-        self.words = joined("code", "<u8", code_size(dims) // 64)
-        self.length, self.code_length, self.along = column("length"), column("code_length"), column("along")
+        self.words = joined("code", "<u8", STAGES, code_size(dims) // 64)
+        self.aligned, self.lengths = joined("aligned", "<f8", STAGES), joined("lengths", "<f8", STAGES)
+        self.length = column("length")
 
     def codes(self, part: np.ndarray | slice = slice(None)) -> Codes:
-        return Codes(self.words[part], self.length[part], self.code_length[part], self.along[part])
+        return Codes(self.words[part], self.length[part], self.aligned[part], self.lengths[part])
 
 
 def _shared(left: pa.Table, right: pa.Table) -> Iterator[tuple[Block, Block]]:
@@ -221,12 +264,22 @@ def _positives(k: int):
     return step
 
 
-def _within(lower: np.ndarray, upper: np.ndarray, least: np.ndarray, most: np.ndarray, k: int) -> np.ndarray:
-    """Which intervals may hold one of the k best scores from ``least`` to ``most``, for each row."""
-    round_off = 1e-12 * np.maximum(np.abs(least.astype(float)), np.abs(most.astype(float)))[:, None]
-    floor, ceiling = least.astype(float)[:, None], most.astype(float)[:, None]
-    sure = np.where((lower >= floor + round_off) & (upper <= ceiling - round_off), lower, -np.inf)
-    return (lower <= ceiling + round_off) & (upper >= np.maximum(floor - round_off, _kth(sure, k)[:, None]))
+def _may_count(i: np.ndarray, lower: np.ndarray, upper: np.ndarray, least: np.ndarray, most: np.ndarray, k: int) -> np.ndarray:
+    """Which intervals may hold one of the k best scores from ``least`` to ``most`` (by anchor ``i``)."""
+    low, high = _rounded(least, -1)[i], _rounded(most, 1)[i]
+    sure = np.flatnonzero((lower >= _rounded(least, 1)[i]) & (upper <= _rounded(most, -1)[i]))
+    sure = sure[np.lexsort((-lower[sure], i[sure]))]
+    kth = np.full(len(least), -np.inf)
+    if len(sure) >= k:
+        same = i[sure[k - 1 :]] == i[sure[: len(sure) - k + 1]]
+        # the first such place of each anchor is its k-th best; later ones are lower
+        np.maximum.at(kth, i[sure[k - 1 :]][same], lower[sure[k - 1 :]][same])
+    return (lower <= high) & (upper >= np.maximum(low, kth[i]))
+
+
+def _rounded(bound: np.ndarray, way: int) -> np.ndarray:
+    """The bound in doubles, moved by more than its rounding."""
+    return bound.astype(float) + way * 1e-12 * np.abs(bound.astype(float))
 
 
 def _negatives(k: int, low: int, high: int):
@@ -234,6 +287,7 @@ def _negatives(k: int, low: int, high: int):
         found = [[] for _ in range(8)]
         for anchors, rows in _shared(left, right):
             codes, bands = rows.codes(), []
+            low_end, high_end = np.full(anchors.n, np.inf), np.full(anchors.n, -np.inf)
             lists = anchors.rows.column("positives").to_pylist()
             for place in range(max(map(len, lists))):
                 has = np.array([len(p) > place for p in lists])
@@ -243,16 +297,22 @@ def _negatives(k: int, low: int, high: int):
                 parts = [int(v) for v in value]
                 least = np.array([-(-low * v // 100) for v in parts], dtype=np.int64)
                 most = np.array([high * v // 100 for v in parts], dtype=np.int64)
-                bands.append((place, has & (least <= most), positive, value, least, most))
+                has &= least <= most
+                bands.append((place, has, positive, value, least, most))
+                low_end[has] = np.minimum(low_end[has], _rounded(least, -1)[has])
+                high_end[has] = np.maximum(high_end[has], _rounded(most, 1)[has])
             for part in _chunks(anchors.n, rows.n):
                 lower, upper = codes.intervals(anchors.vectors[part])
-                same = anchors.label[part][:, None] == rows.label
-                lower[same] = upper[same] = -np.inf
-                wanted = np.zeros(lower.shape, dtype=bool)
-                for _, has, _, _, least, most in bands:
-                    wanted[has[part]] |= _within(lower[has[part]], upper[has[part]], least[part][has[part]], most[part][has[part]], k)
-                i, j = np.nonzero(wanted & ~same)
+                i, j = np.nonzero((upper >= low_end[part, None]) & (lower <= high_end[part, None]))
+                other = anchors.label[part][i] != rows.label[j]
+                i, j = i[other], j[other]
+                lower, upper = lower[i, j], upper[i, j]
                 i += part.start
+                wanted = np.zeros(len(i), dtype=bool)
+                for _, has, _, _, least, most in bands:
+                    mine = np.flatnonzero(has[i])
+                    wanted[mine] |= _may_count(i[mine], lower[mine], upper[mine], least, most, k)
+                i, j = i[wanted], j[wanted]
                 score = scores(anchors.vectors[i], rows.vectors[j])
                 for place, has, positive, value, least, most in bands:
                     inside = np.flatnonzero(has[i] & (score >= least[i]) & (score <= most[i]))
@@ -269,7 +329,7 @@ def _negatives(k: int, low: int, high: int):
     return step
 
 
-_CODED = "id long, key long, label long, anchor boolean, dims int, vector binary, code binary, length double, code_length double, along double"
+_CODED = "id long, key long, label long, anchor boolean, dims int, vector binary, code binary, length double, aligned binary, lengths binary"
 
 
 def _coded(rows: DataFrame) -> DataFrame:
@@ -283,11 +343,11 @@ def _coded(rows: DataFrame) -> DataFrame:
                 which = pa.array(np.flatnonzero(sizes == dims))
                 part, n = batch.take(which), len(which)
                 values = part.column("vector").flatten().to_numpy(zero_copy_only=False).astype("<f8").reshape(n, dims)
-                words, *lengths = encode(values)
+                words, length, aligned, lengths = encode(values)
                 as_bytes = lambda x: pa.array([r.tobytes() for r in x], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("id", "key", "label", "anchor")),
-                     pa.array(np.full(n, dims, np.int32)), as_bytes(values), as_bytes(words), *map(pa.array, lengths)],
+                    [*(part.column(c) for c in ("id", "key", "label", "anchor")), pa.array(np.full(n, dims, np.int32)),
+                     as_bytes(values), as_bytes(words), pa.array(length), as_bytes(aligned), as_bytes(lengths)],
                     names=[f.split()[0] for f in _CODED.split(", ")],
                 )
 
