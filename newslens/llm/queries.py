@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.llm import (
-    exact_dedup, fingerprints, jaccard, language, lines, mixing, negatives, packing, periodic, pitman_yor, quality, urls,
+    exact_dedup, fingerprints, hnsw, jaccard, language, lines, mixing, negatives, packing, periodic, pitman_yor, quality, urls,
 )
 from newslens.llm.blocks import whole_vector
 from newslens.llm.common import WORD, doc_part, or_empty, word_count, written
@@ -143,6 +143,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0).drop("positive_rank")
 
 
+def op12_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows found for each hundredth row."""
+    return hnsw.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text): of each tenth document, by a hash of its id, the words from some place on repeat."""
     docs = docs.select("doc_id", or_empty("text").alias("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
@@ -174,7 +179,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     op1_length_buckets, op2_closed_syncmers, op3_pitman_yor, op4_hierarchical_mix, op5_exact_dedup,
     op6_pu_quality, op7_kneser_ney, op8_url_trie, op9_jaccard_join, op10_line_dedup, op11_hard_negatives,
-    op13_periodic_runs,
+    op12_hnsw, op13_periodic_runs,
 )
 
 

@@ -54,7 +54,7 @@ def test_query_against_its_sql(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == [*range(1, 12), 13]
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_native_queries_run_no_python(spark):
@@ -176,3 +176,24 @@ def periods(ws):
                 seen.add((s, e + q))
                 runs.append((int(s), int(e + q - s), q))
     return sorted(runs, key=lambda r: (r[0], r[2]))
+
+
+def test_hnsw(spark, duck):
+    larger = SF.replace("0.001", "0.1")
+    table = duck.sql(f"SELECT vec_id, embedding FROM '{larger}/embeddings.parquet' ORDER BY vec_id").fetchall()
+    vectors = np.array([v for _, v in table], dtype=np.float64)
+    ids = np.array([i for i, _ in table])
+    found = {}
+    for r in QUERIES["op12_hnsw"](spark, larger).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(found) == [i for i in ids if i % 100 == 0]
+    hits = 0
+    for q, rows in found.items():
+        far = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        assert [k for k, _, _ in sorted(rows)] == list(range(1, 11))
+        assert all(s == pytest.approx(far[i], rel=1e-12) for _, i, s in rows)
+        order = sorted((s, i) for _, i, s in rows)
+        assert [i for _, i, _ in sorted(rows)] == [i for _, i in order] and q not in {i for _, i in order}
+        hits += len({i for _, i, _ in rows} & set(ids[np.lexsort((ids, far))[:10]]))
+    assert hits >= 0.98 * 10 * len(found)
