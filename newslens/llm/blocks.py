@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TASKS = 20_000  # of one stage at most; a task then takes several pairs
+
 
 def whole_vector(vector: str | Column) -> Column:
     """True if the vector is there and each component is a finite number."""
@@ -40,4 +42,7 @@ def each_with_each(
     right = right.withColumn("_r", block_of(right_blocks, *right_key)).withColumn(
         "_l", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)))
     )
-    return left.groupBy("_l", "_r").cogroup(right.groupBy("_l", "_r")).applyInArrow(step, schema)
+    # few bytes, much work: one task for each pair, not as many as fill a partition
+    tasks = min(left_blocks * right_blocks, TASKS)
+    left, right = (side.repartition(tasks, "_l", "_r").groupBy("_l", "_r") for side in (left, right))
+    return left.cogroup(right).applyInArrow(step, schema)

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslens.llm.blocks import block_count, whole_vector
+from newslens.llm.blocks import TASKS, block_count, whole_vector
 from newslens.llm.common import written
 
 SHARD, QUERIES = 4096, 1024  # vectors of a shard, queries of a block
@@ -291,7 +291,9 @@ def nearest(
     counts = nodes.groupBy("dims").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("shards"))
     placed = nodes.join(counts, "dims").withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
     placed = placed.drop("shards").withColumn("ids_text", F.col("ids").cast("string"))
-    index = placed.groupBy("dims", "shard").applyInArrow(_indexed, _INDEX.format(id=kind))
+    # few bytes, much work: one task for each shard, not as many as fill a partition
+    shards = counts.agg(F.sum("shards").alias("n")).first()["n"] or 1
+    index = placed.repartition(min(shards, TASKS), "dims", "shard").groupBy("dims", "shard").applyInArrow(_indexed, _INDEX.format(id=kind))
     index = written(index, "index")
 
     asking = used.filter("asks").select("dims", "id", "vector", F.xxhash64("id", "vector").alias("row"))
@@ -300,7 +302,9 @@ def nearest(
     asking = asking.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["dims", "shard", "block"]
-    found = asking.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(_searched(k, width, kind), _FOUND.format(id=kind))
+    tasks = min(shards * blocks, TASKS)
+    asking, copies = (side.repartition(tasks, *keys).groupBy(*keys) for side in (asking, copies))
+    found = asking.cogroup(copies).applyInArrow(_searched(k, width, kind), _FOUND.format(id=kind))
     order = Window.partitionBy("query", "query_row").orderBy("score", "id")
     found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias(id), "score")
