@@ -21,6 +21,7 @@ import oracles  # noqa: E402
 import testviews as tv  # noqa: E402
 from newslens.functions import dates, text  # noqa: E402
 from newslens.plans.confidence import labelled_counts  # noqa: E402
+from newslens.plans.tracking import mentioned_totals  # noqa: E402
 from newslens.sources import tables, workspace  # noqa: E402
 
 # Queries over training data; the subpackage may be absent, or an empty folder.
@@ -138,6 +139,54 @@ def coverage_ratio(spark, sf):
     return nl.coverage_ratio(tv.news(spark, sf))
 
 
+# --- the same with rules as tables of any number ------------------------------------
+
+
+def keyword_filter_table(spark, sf):
+    keywords = spark.createDataFrame([(k,) for k in nl.KEYWORDS], "keyword string")
+    return nl.clean.with_keywords(tv.news(spark, sf), keywords).select("link", "title")
+
+
+def mention_counts_table(spark, sf):
+    tracked = nl.track_mentions(tv.news(spark, sf), tv.rule_table(spark, nl.COUNT_RULES))
+    return nl.expand_counts(tracked, COUNTED).select("link", *COUNTED)
+
+
+def sentence_mentions_table(spark, sf):
+    patterns = tv.rule_table(spark, nl.LEADER_PATTERNS)
+    return _shown(nl.sentence_mentions(tv.news(spark, sf), patterns, tv.TONE))
+
+
+def term_mentions(spark, sf):
+    """Hits of each of the many terms that titles hold, each a rule of its own."""
+    pattern = F.concat(F.lit(r"\b"), "term", F.lit(r"\b")).alias("pattern")
+    rules = tv.title_terms(spark, sf).select(F.col("term").alias("entity"), pattern)
+    return mentioned_totals(nl.track_mentions(tv.news(spark, sf), rules))
+
+
+def articles_naming_table(spark, sf):
+    variants = tv.variant_table(spark, nl.LEADER_VARIANTS + nl.PARTY_VARIANTS)
+    return nl.phrases.article_counts(tv.news(spark, sf), variants)
+
+
+def daily_mentions_table(spark, sf):
+    variants = tv.variant_table(spark, nl.LEADER_VARIANTS)
+    return _shown(nl.phrases.daily_mentions(tv.news(spark, sf), variants))
+
+
+def coverage_ratio_table(spark, sf):
+    pairs = [(p, leader) for p, leaders in nl.PARTY_LEADERS.items() for leader in leaders]
+    pairs = spark.createDataFrame(pairs, "party string, leader string")
+    parties, leaders = (tv.variant_table(spark, v) for v in (nl.PARTY_VARIANTS, nl.LEADER_VARIANTS))
+    return nl.phrases.coverage_ratio(tv.news(spark, sf), pairs, parties, leaders)
+
+
+def term_articles(spark, sf):
+    """Articles that hold each of the many terms that titles hold, joined by word."""
+    variants = tv.title_terms(spark, sf).select(F.col("term").alias("entity"), F.col("term").alias("variant"))
+    return nl.phrases.article_counts(tv.news(spark, sf), variants)
+
+
 # --- sentiment and the index --------------------------------------------------------
 
 
@@ -350,7 +399,8 @@ _QUERIES = (
     listing_links, page_titles, page_bodies, parse_dates, url_first_seen, url_new_on_page,
     stop_when_exhausted, page_cap, cutoff_immediate, cutoff_page_end, build_articles,
     union_sources, run_summary, csv_articles, csv_tracked, csv_labelled, csv_results,
-    landed_pages,
+    landed_pages, keyword_filter_table, mention_counts_table, sentence_mentions_table, term_mentions,
+    articles_naming_table, daily_mentions_table, coverage_ratio_table, term_articles,
 )
 
 

@@ -5,7 +5,7 @@ from pyspark import cloudpickle as _cloudpickle
 
 from newslens.functions.sentiment import Lexicon, Model
 from newslens import rules, schemas
-from newslens.operators import clean, extract, listing, mentions
+from newslens.operators import clean, extract, listing, mentions, phrases, terms
 from newslens.plans.articles import build_articles, of_status, visits
 from newslens.plans.confidence import confidence_index, sentence_mentions
 from newslens.plans.labels import label_articles

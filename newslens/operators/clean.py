@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslens.functions import dates, text
+from newslens.operators import terms
 
 
 def no_null_text(df: DataFrame, *columns: str) -> DataFrame:
@@ -51,13 +52,16 @@ def recent(
 
 
 def with_keywords(
-    df: DataFrame, keywords: Iterable[str], unless: Column | None = None
+    df: DataFrame, keywords: Iterable[str] | DataFrame, unless: Column | None = None
 ) -> DataFrame:
     """Rows whose content or title contains a keyword as a substring.
 
-    Rows for which ``unless`` holds are kept untested.
+    Rows for which ``unless`` holds are kept untested. Keywords may be a table with a column ``keyword``.
     """
-    found = text.any_keyword(text.search_text(), keywords)
+    if isinstance(keywords, DataFrame):
+        found = terms.any_keyword(df, text.search_text(), keywords)
+    else:
+        found = text.any_keyword(text.search_text(), keywords)
     return df.filter(found if unless is None else unless | found)
 
 

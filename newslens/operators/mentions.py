@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import text
-from newslens.operators import clean
+from newslens.operators import clean, terms
 from newslens.rules import CountRule, EntityPattern, Variants
 
 
@@ -69,10 +69,17 @@ def sentence_rows(articles: DataFrame, *keep: Column | str) -> DataFrame:
 
 
 def naming_sentences(
-    articles: DataFrame, patterns: Sequence[EntityPattern], *keep: Column | str
+    articles: DataFrame, patterns: Sequence[EntityPattern] | DataFrame, *keep: Column | str
 ) -> DataFrame:
-    """Sentences that name an entity, with the array of all entities they name."""
+    """Sentences that name an entity, with the array of all entities they name.
+
+    Patterns may be a table (entity, pattern).
+    """
     sentence = F.col("sentence")
+    if isinstance(patterns, DataFrame):
+        rows = terms.with_candidates(sentence_rows(articles, *keep), "sentence", patterns.select("entity", "pattern"), "_rules")
+        rows = rows.withColumn("entities", terms.matching(sentence, F.col("_rules"))).drop("_rules")
+        return rows.filter(F.size("entities") > 0)
     return (
         sentence_rows(articles, *keep)
         .filter(names_any(sentence, patterns))

@@ -75,13 +75,10 @@ def daily_mentions(
 
     All days by default; ``last_days`` keeps those up to that many before the newest.
     ``results`` (a result table, which has a row per entity, or names) narrows the entities to
-    those it holds; a name without variants is an error.
+    those it holds; a name without variants is an error, for a table when the job runs.
     """
-    if results is not None:
-        if isinstance(results, DataFrame):
-            # one more than there are variants is already an error, so no more are fetched
-            rows = results.select("entity").distinct().limit(len(variants) + 1).collect()
-            results = sorted(r.entity for r in rows)
+    table = results if isinstance(results, DataFrame) else None
+    if results is not None and table is None:
         variants = chosen(variants, results)
         if not variants:
             return articles.sparkSession.createDataFrame([], "entity string, date date, mentions long")
@@ -95,12 +92,14 @@ def daily_mentions(
         .groupBy("date")
         .agg(*[F.count_if(F.col(n)).alias(n) for n in names])
     )
-    return (
-        per_day.unpivot(["date"], names, "entity", "mentions")
-        .filter("mentions > 0")
-        .select("entity", "date", "mentions")
-        .orderBy("entity", "date")
-    )
+    rows = per_day.unpivot(["date"], names, "entity", "mentions").filter("mentions > 0")
+    if table is not None:
+        # nothing runs while the plan is built: an unknown name fails the job
+        known = F.col("entity").isin(names) | F.col("entity").isNull()
+        unknown = F.raise_error(F.concat(F.lit("no variants for "), "entity"))
+        wanted = table.select(F.when(known, F.col("entity")).otherwise(unknown).alias("entity"))
+        rows = rows.join(wanted.distinct(), "entity", "left_semi")
+    return rows.select("entity", "date", "mentions").orderBy("entity", "date")
 
 
 def chosen(variants: Sequence[Variants], names: Sequence[str]) -> list[Variants]:

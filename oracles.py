@@ -280,7 +280,32 @@ read AS (
 )
 
 
+_TERMS = f"""{NEWS},
+terms AS (SELECT DISTINCT unnest(regexp_extract_all(lower(title), '[a-z]{{8,}}')) AS entity FROM news),
+tokens AS (
+  SELECT link, unnest(regexp_extract_all({_plain_letters("t")}, '\\w+')) AS entity FROM full_news
+)"""
+
+#: Rules as tables find what the rules find.
+_TABLES = ("keyword_filter", "mention_counts", "sentence_mentions", "articles_naming", "daily_mentions", "coverage_ratio")
+
+
 def all_queries() -> dict[str, str]:
+    own = _queries()
+    own |= {f"{name}_table": own[name] for name in _TABLES}
+    return own | {
+        "term_mentions": _with(
+            _TERMS, "SELECT entity, count(*) AS mentions FROM tokens JOIN terms USING (entity) GROUP BY entity"
+        ),
+        "term_articles": _with(
+            _TERMS,
+            """SELECT entity, count(DISTINCT link) AS articles FROM terms LEFT JOIN tokens USING (entity)
+              GROUP BY entity""",
+        ),
+    }
+
+
+def _queries() -> dict[str, str]:
     gated = {r.pattern.strip("\\b"): r for r in COUNT_RULES if r.context}
     keywords = " OR ".join(f"contains(k, {_quoted(w)})" for w in KEYWORDS)
     entities = list(dict.fromkeys(r.entity for r in COUNT_RULES))

@@ -55,7 +55,7 @@ def test_daily_mentions_of_results(spark, articles):
     assert days([]) == []
     with pytest.raises(KeyError, match="Nobody"):
         days(["Nobody"])
-    with pytest.raises(KeyError):
+    with pytest.raises(Exception, match="no variants for Nobody"):
         days(results(spark, [("Nobody", 0.0, 0.0, 0.0, 0.0, 1)]))
 
 

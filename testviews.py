@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens import Lexicon, Model
+from newslens.operators import phrases
 
 #: The words that the views below append.
 TONE = Lexicon(positive=("good",), negative=("bad",))
@@ -232,8 +233,24 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_table(spark: SparkSession, rules) -> DataFrame:
+    """Rules as rows (entity, pattern, context)."""
+    rows = [(r.entity, r.pattern, list(getattr(r, "context", ()))) for r in rules]
+    return spark.createDataFrame(rows, "entity string, pattern string, context array<string>")
+
+
+def variant_table(spark: SparkSession, variants) -> DataFrame:
+    return spark.createDataFrame(phrases.table_of(variants), "entity string, variant string")
+
+
+def title_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term): the distinct stretches of eight or more letters in all titles; they grow with the articles."""
+    found = F.regexp_extract_all(F.lower("title"), F.lit("[a-z]{8,}"), F.lit(0))
+    return news(spark, sf_dir).select(F.explode(found).alias("term")).distinct()
+
+
 def listed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed pages of every second address that the listing pages name, and others."""
+    """Landed pages, half of them at addresses that the listing pages name, half at others."""
     page = F.col("page_id")
     kind = page % 3
     day = _day(F.lit(60) + page % 31)
@@ -255,9 +272,10 @@ def listed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<h1>"), title, F.lit("</h1><time>"), F.date_format(day, "yyyy-MM-dd HH:mm:ss"),
         F.lit('</time><div class="ok-single-post-content"><p>'), "url", F.lit("</p></div>"),
     )
-    return table(spark, sf_dir, "pages").filter(page % 2 == 0).select(
+    unlisted = F.when(page % 2 == 0, "").otherwise("?unlisted")
+    return table(spark, sf_dir, "pages").select(
         F.element_at(F.array(*map(F.lit, PORTALS)), (kind + 1).cast("int")).alias("source"),
-        url.alias("url"),
+        F.concat(url, unlisted).alias("url"),
         F.lit(200).alias("status"),
         F.when(kind == 0, k).when(kind == 1, s).otherwise(o).alias("html"),
     )
