@@ -246,6 +246,28 @@ def confidence_model(spark, sf):
     return nl.confidence_index(tv.news(spark, sf), nl.LEADER_PATTERNS, tv.word_model())
 
 
+def confidence_both(spark, sf):
+    """Leaders and parties in one pass, twice over one label store; what the second run scored is a column."""
+    scorer, sets = tv.word_model(), {"leaders": nl.LEADER_PATTERNS, "parties": nl.PARTY_PATTERNS}
+    store = nl.LabelStore(spark, workspace.new_path(spark, "labels"), scorer.key)
+    nl.confidence_indexes(tv.news(spark, sf), sets, scorer, store)
+    before = len(store.deltas())
+    again = nl.confidence_indexes(tv.news(spark, sf), sets, scorer, store)
+    return again.withColumn("new_deltas", F.lit(len(store.deltas()) - before))
+
+
+def confidence_by_day(spark, sf):
+    """The index at each day, from the cubes of older and newer articles, merged."""
+    news = tv.news(spark, sf)
+    split = F.col("published_date") < F.lit("2025-02-14").cast("timestamp_ntz")
+    halves = [
+        workspace.written(nl.cube.cube(news.filter(part), nl.LEADER_PATTERNS, tv.TONE), "cube")
+        for part in (split, ~split)
+    ]
+    entities = nl.mentions.entities_of(nl.LEADER_PATTERNS)
+    return _shown(nl.cube.index_by_day(nl.cube.merge(*halves), entities=entities))
+
+
 def _scenario(spark, sf, patterns=nl.LEADER_PATTERNS):
     return nl.scenario(nl.confidence_index(tv.news(spark, sf), patterns, tv.TONE), 0.5, 0.2, 0.6)
 
@@ -401,6 +423,7 @@ _QUERIES = (
     union_sources, run_summary, csv_articles, csv_tracked, csv_labelled, csv_results,
     landed_pages, keyword_filter_table, mention_counts_table, sentence_mentions_table, term_mentions,
     articles_naming_table, daily_mentions_table, coverage_ratio_table, term_articles,
+    confidence_both, confidence_by_day,
 )
 
 

@@ -7,7 +7,8 @@ from newslens.functions.sentiment import Lexicon, Model
 from newslens import rules, schemas
 from newslens.operators import clean, extract, listing, mentions, phrases, terms
 from newslens.plans.articles import build_articles, of_status, visits
-from newslens.plans.confidence import confidence_index, sentence_mentions
+from newslens.plans import cube
+from newslens.plans.confidence import confidence_index, confidence_indexes, sentence_mentions
 from newslens.plans.labels import label_articles
 from newslens.plans.tracking import expand_counts, mention_totals, track_mentions
 from newslens.plans.views import (
@@ -33,6 +34,7 @@ from newslens.rules import (
     Variants,
 )
 from newslens.sources import tables
+from newslens.sources.labels import LabelStore
 
 # The Python steps travel with the plan, so executors need no installed copy.
 _cloudpickle.register_pickle_by_value(__import__(__name__))

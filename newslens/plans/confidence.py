@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from newslens.functions.dates import days as n_days
 from newslens.functions.sentiment import NEGATIVE, NEUTRAL, POSITIVE, Lexicon, Model
 from newslens.operators import clean, mentions
 from newslens.rules import EntityPattern
+from newslens.sources.labels import LabelStore, text_key
+from newslens.sources.workspace import written
 
 WEIGHTS = (0.4, 0.3, 0.3)  # fixed values: sentiment, volume, momentum
 _COUNTS = ("n", "recent", "previous")
@@ -124,23 +127,74 @@ def confidence_index(
     return scores(rows, weights)
 
 
-def scores(rows: DataFrame, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
-    """From (entity, label, n, recent, previous), in any number of rows, to the results."""
+def confidence_indexes(
+    articles: DataFrame,
+    pattern_sets: Mapping[str, Sequence[EntityPattern]],
+    scorer: Model,
+    store: LabelStore,
+    weights: tuple[float, float, float] = WEIGHTS,
+    days: int = 30,
+    max_chars: int | None = None,
+    score_partitions: int | None = None,
+) -> DataFrame:
+    """(set, entity, scores...) of several pattern sets from one pass over the articles.
+
+    A sentence that several sets name is scored once, and only if ``store`` has no label of it: what is
+    new is added to the store. Entities without a mention have zeros. Shares are of the set's total.
+    """
+    tagged = [
+        replace(p, entity=f"{i}:{p.entity}")
+        for i, patterns in enumerate(pattern_sets.values())
+        for p in patterns
+    ]
+    seen = text.clipped(F.col("sentence"), max_chars)
+    rows = mentions.naming_sentences(
+        with_periods(clean.dated(articles), days), tagged, "recent", "previous"
+    )
+    counted = rows.groupBy(seen.alias("seen"), "entities").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.col(c).cast("bigint")).alias(c) for c in ("recent", "previous")],
+    )
+    counted = written(counted.withColumn("text_key", text_key(F.col("seen"))), "sentences")
+    store.add(counted, scorer, "seen", score_partitions)
+    labelled = store.labelled(counted.select("text_key", "entities", *_COUNTS))
+    zeros = articles.sparkSession.range(0, 1, numPartitions=1).select(
+        F.explode(F.array(*map(F.lit, mentions.entities_of(tagged)))).alias("entity"),
+        F.lit(NEUTRAL).alias("label"),
+        *[F.lit(0).cast("bigint").alias(c) for c in _COUNTS],
+    )
+    every = mentions.per_entity(labelled, "label", *_COUNTS).unionByName(zeros)
+    names = F.array(*map(F.lit, pattern_sets))
+    place = F.substring_index("entity", ":", 1).cast("int")
+    every = every.withColumns(
+        {"set": F.get(names, place), "entity": F.expr("substring(entity, instr(entity, ':') + 1)")}
+    )
+    return scores(every, weights, by=("set",))
+
+
+def scores(
+    rows: DataFrame, weights: tuple[float, float, float] = WEIGHTS, by: Sequence[str] = ()
+) -> DataFrame:
+    """From (entity, label, n, recent, previous), in any number of rows, to the results.
+
+    With ``by``, one table of results for each value of these columns; shares are of its total.
+    """
 
     def balance(count: str) -> Column:
         sign = F.when(F.col("label") == POSITIVE, 1).when(F.col("label") == NEGATIVE, -1)
         signed = F.sum(sign.otherwise(0) * F.col(count))
         return F.coalesce(F.try_divide(signed, F.sum(count)), F.lit(0.0))
 
-    per_entity = rows.groupBy("entity").agg(
+    per_entity = rows.groupBy(*by, "entity").agg(
         F.sum("n").alias("total_mentions"),
         balance("n").alias("s"),
         (balance("recent") - balance("previous")).alias("m"),
     )
-    everything = F.sum("total_mentions").over(Window.partitionBy())  # a row per entity
+    everything = F.sum("total_mentions").over(Window.partitionBy(*by))  # a row per entity
     share = F.coalesce(F.try_divide("total_mentions", everything), F.lit(0.0))
     ws, wv, wm = (F.lit(float(w)) for w in weights)
     return per_entity.withColumn("v", share).select(
+        *by,
         "entity",
         F.round("s", 3).alias("sentiment_score"),
         F.round("v", 3).alias("volume_score"),

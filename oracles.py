@@ -286,6 +286,51 @@ tokens AS (
   SELECT link, unnest(regexp_extract_all({_plain_letters("t")}, '\\w+')) AS entity FROM full_news
 )"""
 
+def _by_day(patterns) -> str:
+    """For each day with an article, the index at its newest one."""
+    names = ", ".join(f"('{p.entity}')" for p in patterns)
+
+    def balance(window: str) -> str:
+        of = f"n_{window}"
+        return f"coalesce((pos_{window} - neg_{window})::DOUBLE / nullif({of}, 0), 0.0)"
+
+    windows = {
+        "all": "true",
+        "recent": "published_date >= m - to_days(30)",
+        "previous": "published_date < m - to_days(30) AND published_date >= m - to_days(60)",
+    }
+    sums = ", ".join(
+        f"count(link) FILTER (WHERE {w}) AS n_{k}, count(link) FILTER (WHERE label = 'positive' AND {w}) AS pos_{k}, "
+        f"count(link) FILTER (WHERE label = 'negative' AND {w}) AS neg_{k}"
+        for k, w in windows.items()
+    )
+    return _with(
+        f"""{_mentions(patterns)},
+names(entity) AS (VALUES {names}),
+days AS (SELECT CAST(published_date AS DATE) AS d, max(published_date) AS m FROM news GROUP BY 1),
+sums AS (
+  SELECT d, names.entity, {sums}
+  FROM days CROSS JOIN names LEFT JOIN mentions ON mentions.entity = names.entity AND published_date <= m
+  GROUP BY ALL
+),
+parts AS (
+  SELECT *, {balance("all")} AS s, {balance("recent")} - {balance("previous")} AS mo,
+    coalesce(n_all::DOUBLE / nullif(sum(n_all) OVER (PARTITION BY d), 0)::DOUBLE, 0.0) AS v FROM sums
+)""",
+        """SELECT strftime(d, '%Y-%m-%d') AS date, entity, round(s, 3) AS sentiment_score, round(v, 3) AS volume_score,
+          round(mo, 3) AS momentum, round(0.4::DOUBLE * s + 0.3::DOUBLE * v + 0.3::DOUBLE * mo, 3) AS mci_v2,
+          CAST(n_all AS BIGINT) AS total_mentions FROM parts""",
+    )
+
+
+def _both(**sets) -> str:
+    parts = [
+        f"SELECT '{name}' AS \"set\", *, 0 AS new_deltas FROM ({_with(_index(patterns), 'SELECT * FROM result')})"
+        for name, patterns in sets.items()
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
 #: Rules as tables find what the rules find.
 _TABLES = ("keyword_filter", "mention_counts", "sentence_mentions", "articles_naming", "daily_mentions", "coverage_ratio")
 
@@ -294,6 +339,8 @@ def all_queries() -> dict[str, str]:
     own = _queries()
     own |= {f"{name}_table": own[name] for name in _TABLES}
     return own | {
+        "confidence_by_day": _by_day(LEADER_PATTERNS),
+        "confidence_both": _both(leaders=LEADER_PATTERNS, parties=PARTY_PATTERNS),
         "term_mentions": _with(
             _TERMS, "SELECT entity, count(*) AS mentions FROM tokens JOIN terms USING (entity) GROUP BY entity"
         ),
