@@ -251,9 +251,9 @@ def confidence_both(spark, sf):
     scorer, sets = tv.word_model(), {"leaders": nl.LEADER_PATTERNS, "parties": nl.PARTY_PATTERNS}
     store = nl.LabelStore(spark, workspace.new_path(spark, "labels"), scorer.key)
     nl.confidence_indexes(tv.news(spark, sf), sets, scorer, store)
-    before = len(store.deltas())
+    before = len(store.deltas.paths())
     again = nl.confidence_indexes(tv.news(spark, sf), sets, scorer, store)
-    return again.withColumn("new_deltas", F.lit(len(store.deltas()) - before))
+    return again.withColumn("new_deltas", F.lit(len(store.deltas.paths()) - before))
 
 
 def confidence_by_day(spark, sf):
@@ -304,6 +304,11 @@ def page_bodies(spark, sf):
     return _web_articles(spark, sf).select("link", "content")
 
 
+def titles_of_bytes(spark, sf):
+    pages = tv.fetched_bytes(spark, sf).withColumn("source", F.lit(WEB.source))
+    return nl.extract.articles(pages, [WEB]).select("link", "title")
+
+
 def parse_dates(spark, sf):
     rules = nl.SITE_RULES
     rows = tv.date_candidates(spark, sf).withColumn(
@@ -325,6 +330,19 @@ def url_new_on_page(spark, sf):
     return nl.listing.not_on_earlier_page(tv.listing(spark, sf))
 
 
+def url_new_on_page_salted(spark, sf):
+    return nl.listing.not_on_earlier_page(tv.hot_listing(spark, sf), salted=True)
+
+
+def resumed_walk(spark, sf):
+    """The listing walked in two runs, the second going on from the first."""
+    links = workspace.written(tv.listing(spark, sf), "listing")
+    store = nl.walks.WalkStore(spark, workspace.new_path(spark, "walked"))
+    last = links.agg(F.max("page_no")).first()[0] or 0
+    runs = [nl.walks.go_on(links, store, upto) for upto in (last // 2, last)]
+    return runs[0].unionByName(runs[1])
+
+
 def stop_when_exhausted(spark, sf):
     return nl.listing.until_exhausted(tv.listing(spark, sf))
 
@@ -404,6 +422,30 @@ def csv_results(spark, sf):
     return tables.read_results(spark, path, "Leader")
 
 
+def articles_by_day(spark, sf):
+    """Recent articles from a store by day, into which older and newer halves went, and all once more."""
+    path = workspace.new_path(spark, "by-day")
+    news = tv.news(spark, sf)
+    even = F.substring_index("link", "/", -1).cast("bigint") % 2 == 0
+    tables.write_by_day(news.filter(even), path)
+    tables.add_by_day(news.filter(~even), path)
+    tables.add_by_day(news, path)
+    return _shown(tables.read_recent(spark, path, tv.AS_OF))
+
+
+def article_rank(spark, sf):
+    """Every article's place by the length of its content, over the whole table."""
+    rows = tv.news(spark, sf).select("link", F.length("content").cast("bigint").alias("chars"))
+    return nl.order.global_rank(rows, F.desc("chars"), F.asc("link"))
+
+
+def article_share(spark, sf):
+    """Every article's share of its source's characters."""
+    rows = tv.news(spark, sf).select("link", "source", F.length("content").cast("bigint").alias("chars"))
+    shares = nl.order.with_share(rows, "chars", by=["source"])
+    return shares.select("link", F.round("share", 6).alias("share"))
+
+
 def landed_pages(spark, sf):
     path = workspace.new_path(spark, "landed")
     tv.portal_pages(spark, sf).write.parquet(path)
@@ -423,7 +465,8 @@ _QUERIES = (
     union_sources, run_summary, csv_articles, csv_tracked, csv_labelled, csv_results,
     landed_pages, keyword_filter_table, mention_counts_table, sentence_mentions_table, term_mentions,
     articles_naming_table, daily_mentions_table, coverage_ratio_table, term_articles,
-    confidence_both, confidence_by_day,
+    confidence_both, confidence_by_day, titles_of_bytes, url_new_on_page_salted, resumed_walk,
+    articles_by_day, article_rank, article_share,
 )
 
 

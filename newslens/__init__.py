@@ -5,9 +5,9 @@ from pyspark import cloudpickle as _cloudpickle
 
 from newslens.functions.sentiment import Lexicon, Model
 from newslens import rules, schemas
-from newslens.operators import clean, extract, listing, mentions, phrases, terms
+from newslens.operators import clean, extract, listing, mentions, order, phrases, terms
 from newslens.plans.articles import build_articles, of_status, visits
-from newslens.plans import cube
+from newslens.plans import cube, walks
 from newslens.plans.confidence import confidence_index, confidence_indexes, sentence_mentions
 from newslens.plans.labels import label_articles
 from newslens.plans.tracking import expand_counts, mention_totals, track_mentions

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.functions import dates
+from newslens.functions import charset, dates
 from newslens.functions.html import Found, Page, wanted
 from newslens.rules import SITE_RULES, SiteRule
 
@@ -72,9 +72,9 @@ def _each(reader: Callable, rules: Sequence[SiteRule]) -> Callable:
     """Read with the rule of each row's source; None for pages that cannot be read."""
     by_source = {rule.source: reader(rule) for rule in rules}
 
-    def one(source: str, html: str):
+    def one(source: str, html: str | bytes, header: str | None):
         try:
-            return by_source[source](html)
+            return by_source[source](charset.decoded(html, header) if isinstance(html, bytes) else html)
         except AssertionError:  # the parser's way to reject broken declarations
             return None
 
@@ -91,19 +91,27 @@ def by_rule(rules: Sequence[SiteRule], value: Callable[[SiteRule], Column]) -> C
     return F.coalesce(*cases)
 
 
+def _header(pages: DataFrame) -> Column:
+    """The page's ``content_type``, if the table has it."""
+    return F.col("content_type") if "content_type" in pages.columns else F.lit(None).cast("string")
+
+
 def pieces(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFrame:
-    """Adds the raw parts of each article page and drops its HTML."""
+    """Adds the raw parts of each article page and drops its HTML.
+
+    ``html`` is text, or the bytes that were fetched, with the HTTP header in ``content_type`` if there is one.
+    """
     one = _each(_article_reader, rules)
 
     @F.pandas_udf(_PIECES)
-    def read(source: pd.Series, html: pd.Series) -> pd.DataFrame:
-        rows = [one(s, h) or {} for s, h in zip(source, html)]
+    def read(source: pd.Series, html: pd.Series, header: pd.Series) -> pd.DataFrame:
+        rows = [one(*page) or {} for page in zip(source, html, header)]
         return pd.DataFrame(rows, columns=["title", "stamps", "long_dates", "paragraphs"])
 
     read = read.asNondeterministic()
     return (
         _of_rules(pages, rules)
-        .withColumn("_p", read("source", "html"))
+        .withColumn("_p", read("source", "html", _header(pages)))
         .filter("_p.paragraphs IS NOT NULL")
         .select(*[c for c in pages.columns if c != "html"], "_p.*")
     )
@@ -114,13 +122,13 @@ def links(listing_pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> D
     one = _each(_link_reader, rules)
 
     @F.pandas_udf("array<string>")
-    def read(source: pd.Series, html: pd.Series) -> pd.Series:
-        return pd.Series([one(s, h) or [] for s, h in zip(source, html)], dtype=object)
+    def read(source: pd.Series, html: pd.Series, header: pd.Series) -> pd.Series:
+        return pd.Series([one(*page) or [] for page in zip(source, html, header)], dtype=object)
 
     read = read.asNondeterministic()
     found = (
         _of_rules(listing_pages, rules)
-        .withColumn("_links", read("source", "html"))
+        .withColumn("_links", read("source", "html", _header(listing_pages)))
         .select("source", "page_no", F.posexplode("_links").alias("pos", "url"))
     )
     return article_links(found, rules)

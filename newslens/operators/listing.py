@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslens.functions import dates
+from newslens.operators.salted import salted_join
 
 ORDER = ("source", "page_no", "pos")
 
@@ -50,18 +51,20 @@ def first_seen(listing: DataFrame) -> DataFrame:
     )
 
 
-def not_on_earlier_page(listing: DataFrame) -> DataFrame:
+def not_on_earlier_page(listing: DataFrame, salted: bool = False) -> DataFrame:
     """Drop addresses seen on an earlier page; repeats within a page stay.
 
-    Only addresses that are on several pages are joined.
+    Only addresses that are on several pages are joined. With ``salted``, frequent addresses are looked for first
+    and their rows dealt out; without, a hot address is left to Spark's own skew splitting.
     """
     _require(listing, *ORDER, "url")
     pages = listing.groupBy("source", "url").agg(
         F.min("page_no").alias("_first"), F.max("page_no").alias("_last")
     )
     repeated = pages.filter("_first < _last").drop("_last")
+    join = salted_join if salted else DataFrame.join
     return (
-        listing.join(repeated, ["source", "url"], "left")
+        join(listing, repeated, ["source", "url"], "left")
         .filter(F.col("_first").isNull() | (F.col("page_no") == F.col("_first")))
         .select("source", "page_no", "pos", "url")
     )

@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from newslens.functions import text
 from newslens.operators import clean, terms
+from newslens.operators.bloom import Filter
 
-BITS_EACH = 16  # of the filter, for each spelling
-LEAST_BITS, MOST_BITS = 1 << 10, 1 << 22
 _PIECES, _WORD = r"(?U)\w+|\W+", r"(?U)^\w(?:.*\w)?$"
 _FIRST, _WHOLE = 1, 2  # the filter's two kinds of entry
 
@@ -36,30 +35,6 @@ def table_of(variants) -> list[tuple[str, str]]:
     return [(v.entity, spelling) for v in variants for spelling in v.variants]
 
 
-class Filter:
-    """Bloom filter with two hashes, as one array of 64-bit words that a scalar subquery brings to every task."""
-
-    def __init__(self, keys: DataFrame, entries: int):
-        """Over the column ``key`` (xxhash64) of ``keys``."""
-        self.bits = min(MOST_BITS, max(LEAST_BITS, 1 << max(0, BITS_EACH * entries - 1).bit_length()))
-        places = keys.select(F.explode(F.array(*self._places(F.col("key")))).alias("place"))
-        marked = places.select(F.expr("place div 64").alias("at"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("word"))
-        empty = keys.sparkSession.range(self.bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("bigint").alias("word"))
-        words = marked.unionByName(empty).groupBy("at").agg(F.bit_or("word").alias("word"))
-        self.words = words.agg(F.sort_array(F.collect_list(F.struct("at", "word")))["word"].alias("words"))
-
-    def _places(self, key: Column) -> list[Column]:
-        return [F.pmod(key, F.lit(self.bits)), F.pmod(F.shiftrightunsigned(key, 32), F.lit(self.bits))]
-
-    def may_hold(self, words: Column, key: Column) -> Column:
-        def bit(place: Column) -> Column:
-            word = F.get(words, F.floor(place / 64).cast("int"))
-            return F.getbit(word, F.pmod(place, F.lit(64)).cast("int")) == 1
-
-        first, second = self._places(key)
-        return bit(first) & bit(second)
-
-
 def _cleaned(variants: DataFrame) -> DataFrame:
     rows = variants.select("entity", F.col("variant").alias("gram")).filter("entity IS NOT NULL AND gram != ''")
     return rows.distinct().withColumn("pieces", pieces(F.col("gram")))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newslens.operators import clean, extract, listing
+from newslens.operators import bloom, clean, extract, listing
 from newslens.rules import SITE_RULES, SiteRule
 from newslens.sources.tables import union_sources
 from newslens.sources.workspace import written
@@ -43,6 +43,20 @@ def of_status(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataF
     return pages.filter(keep)
 
 
+def pages_of(pages: DataFrame, opened: DataFrame) -> DataFrame:
+    """The pages whose address is opened, and few others, which the join after their parse drops.
+
+    A Bloom filter of the addresses keeps the rest out in the scan's stage: HTML is not shuffled.
+    Beyond the addresses it has room for, a join does it.
+    """
+    n = opened.count()  # of a written table: read off its file footers
+    if n * bloom.BITS_EACH > bloom.MOST_BITS:
+        return pages.join(opened.select("source", "url"), ["source", "url"], "left_semi")
+    address = F.xxhash64("source", "url")
+    held = bloom.Filter(opened.select(address.alias("key")), n)
+    return pages.withColumn("_words", held.words.scalar()).filter(held.may_hold(F.col("_words"), address)).drop("_words")
+
+
 def build_articles(
     pages: DataFrame,
     links: DataFrame,
@@ -54,7 +68,7 @@ def build_articles(
 
     The links are written once, by source, so that reading them (which may mean parsing the
     listing) is not repeated by the walks, and so are the addresses the walks open. Only landed pages
-    with such an address are parsed. The articles are written too: the cut-off reads their dates
+    with such an address are parsed, and what is shuffled is the parsed article. The articles are written too: the cut-off reads their dates
     before their texts, and the parse should neither run twice nor be lost with an executor.
 
     The order of the steps is part of the result: unreadable articles go first, then the
@@ -63,7 +77,7 @@ def build_articles(
     names = [r.source for r in rules]
     known = links.filter(F.col("source").isin(names)).select(*listing.ORDER, "url")
     opened = written(visits(written(known, "links", partition_by=["source"]), rules), "visits")
-    linked = of_status(pages, rules).join(opened.select("source", "url"), ["source", "url"], "left_semi")
+    linked = pages_of(of_status(pages, rules), opened)
     found = extract.articles(linked, rules).withColumnRenamed("link", "url")
     opened = opened.join(found, ["source", "url"])
     rows = written(opened, "articles", partition_by=["source"])

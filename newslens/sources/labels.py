@@ -1,21 +1,19 @@
 """Labels that a model has given, kept by text, so that no text is scored twice.
 
-The store is a folder; below it one folder per model key holds deltas, tables of (text_key, label, score)
-with the SHA-256 of the text. A run scores what no delta holds and adds one delta. A delta counts once its
-writer's success mark is there, which is put last and in one step, so readers see all of a run or
-nothing. Runs at the same time may score a text twice; it still counts once.
+The store is a folder; below it one folder per model key holds deltas (text_key, label, score)
+with the SHA-256 of the text. A run scores what no delta holds and publishes one delta, whole or not at
+all. Runs at the same time may score a text twice; it still counts once.
 """
 
 from __future__ import annotations
 
-import uuid
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslens.functions.sentiment import Lexicon, Model
-from newslens.sources.workspace import delete
+from newslens.sources.deltas import Deltas
 
 STORED = "text_key string, label string, score double"
 
@@ -29,26 +27,11 @@ class LabelStore:
 
     def __init__(self, spark: SparkSession, path: str, model_key: str):
         self.spark = spark
-        self.path = f"{path.rstrip('/')}/model={quote(model_key, safe='')}"
-
-    def deltas(self) -> list[str]:
-        """Published deltas."""
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self.path)
-        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        paths = [s.getPath() for s in files.listStatus(folder) if s.isDirectory()]
-        done = context._jvm.org.apache.hadoop.fs.Path
-        return sorted(p.toString() for p in paths if files.exists(done(p, "_SUCCESS")))
+        self.deltas = Deltas(spark, f"{path.rstrip('/')}/model={quote(model_key, safe='')}", STORED)
 
     def read(self) -> DataFrame:
         """(text_key, label, score), each text once."""
-        found = self.deltas()
-        if not found:
-            return self.spark.createDataFrame([], STORED)
-        rows = self.spark.read.schema(STORED).parquet(*found)
-        kept = rows.groupBy("text_key").agg(F.min(F.struct("label", "score")).alias("r"))
+        kept = self.deltas.read().groupBy("text_key").agg(F.min(F.struct("label", "score")).alias("r"))
         return kept.select("text_key", "r.label", "r.score")
 
     def add(self, texts: DataFrame, scorer: Lexicon | Model, text: str = "text", partitions: int | None = None, on_error: str = "raise") -> int:
@@ -63,13 +46,8 @@ class LabelStore:
         distinct = texts.select(seen.alias("text")).distinct().withColumn("text_key", text_key(F.col("text")))
         unseen = distinct.join(self.read().select("text_key"), "text_key", "left_anti").repartition(n, "text_key")
         scored = unseen.withColumn("r", scorer.score(F.col("text"), on_error=on_error))
-        delta = f"{self.path}/delta-{uuid.uuid4().hex}"
         rows = scored.select("text_key", "r.label", "r.score")
-        (rows.filter("label <> 'error'") if on_error == "label" else rows).write.parquet(delta)
-        added = self.spark.read.schema(STORED).parquet(delta).count()
-        if not added:
-            delete(self.spark, delta)
-        return added
+        return self.deltas.add(rows.filter("label <> 'error'") if on_error == "label" else rows)
 
     def labelled(self, rows: DataFrame, key: str = "text_key") -> DataFrame:
         """``rows`` with the label and score of the text that ``key`` stands for; ``error`` and 0 where there is none."""

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from newslens import schemas
 from newslens.functions import dates
 from newslens.operators import clean
+from newslens.sources.workspace import written
 
 # Doubled quotes, line breaks kept, spaces kept.
 _CSV = {
@@ -111,6 +112,53 @@ def write_articles(df: DataFrame, path: str, form: str = "parquet", mode: str =
     _write(df, path, form, mode)
 
 
+def _with_day(df: DataFrame) -> DataFrame:
+    return df.withColumn("day", F.to_date("published_date"))
+
+
+def write_by_day(df: DataFrame, path: str) -> None:
+    """Rows with a ``published_date`` in one folder per day; the days they have are replaced, others stay.
+
+    A rerun of the same rows leaves the same table. A large day is dealt over several files, small ones share tasks.
+    """
+    rows = _with_day(df).hint("rebalance", "day")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def add_by_day(df: DataFrame, path: str, keys: Sequence[str] = ("source", "link")) -> None:
+    """As ``write_by_day``, but rows of these days that ``df`` has no key of stay.
+
+    Only the days of ``df`` are read. The merged days are written aside first, as a table cannot be
+    read while it is replaced.
+    """
+    spark = df.sparkSession
+    new = written(_with_day(df), "new-days")
+    days = [r.day for r in new.select("day").distinct().collect()]  # a row per day
+    old = stored_by_day(spark, path, new.drop("day").schema)
+    if old is not None:
+        day = F.col("day")
+        old = old.filter(day.isin([d for d in days if d]) | (day.isNull() if None in days else F.lit(False)))
+        new = written(new.unionByName(old.join(new.select(*keys), list(keys), "left_anti")), "merged-days")
+    write_by_day(new.drop("day"), path)
+
+
+def stored_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """What ``write_by_day`` left, with ``day``; None if there is nothing yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
+
+
+def read_recent(spark: SparkSession, path: str, as_of, days: int = 60, schema: T.StructType = schemas.ARTICLE) -> DataFrame:
+    """``clean.recent`` of a table by day: folders of days before the edge are not opened."""
+    edge = F.to_date(dates.moment(as_of) - dates.days(days))
+    rows = stored_by_day(spark, path, schema)
+    if rows is None:
+        return spark.createDataFrame([], schema)
+    return clean.recent(rows.filter(F.col("day").isNull() | (F.col("day") >= edge)), as_of, days).drop("day")
+
+
 def read_labelled(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
     return _read(spark, path, schemas.LABELLED, form)
 

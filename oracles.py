@@ -339,6 +339,35 @@ def all_queries() -> dict[str, str]:
     own = _queries()
     own |= {f"{name}_table": own[name] for name in _TABLES}
     return own | {
+        "titles_of_bytes": own["page_titles"],
+        "url_new_on_page_salted": f"""WITH {LISTING.strip()},
+hot AS (
+  SELECT * FROM listing UNION ALL SELECT source, page_no, CAST(pos + 100 AS INTEGER), 'https://hot.example.org/' FROM listing
+)
+SELECT source, page_no, pos, url FROM hot QUALIFY page_no = min(page_no) OVER (PARTITION BY source, url)""",
+        "resumed_walk": f"""WITH {LISTING.strip()},
+seen AS (
+  SELECT *, min(page_no) OVER (PARTITION BY source, url) AS p,
+    row_number() OVER (PARTITION BY source, url ORDER BY page_no, pos) AS k FROM listing
+),
+{_stops("seen")}
+SELECT s.source, page_no, pos, url FROM seen s LEFT JOIN stops USING (source)
+WHERE CASE s.source WHEN 'Kathmandu Post' THEN k = 1 ELSE page_no = p AND page_no < stop END""",
+        "articles_by_day": _with(
+            NEWS,
+            f"""SELECT source, title, link, content, {_stamp("published_date")} AS published_date FROM news
+              WHERE published_date >= {AS_OF} - to_days(60)""",
+        ),
+        "article_rank": _with(
+            NEWS,
+            """SELECT link, length(content) AS chars,
+              row_number() OVER (ORDER BY length(content) DESC, link) AS rank FROM news""",
+        ),
+        "article_share": _with(
+            NEWS,
+            """SELECT link, round(length(content)::DOUBLE / nullif(sum(length(content)) OVER (PARTITION BY source), 0)::DOUBLE, 6)
+              AS share FROM news""",
+        ),
         "confidence_by_day": _by_day(LEADER_PATTERNS),
         "confidence_both": _both(leaders=LEADER_PATTERNS, parties=PARTY_PATTERNS),
         "term_mentions": _with(

@@ -79,17 +79,17 @@ def test_a_second_run_scores_nothing(spark, articles, tmp_path):
     sets = {"leaders": nl.LEADER_PATTERNS, "parties": nl.PARTY_PATTERNS}
     first = sorted(nl.confidence_indexes(news, sets, model, store).collect())
     # " good oli", "oli uml good oli", " bad nc", " balen", " rsp": a sentence of both sets is one text
-    assert calls() == 4 and len(store.deltas()) == 1 and store.read().count() == 4
+    assert calls() == 4 and len(store.deltas.paths()) == 1 and store.read().count() == 4
     assert sorted(nl.confidence_indexes(news, sets, model, store).collect()) == first
-    assert calls() == 4 and len(store.deltas()) == 1
+    assert calls() == 4 and len(store.deltas.paths()) == 1
     more = news.unionByName(articles(("gagan", "", "2025-02-21")))
     nl.confidence_indexes(more, sets, model, store)
-    assert calls() == 5 and len(store.deltas()) == 2
+    assert calls() == 5 and len(store.deltas.paths()) == 2
     for name, patterns in sets.items():
         alone = nl.confidence_index(news, patterns, model).collect()
         assert sorted(tuple(r)[1:] for r in first if r["set"] == name) == sorted(map(tuple, alone))
     other = nl.LabelStore(spark, str(tmp_path / "store"), "another model")
-    assert other.deltas() == [] and other.read().collect() == []
+    assert other.deltas.paths() == [] and other.read().collect() == []
 
 
 def test_only_published_deltas_count(spark, tmp_path):
@@ -98,9 +98,9 @@ def test_only_published_deltas_count(spark, tmp_path):
     store = nl.LabelStore(spark, str(tmp_path), "m/1")
     texts = spark.createDataFrame([("good",), ("good",), (None,)], "text string")
     assert store.add(texts, TONE) == 2 and store.add(texts, TONE) == 0
-    delta = store.deltas()[0].removeprefix("file:")
+    delta = store.deltas.paths()[0].removeprefix("file:")
     os.rename(f"{delta}/_SUCCESS", f"{delta}/_gone")
-    assert store.deltas() == [] and store.read().collect() == []
+    assert store.deltas.paths() == [] and store.read().collect() == []
     assert store.add(texts, TONE) == 2
     os.rename(f"{delta}/_gone", f"{delta}/_SUCCESS")  # the same texts twice
     assert store.read().count() == 2

@@ -4,6 +4,7 @@ import pytest
 
 import newslens as nl
 from newslens.operators import phrases
+from newslens.operators.bloom import Filter
 
 VARIANT = "entity string, variant string"
 
@@ -55,7 +56,7 @@ def test_the_filter_holds_all_and_little_else(spark):
     from pyspark.sql import functions as F
 
     keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
-    bloom = phrases.Filter(keys, 3000)
+    bloom = Filter(keys, 3000)
     asked = spark.range(0, 23_000).withColumn("w", bloom.words.scalar())
     asked = asked.select("id", bloom.may_hold(F.col("w"), F.xxhash64("id")).alias("held"))
     assert asked.filter("id < 3000 AND held").count() == 3000

@@ -109,6 +109,29 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(again).drop("page_id")
 
 
+def hot_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing with one more link after each link, to the same address everywhere."""
+    rows = listing(spark, sf_dir)
+    hot = rows.withColumns({"pos": F.col("pos") + 100, "url": F.lit("https://hot.example.org/")})
+    return rows.unionByName(hot)
+
+
+def fetched_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as bytes in six ways: charset by declaration, mark, header, other declaration, and twice by none."""
+    kind, html = F.col("page_id") % 6, F.col("html")
+    latin = F.encode(html, "ISO-8859-1")
+    bare, other = (F.regexp_replace(html, '<meta charset="utf-8">', m) for m in ("", '<meta http-equiv="x" content="text/html; charset=windows-1252">'))
+    ways = [
+        F.encode(html, "UTF-8"), F.encode(html, "UTF-16"), latin,
+        F.encode(other, "ISO-8859-1"), F.encode(bare, "UTF-8"), F.encode(bare, "ISO-8859-1"),
+    ]
+    page = ways[0]
+    for i, way in enumerate(ways[1:], 1):
+        page = F.when(kind == i, way).otherwise(page)
+    header = F.when(kind == 2, "text/html; charset=ISO-8859-1").when(kind == 4, "text/html")
+    return table(spark, sf_dir, "pages").select("page_id", "url", page.alias("html"), header.alias("content_type"))
+
+
 def late_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing where one portal lacks its first page and another its third."""
     source, page = F.col("source"), F.col("page_no")
