@@ -15,7 +15,8 @@ somewhat longer ones.
 Everything is DataFrame expressions over the array of a text's words; a text is read whole.
 
 Defined results: null text is empty; an empty text has no anchor and an empty fingerprint, whose
-likeness to another empty one is 1 and to any other 0. A text without a word, or of fewer than ``K`` words
+likeness to another empty one is 1 and to any other 0. Very long texts are read whole and have as many hashes in
+their sketch as others. Repeated rows have equal fingerprints each; an empty table gives an empty table. A text without a word, or of fewer than ``K`` words
 and ``SHORT_K`` code points, has one anchor, the hash of all of it. Equal texts have equal fingerprints.
 """
 
@@ -31,6 +32,7 @@ from newslens.llm.common import or_empty, written
 K, S, SIZE = 5, 2, 64
 SHORT_K, SHORT_S, LONG = 10, 4, 32
 SLICE_ROWS = 1024
+BOUNDS = 1000  # quantiles of the ids at most
 WORD_GAPS = r"[\x20\x09-\x0D]+"
 #: Thai, Lao, Tibetan, Burmese, Khmer, ideographs and kana.
 UNSEGMENTED = (
@@ -127,20 +129,23 @@ def with_next(
 ) -> DataFrame:
     """Adds ``next_<value>``: of the row with the next id, ascending; of the last row, the first's.
 
-    Ids are cut into ranges of about ``slice_rows`` rows; each range also gets a copy of the row
-    that follows it, so one shuffle is enough and no range is large. ``derive`` adds columns after that
-    shuffle, and those in ``derived`` are also taken from the next row. Equal ids are ordered by the
-    value. Rows without an id come first, spread by a hash. Texts cross the network once: what is
-    copied is found by a join with one number per range.
+    Rows are cut into slices of about ``slice_rows``: at up to ``BOUNDS`` quantiles of the ids, then between two of them by
+    width. An id at a quantile has slices of its own, by a hash of the value, so neither a few ids far from the others nor an
+    id with many rows makes a slice large (over ``rows / BOUNDS``). Each slice also gets a copy of the row
+    that follows it, so one shuffle is enough. ``derive`` adds columns after that
+    shuffle, and those in ``derived`` are also taken from the next row. Rows of one id are ordered by the
+    value, those of an id with several slices by its hash first; rows without an id come first and are such an id. Texts
+    cross the network once: what is copied is found by a join with one number per slice.
+
+    Defined results: an empty table gives an empty table; repeated rows follow each other; a single row is its own next. Ids are
+    whole numbers. The columns that this adds for itself must not be there before: ``_id``, ``_tie``, ``_slice``, ``_copy``.
     """
-    ids = docs.agg(F.min(id).alias("low"), F.max(id).alias("high"), F.count(F.lit(1)).alias("n")).first()
-    n = max(1, ids["n"])
-    low, high = ids["low"] or 0, ids["high"] or 0
-    key = F.coalesce(F.col(id).cast("bigint"), F.lit(low - 1) - F.pmod(F.xxhash64(value), F.lit(n)))
-    width = max(1, -(-(high - low + 1) * slice_rows // n))
-    rows = docs.withColumn("_key", key).withColumn("_slice", F.floor((F.col("_key") - low) / width).cast("bigint"))
-
-    firsts = rows.groupBy("_slice").agg(F.min("_key").alias("_key"))
+    clash = {"_id", "_tie", "_slice", "_copy"} & set(docs.columns)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} are this operator's own")
+    rows = _sliced(docs.withColumn("_id", F.col(id).cast("bigint")), value, slice_rows)
+
+    firsts = rows.groupBy("_slice").agg(F.min(F.struct("_id", "_tie")).alias("_key"))
     block = F.floor(F.col("_slice") / 4096).cast("bigint")
     firsts = written(firsts.withColumn("_block", block), "firsts")
     inside = Window.partitionBy("_block").orderBy("_slice")
@@ -150,15 +155,58 @@ def with_next(
     ends = ends.select("_block", F.coalesce(F.lag("_end").over(across), last).alias("_earlier"))
     halo = firsts.withColumn("_to", F.lag("_slice").over(inside)).join(ends, "_block")
     # a row per range: written, so that its size is known when the join with the texts is planned
-    halo = written(halo.select("_key", F.coalesce("_to", "_earlier").alias("_to")), "halo")
-    copies = rows.join(halo, "_key").withColumn("_slice", F.col("_to")).drop("_to")
+    halo = written(halo.select("_key.*", F.coalesce("_to", "_earlier").alias("_to")), "halo")
+    following = rows["_id"].eqNullSafe(halo["_id"]) & (rows["_tie"] == halo["_tie"])
+    copies = rows.drop("_slice").join(halo, following).select(
+        *[rows[c] for c in rows.columns if c != "_slice"], halo["_to"].alias("_slice")
+    )
     both = rows.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True)))
     both = derive(both.repartition("_slice"))
-    order = Window.partitionBy("_slice").orderBy("_copy", "_key", value)
+    order = Window.partitionBy("_slice").orderBy("_copy", "_id", "_tie", value)
     return (
         both.withColumns({f"next_{v}": F.lead(v).over(order) for v in (value, *derived)})
         .filter("NOT _copy")
-        .drop("_copy", "_key", "_slice")
+        .drop("_copy", "_id", "_tie", "_slice")
+    )
+
+
+def _sliced(rows: DataFrame, value: str, slice_rows: int) -> DataFrame:
+    """Adds ``_slice``, which ascends with (_id, _tie), and ``_tie``, by which the rows of an id with several slices are ordered."""
+    n = rows.count()
+    parts = max(1, min(BOUNDS, -(-n // slice_rows)))
+    points = F.lit(",".join(str(k / parts) for k in range(1, parts + 1)))
+    points = F.split(points, ",").cast("array<double>")
+    bounds = rows.agg(F.percentile_approx("_id", points, F.lit(100 * BOUNDS)).alias("b")).first()["b"] or []
+    listed = F.split(F.lit(",".join(map(str, sorted(set(bounds))))), ",")
+    listed = listed.cast("array<bigint>") if bounds else F.array().cast("array<bigint>")
+    rows = rows.withColumn("_bounds", listed)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(BOUNDS.bit_length()))])
+    below = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get("_bounds", at + step - 1) < F.col("_id"), at + step).otherwise(at)
+    )
+    rows = rows.withColumn("_below", below)
+    at_bound = F.coalesce((F.get("_bounds", F.col("_below")) == F.col("_id")).cast("int"), F.lit(0))
+    rows = rows.withColumn("_range", F.when(F.col("_id").isNull(), 0).otherwise(1 + 2 * F.col("_below") + at_bound))
+    rows = rows.drop("_bounds", "_below")
+
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("low"), F.max("_id").alias("high"))
+    ranges, first = [], 0
+    for r in sorted(counts.collect()):  # at most 2 * BOUNDS + 2 rows
+        slices = -(-r["n"] // slice_rows)
+        one_id = r["low"] == r["high"]
+        width = 1.0 if one_id else (r["high"] - r["low"] + 1) / slices
+        ranges.append((r["_range"], first, slices, one_id, float(r["low"] or 0), width))
+        first += slices
+    schema = "_range int, _first long, _slices long, _one boolean, _low double, _width double"
+    placed = rows.join(F.broadcast(rows.sparkSession.createDataFrame(ranges, schema)), "_range")
+    share = F.pmod(F.xxhash64(value), F.lit(1 << 31))
+    by_hash = F.floor(share * F.col("_slices") / F.lit(float(1 << 31)))
+    by_width = F.least(F.floor((F.col("_id").cast("double") - F.col("_low")) / F.col("_width")), F.col("_slices") - 1)
+    several = F.col("_one") & (F.col("_slices") > 1)
+    return placed.select(
+        *[c for c in rows.columns if c != "_range"],
+        (F.col("_first") + F.when(F.col("_one"), by_hash).otherwise(by_width)).cast("bigint").alias("_slice"),
+        F.when(several, share).otherwise(F.lit(0)).cast("bigint").alias("_tie"),
     )
 
 

@@ -1,6 +1,8 @@
 import random
 import re
+from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -114,3 +116,44 @@ def test_unsegmented_anchors_against_brute_force(spark):
     df = spark.createDataFrame(list(zip(texts, apart)), "text string, apart string")
     for row in with_anchors(df, "text", "a").collect():
         assert [(a.position, a.hash) for a in row.a] == brute(row.apart)
+
+
+def test_no_slice_is_large(spark):
+    from newslens.llm.fingerprints import _sliced
+
+    far = [*range(2000), 10**15, -(10**15), 2**62, -(2**62)]
+    hot = [7] * 700 + list(range(1400))
+    none = [None] * 800 + list(range(200))
+    for ids in (far, hot, none, [5] * 3, random.sample(range(10**9), 900)):
+        df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "_id long, text string")
+        rows = _sliced(df, "text", 64).collect()
+        sizes = Counter(r._slice for r in rows)
+        assert len(rows) == len(ids) and max(sizes.values()) <= 3 * 64
+        key = lambda r: (r._id is not None, r._id or 0, r._tie)
+        order = [r._slice for r in sorted(rows, key=key)]
+        assert order == sorted(order)
+
+
+def test_next_row_of_an_id_with_many_rows(spark):
+    rows = [(3, f"t{k}") for k in range(90)] + [(k, f"u{k}") for k in range(40)] + [(None, f"v{k}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", F.lit(1))
+    got = with_next(df, "doc_id", "text", slice_rows=16)
+    assert got.columns == ["doc_id", "text", "_key", "next_text"]
+    after = {r.text: r.next_text for r in got.collect()}
+    walk, at = [], "u39"
+    for _ in rows:
+        at = after[at]
+        walk.append(at)
+    assert sorted(walk) == sorted(t for _, t in rows)  # one ring through all rows
+    of = {t: -1 if i is None else i for i, t in rows}
+    assert [of[t] for t in walk] == sorted(of.values())
+    with pytest.raises(ValueError, match="_slice"):
+        with_next(df.withColumn("_slice", F.lit(1)), "doc_id", "text")
+
+
+def test_long_texts_and_clashing_names(spark):
+    text = " ".join(f"w{k % 5000}" for k in range(60_000))
+    df = spark.createDataFrame([(1, text), (2, text + " end")], "doc_id long, text string").withColumn("next_text", F.lit("x"))
+    got = {r.doc_id: r for r in with_sketch(df).collect()}
+    assert len(got[1].sketch) == 64 and got[1].next_text == "x"
+    assert len(set(got[1].sketch) & set(got[2].sketch)) >= 60
