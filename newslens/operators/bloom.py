@@ -6,9 +6,14 @@ drops are never shuffled. Its size is bounded.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslens.functions import text
+
 BITS_EACH = 16  # for each key
 LEAST_BITS, MOST_BITS = 1 << 10, 1 << 26
 
@@ -33,5 +38,5 @@ class Filter:
             word = F.get(words, F.floor(place / 64).cast("int"))
             return F.getbit(word, F.pmod(place, F.lit(64)).cast("int")) == 1
 
-        first, second = self._places(key)
-        return bit(first) & bit(second)
+        # the key once, as it may be dear: a filter does not share parts of its condition
+        return text.held(key, lambda k: reduce(and_, map(bit, self._places(k))))

@@ -44,17 +44,16 @@ def of_status(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataF
 
 
 def pages_of(pages: DataFrame, opened: DataFrame) -> DataFrame:
-    """The pages whose address is opened, and few others, which the join after their parse drops.
+    """The pages whose address is opened.
 
-    A Bloom filter of the addresses keeps the rest out in the scan's stage: HTML is not shuffled.
-    Beyond the addresses it has room for, a join does it.
+    A Bloom filter of the addresses drops nearly all others in the scan's stage, so that the join, if Spark does not
+    broadcast the addresses, shuffles the HTML of opened pages only.
     """
-    n = opened.count()  # of a written table: read off its file footers
-    if n * bloom.BITS_EACH > bloom.MOST_BITS:
-        return pages.join(opened.select("source", "url"), ["source", "url"], "left_semi")
     address = F.xxhash64("source", "url")
-    held = bloom.Filter(opened.select(address.alias("key")), n)
-    return pages.withColumn("_words", held.words.scalar()).filter(held.may_hold(F.col("_words"), address)).drop("_words")
+    # of a written table: the count is read off its file footers
+    held = bloom.Filter(opened.select(address.alias("key")), opened.count())
+    few = pages.withColumn("_words", held.words.scalar()).filter(held.may_hold(F.col("_words"), address)).drop("_words")
+    return few.join(opened.select("source", "url"), ["source", "url"], "left_semi")
 
 
 def build_articles(
@@ -68,7 +67,7 @@ def build_articles(
 
     The links are written once, by source, so that reading them (which may mean parsing the
     listing) is not repeated by the walks, and so are the addresses the walks open. Only landed pages
-    with such an address are parsed, and what is shuffled is the parsed article. The articles are written too: the cut-off reads their dates
+    with such an address are parsed. The articles are written too: the cut-off reads their dates
     before their texts, and the parse should neither run twice nor be lost with an executor.
 
     The order of the steps is part of the result: unreadable articles go first, then the
