@@ -3,30 +3,33 @@
 A text is its lines, each its words and one line end, and one text end. Four kinds of restaurants are nested:
 
 - The line restaurant seats the lines of the training texts; the text end is one of them, the
-  empty line. A repeated line or passage is so known as a whole. New tables draw the words and line ends of lines from
-- the context restaurants, one for each word, and one for the start of a line: each seats what came next in the lines
-  of those tables, one table for each kind. They share their parent,
+  empty line. A repeated line or passage is so known as a whole. It holds one table for each line, which draws its words and end from
+- the context restaurants, one for each word, and one for the start of a line: each seats what came next in the distinct lines.
+  They share their parent,
 - the word restaurant, whose customers are the tables of all contexts. New tables draw words from
 - the spelling model, a hierarchy of restaurants over bytes: the context of ``ORDER`` - 1
   bytes shares the restaurant of the context one byte shorter as its parent, down to the empty
   context and the uniform distribution over 256 bytes. Its customers are the tables of the word
   restaurant. A word is spelled with a space after it; unknown words are only spelled.
 
-Equal lines of one chunk (see below) sit at one table. The seating of words and bytes is sampled by Gibbs sweeps.
+The seating of contexts, words and bytes is sampled by Gibbs sweeps.
 A sweep reseats the customers of each kind in each restaurant one after another (in blocks, once
 there are many), given all others and the parent's probabilities; the tables it opens are the customers
-of the parent. After ``BURN`` sweeps the predictive probabilities are averaged over ``SAMPLES``
-sweeps, and the averages give the score.
-
-How it is spread: scan tasks cut their texts into chunks, and write for each document its words as
-numbers inside the chunk, and for each chunk its distinct words and lines. These are counted by a shuffle on
-their hash (64 bits; words of equal hash would be one). A chunk's distinct pairs of neighbours are sent, as sorted hashes with
-their counts, to slices of the hashes, whose number grows with the bytes of text; a slice answers each chunk with its
-pairs' counts over all training texts, and tells one chunk that its copy opens the table. The distinct words are again kept in chunks. Each sweep sends
-the chunk's distinct n-grams to the restaurant trees, one for every last two bytes of a context: such a tree
+of the parent. After ``BURN`` sweeps the predictive probabilities of words in their contexts are averaged over
+``SAMPLES`` sweeps, and the averages give the score. Kinds of a restaurant are reseated together, against the counts of the
+sweep before.
+
+How it is spread: scan tasks cut their texts into chunks, and write for each its documents' words as
+numbers inside the chunk, and its distinct words and lines. A chunk asks slices of hashes, whose number grows with the
+bytes of text, by packed arrays: of its words (64 bits; words of equal hash would be one), of its lines, and of its pairs of neighbours
+(of as many bits as the corpus needs, see ``SPARE_BITS``). A slice answers with sums over all chunks, and tells for one chunk that it
+stands for a line or pair. Pairs are counted in the one training copy of a line that stands for all. A chunk seats the pairs
+it stands for; the random numbers hang on the pair's hash, so every chunk that scores the pair finds the same tables,
+and however the input is cut, the customers are the same. The distinct words stay in their slices. Each sweep sends
+a slice's distinct n-grams to the restaurant trees, one for every last two bytes of a context: such a tree
 shares all parents down to that context, holds at most 256 ** (ORDER - 2) kinds, and needs from outside only
-the probabilities after one byte, a table of 256 x 256. The scores of the words go back to the chunks that
-asked. So neither the vocabulary nor a text list is ever in one place. Tables that several steps read are
+the probabilities after one byte, a table of 256 x 256. The probabilities of the words go back to the chunks that
+have them. So neither the vocabulary nor a text list is ever in one place. Tables that several steps read are
 written to the shared folder.
 
 Defined results: null text is empty and has one token, the end. A text of any length is one piece of
@@ -53,10 +56,14 @@ from newslens.sources.workspace import delete, new_path, written_at
 ORDER = 5
 DISCOUNT, STRENGTH = 0.75, 1.0
 BURN, SAMPLES = 1, 2
-#: Bytes of text, and distinct words, that one chunk is about.
-CHUNK_BYTES, CHUNK_WORDS = 14_000_000, 200_000
+#: Bytes of text that one chunk is about.
+CHUNK_BYTES = 14_000_000
 #: Bytes of text whose pairs one slice of the pairs' hashes is about, and the least number of slices, in bits.
-SLICE_BYTES, SLICE_BITS = 16_000_000, 8
+SLICE_BYTES, SLICE_BITS = 16_000_000, 6
+#: The same for slices of words and lines.
+WORD_BYTES, WORD_BITS = 32_000_000, 3
+#: Bits of a pair's hash beyond those of the corpus's number of bytes: an unseen pair is taken for a seen one once in 2 ** SPARE_BITS.
+SPARE_BITS = 20
 
 
 # --- seating ------------------------------------------------------------------------
@@ -181,23 +188,54 @@ def unpacked(blob: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(plain.T).reshape(-1).view(kind)
 
 
-#: Kinds of counted rows; a row without a kind holds the documents of its chunk.
-WORD, LINE, PAIR = 0, 1, 2
+def narrow(numbers: np.ndarray) -> bytes:
+    """Counts as compressed bytes of the least width that holds them all; its width comes first."""
+    top = int(numbers.max()) if len(numbers) else 0
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + packed(numbers, kind)
+
+
+def widened(blob: bytes) -> np.ndarray:
+    return unpacked(blob[1:], np.dtype(f"u{blob[0]}")).astype(np.int64)
+
+
+def least(numbers: np.ndarray) -> bytes:
+    """Counts in the least width that holds them all, which comes first; for the many short ones."""
+    top = int(numbers.max()) if len(numbers) else 0
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + numbers.astype(kind).tobytes()
+
+
+def wide(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"u{blob[0]}", offset=1).astype(np.int64)
+
+
+def rising(numbers: np.ndarray) -> bytes:
+    """Ascending uint64 as their differences, in as few bytes each as hold them all."""
+    steps = np.diff(numbers, prepend=np.uint64(0))
+    steps[:1] = 0
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    first = int(numbers[0]) if len(numbers) else 0
+    rest = steps.view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + first.to_bytes(8, "little") + rest.tobytes()
+
+
+def risen(blob: bytes) -> np.ndarray:
+    width = blob[0]
+    rest = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(rest), 8), dtype=np.uint8)
+    steps[:, :width] = rest
+    steps = steps.reshape(-1).view(np.uint64)
+    steps[:1] = int.from_bytes(blob[1:9], "little")
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 #: Numbers of the text end and the line end in every chunk, and their hashes.
 END, LINE_END = 0, 1
 
-_CHUNKED = (
-    "chunk long, ids binary, held binary, words binary, lines binary, line_words binary, tokens binary, "
-    "line_numbers binary, hashes binary, kind int, number int, hash long, word binary, n long, m long"
-)
-_C_TYPE = pa.schema(
-    [
-        ("chunk", pa.int64()), *[(f, pa.binary()) for f in
-        ("ids", "held", "words", "lines", "line_words", "tokens", "line_numbers", "hashes")],
-        ("kind", pa.int32()), ("number", pa.int32()), ("hash", pa.int64()), ("word", pa.binary()),
-        ("n", pa.int64()), ("m", pa.int64()),
-    ]
-)
+_FIELDS = ("ids", "held", "words", "lines", "line_words", "tokens", "line_numbers", "hashes", "line_hashes", "spelled", "lengths")
+_CHUNKED = "chunk long, " + ", ".join(f"{f} binary" for f in _FIELDS)
+_C_TYPE = pa.schema([("chunk", pa.int64()), *[(f, pa.binary()) for f in _FIELDS]])
 
 
 class Chunk:
@@ -233,67 +271,89 @@ class Chunk:
             if value not in self.spelled:
                 self.spelled[value] = text[starts[k] : ends[k]]
 
-    def rows(self, name: int, bits: int) -> Iterator[pa.RecordBatch]:
-        held, n_words, n_lines = (np.concatenate(x) for x in (self.held, self.words, self.lines))
-        line_words, hashes, line_hashes = (np.concatenate(x) for x in (self.line_words, self.hashes, self.line_hashes))
-        of_line = np.repeat(~held, n_lines)
-        lines, line_numbers = _numbered(line_hashes)
-        first = np.zeros(len(line_numbers), dtype=bool)  # one training copy of each line of this chunk
-        places = np.flatnonzero(of_line)
-        first[places[np.unique(line_numbers[places], return_index=True)[1]]] = True
-        kinds, tokens = _numbered(hashes)
-        line_n = np.bincount(line_numbers, weights=of_line, minlength=len(lines)).astype(np.int64)
-        n = np.bincount(tokens, weights=np.repeat(~held, n_words), minlength=len(kinds)).astype(np.int64)
-        ends = int((~held).sum())
-        line_n[END], n[END] = ends, ends
-        self.hashes, self.line_hashes, hashes, line_hashes = [], [], None, None
-        pairs, which, before, _ = line_pairs(tokens, line_words, kinds)
-        opened_by = np.append(np.repeat(first, line_words + 1), ends > 0)
-        pair_n = np.bincount(which, weights=opened_by, minlength=len(pairs)).astype(np.int64)
-        m = np.bincount(before, weights=pair_n, minlength=len(kinds)).astype(np.int64)
-        which = before = opened_by = None
-        blobs = {
-            "chunk": [name], "ids": [_ids_out(self.ids)], "held": [packed(held, np.uint8)],
-            "words": [packed(n_words, np.int64)], "lines": [packed(n_lines, np.int64)],
-            "line_words": [packed(line_words, np.int32)], "tokens": [packed(tokens, np.int32, 6)],
-            "line_numbers": [packed(line_numbers, np.int32)], "hashes": [packed(kinds, np.uint64)],
-        }
-        yield _batch(blobs, 1)
+    def row(self, name: int) -> pa.RecordBatch:
+        kinds, tokens = _numbered(np.concatenate(self.hashes))
+        lines, line_numbers = _numbered(np.concatenate(self.line_hashes))
         self.spelled |= {END: b"", LINE_END: b"\n"}
-        for kind, unique, counts, opened in ((WORD, kinds, n, m), (LINE, lines, line_n, np.minimum(line_n, 1))):
-            for start in range(0, len(unique), 50_000):
-                part = slice(start, start + 50_000)
-                size = len(unique[part])
-                found = {
-                    "chunk": [name] * size, "kind": np.full(size, kind), "number": np.arange(start, start + size),
-                    "hash": unique[part].view(np.int64), "n": counts[part], "m": opened[part],
-                }
-                if kind == WORD:
-                    found["word"] = [self.spelled[h] for h in unique[part].tolist()]
-                yield _batch(found, size)
-        for number, a, b in _slices(pairs, bits):
-            found = {"word": [packed(np.diff(pairs[a:b], prepend=np.uint64(0)), np.uint64)], "tokens": [packed(pair_n[a:b], np.int64)]}
-            yield _batch({"chunk": [name], "kind": [PAIR], "number": [number], **found}, 1)
-
-
-def line_pairs(tokens: np.ndarray, line_words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Neighbours in the lines of a chunk: sorted distinct hashes, the pair of each place, and both numbers of each pair.
+        spelled = [self.spelled[h] for h in kinds.tolist()]
+        values = [
+            name, _ids_out(self.ids), packed(np.concatenate(self.held), np.uint8), narrow(np.concatenate(self.words)),
+            narrow(np.concatenate(self.lines)), narrow(np.concatenate(self.line_words)), packed(tokens, np.int32, 6),
+            narrow(line_numbers), kinds.tobytes(), lines.tobytes(), zlib.compress(b"".join(spelled), 1),
+            narrow(np.array([len(w) for w in spelled])),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _C_TYPE)], schema=_C_TYPE)
+
+
+class Read:
+    """A chunk as it was written: its documents, lines and words, and their order by hash."""
+
+    def __init__(self, row: dict):
+        self.held = unpacked(row["held"], np.uint8).astype(bool)
+        self.words, self.lines, self.line_words = (widened(row[c]) for c in ("words", "lines", "line_words"))
+        self.line_numbers = widened(row["line_numbers"])
+        self.tokens = unpacked(row["tokens"], np.int32)
+        self.hashes, self.line_hashes = (np.frombuffer(row[c], np.uint64) for c in ("hashes", "line_hashes"))
+        self.trained_lines = np.repeat(~self.held, self.lines)
+        self.ends = int((~self.held).sum())
+
+    def pairs(self, width: int):
+        return line_pairs(self.tokens, self.line_words, self.hashes, width)
+
+    def word_counts(self) -> np.ndarray:
+        n = np.bincount(self.tokens, weights=np.repeat(~self.held, self.words), minlength=len(self.hashes)).astype(np.int64)
+        n[END] = self.ends
+        return n
+
+    def line_counts(self) -> np.ndarray:
+        n = np.bincount(self.line_numbers, weights=self.trained_lines, minlength=len(self.line_hashes)).astype(np.int64)
+        n[END] = self.ends
+        return n
+
+    def opened(self, opens: np.ndarray) -> np.ndarray:
+        """Which places of ``line_pairs`` are in the training copy that stands for all equal lines."""
+        first = np.zeros(len(self.line_numbers), dtype=bool)
+        places = np.flatnonzero(self.trained_lines)
+        first[places[np.unique(self.line_numbers[places], return_index=True)[1]]] = True
+        first &= opens[self.line_numbers].astype(bool)
+        return np.append(np.repeat(first, self.line_words + 1), opens[END])
+
+
+def line_pairs(tokens: np.ndarray, line_words: np.ndarray, hashes: np.ndarray, width: int = 64) -> tuple[np.ndarray, ...]:
+    """Neighbours in the lines of a chunk: sorted hashes of the distinct ones, the pair of each place, and both numbers of each pair.
 
     A place is a word or the end of its line, in text order, and last the text end: a line end in the
-    context of a line end, which is also the context of the first word of a line.
+    context of a line end, which is also the context of the first word of a line. Hashes have ``width`` bits.
     """
-    after = np.append(np.insert(tokens, np.cumsum(line_words), LINE_END), LINE_END)
-    before = np.append(LINE_END, after[:-1])
+    after = np.append(np.insert(tokens, np.cumsum(line_words), LINE_END), LINE_END).astype(np.uint64)
+    before = np.append(np.uint64(LINE_END), after[:-1])
+    bits, spot = len(hashes).bit_length(), len(after).bit_length()
+    key = before << np.uint64(bits) | after
+    if 2 * bits + spot <= 64:  # the place rides along in one plain sort
+        key = np.sort(key << np.uint64(spot) | np.arange(len(key), dtype=np.uint64))
+        place, key = (key & np.uint64((1 << spot) - 1)).astype(np.int64), key >> np.uint64(spot)
+    else:
+        place = np.argsort(key, kind="stable")
+        key = key[place]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    key = key[new]
+    first, second = (key >> np.uint64(bits)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.int64)
     words = mixed(hashes + np.uint64(1))
-    pairs, first, which = np.unique(mixed(words[before] * np.uint64(3) + words[after]), return_index=True, return_inverse=True)
-    return pairs, which, before[first], after[first]
-
-
-def _slices(pairs: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    """(slice, start, end) of the slices of the hashes that have some, ascending."""
-    number = (pairs >> np.uint64(64 - bits)).astype(np.int64)
+    found = mixed(words[first] * np.uint64(3) + words[second]) >> np.uint64(64 - width)
+    order = np.argsort(found, kind="stable")
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    which = np.empty(len(place), dtype=np.int64)
+    which[place] = rank[np.cumsum(new) - 1]
+    return found[order], which, first[order], second[order]
+
+
+def _slices(hashes: np.ndarray, bits: int, width: int = 64) -> Iterator[tuple[int, int, int]]:
+    """(slice, start, end) of the slices of ascending hashes that have some."""
+    number = (hashes >> np.uint64(width - bits)).astype(np.int64)
     start = np.flatnonzero(np.diff(number, prepend=-1))
-    yield from zip(number[start].tolist(), start.tolist(), np.append(start[1:], len(pairs)).tolist())
+    yield from zip(number[start].tolist(), start.tolist(), np.append(start[1:], len(hashes)).tolist())
 
 
 def _names() -> Iterator[int]:
@@ -302,11 +362,6 @@ def _names() -> Iterator[int]:
     return iter(range(task << 24, (task + 1) << 24))
 
 
-def _batch(columns: dict, size: int) -> pa.RecordBatch:
-    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _C_TYPE]
-    return pa.RecordBatch.from_arrays(arrays, schema=_C_TYPE)
-
-
 def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, frequent ones first after those of the two ends; the number of each place."""
     unique, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
@@ -317,10 +372,8 @@ def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([ends, unique[frequent]]), rank[which]
 
 
-def _chunked(texts: DataFrame, bits: int) -> DataFrame:
-    """Of (id, held, text): per chunk one row with its documents' words and lines as numbers, and a row
-    per distinct word and line: number, hash, count ``n`` in training texts, tables of a line or customers
-    in the context of a word ``m``; and a row per slice of the pairs' hashes."""
+def _chunked(texts: DataFrame) -> DataFrame:
+    """Of (id, held, text): per chunk a row of its documents, with words and lines as numbers, and what these are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, names = Chunk(), _names()
@@ -331,10 +384,10 @@ def _chunked(texts: DataFrame, bits: int) -> DataFrame:
                 at = offsets[start : end + 1]
                 chunk.add(batch.column(0).slice(start, end - start), held[start:end], data[at[0] : at[-1]], at - at[0])
                 if chunk.size >= CHUNK_BYTES:
-                    yield from chunk.rows(next(names), bits)
+                    yield chunk.row(next(names))
                     chunk = Chunk()
         if chunk.ids:
-            yield from chunk.rows(next(names), bits)
+            yield chunk.row(next(names))
 
     return texts.mapInArrow(run, _CHUNKED)
 
@@ -354,103 +407,248 @@ def _ids_in(blob: bytes) -> pa.Array:
         return stream.read_all().column("id").combine_chunks()
 
 
-# --- contexts of words --------------------------------------------------------------
+# --- questions of chunks to slices of hashes ------------------------------------------
+
+
+def _table(schema: str, *columns: list) -> pa.Table:
+    """Columns as an Arrow table of a SQL schema of long, int and binary."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "float": pa.float32()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _batches(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    yield from table.to_batches()
+
+
+_ASKED = "slice long, chunk long, hashes binary, n binary, spelled binary, lengths binary"
+
+
+def _word_questions(documents: DataFrame, bits: int, lines: bool = False) -> DataFrame:
+    """The words (or lines) of each chunk with their counts in training texts, by slice of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = Read(row)
+                hashes, n = (chunk.line_hashes, chunk.line_counts()) if lines else (chunk.hashes, chunk.word_counts())
+                order = np.argsort(hashes, kind="stable")
+                hashes, n = hashes[order], n[order]
+                cuts = list(_slices(hashes, bits))
+                spelled = lengths = [None] * len(cuts)
+                if not lines:
+                    words = _binary(row["spelled"], row["lengths"]).take(pa.array(order))
+                    spelled = [zlib.compress(b"".join(words.slice(a, b - a).to_pylist()), 1) for _, a, b in cuts]
+                    size = np.diff(np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1])
+                    lengths = [narrow(size[a:b]) for _, a, b in cuts]
+                yield from _batches(_table(
+                    _ASKED, [c for c, _, _ in cuts], [row["chunk"]] * len(cuts), [rising(hashes[a:b]) for _, a, b in cuts],
+                    [narrow(n[a:b]) for _, a, b in cuts], spelled, lengths,
+                ))
+
+    return documents.mapInArrow(run, _ASKED)
+
+
+def _binary(spelled: bytes, lengths: bytes) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(widened(lengths))]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(zlib.decompress(spelled))])
+
 
+def _merged(group: pa.Table, *counts: str) -> tuple:
+    """Of the questions to a slice, by chunk: distinct hashes, which is where, where chunks end, and sums of the counts."""
+    rows = [risen(h) for h in group.column("hashes").to_pylist()]
+    kinds, index, which = np.unique(np.concatenate(rows), return_index=True, return_inverse=True)
+    sums = []
+    for name in counts:
+        n = np.concatenate([widened(c) for c in group.column(name).to_pylist()])
+        sums.append(np.bincount(which, weights=n, minlength=len(kinds)).astype(np.int64))
+    return kinds, index, which, np.cumsum([len(r) for r in rows])[:-1], sums
 
-def _pair_counts(chunks: DataFrame) -> DataFrame:
-    """(chunk, number, counts, opens, once, twice): a slice's answer to a chunk, in the order of its hashes."""
-    asked = chunks.filter(F.col("kind") == PAIR).select("chunk", "number", F.col("word").alias("pairs"), F.col("tokens").alias("n"))
-    schema = pa.schema([("chunk", pa.int64()), ("number", pa.int32()), ("counts", pa.binary()), ("opens", pa.binary()),
-                        ("once", pa.int64()), ("twice", pa.int64())])
+
+_COUNTED = "words long, chunk long, hashes binary, spelled binary, lengths binary, seen binary, at binary, kinds long, total long"
+
+
+def _counted_words(asked: DataFrame) -> DataFrame:
+    """A row of the distinct words of each slice, ascending by hash, with their counts; and a row for each chunk: which it has."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        kinds, index, which, cuts, (n,) = _merged(group, "n")
+        words = pa.concat_arrays([_binary(s, k) for s, k in zip(group.column("spelled").to_pylist(), group.column("lengths").to_pylist())])
+        words = words.take(pa.array(index)).to_pylist()
+        rest = [None] * group.num_rows
+        return _table(
+            _COUNTED, [key[0].as_py()] * (1 + len(rest)), [None, *group.column("chunk").to_pylist()], [rising(kinds), *rest],
+            [zlib.compress(b"".join(words), 1), *rest], [narrow(np.array([len(w) for w in words])), *rest], [narrow(n), *rest],
+            [None, *[rising(w.astype(np.uint64)) for w in np.split(which, cuts)]],
+            [int((n > 0).sum()), *rest], [int(n.sum()), *rest],
+        )
+
+    return asked.groupBy("slice").applyInArrow(run, _COUNTED)
+
+
+_COUNTS = "chunk long, slice long, counts binary, opens binary, once long, twice long, kinds long, total long"
+
+
+def _counts(asked: DataFrame) -> DataFrame:
+    """A slice's answer to each chunk: the sums over all chunks, and which kinds the chunk stands for.
+
+    One of the chunks that have a kind in their training texts does: the first by number.
+    """
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by("chunk")
-        rows = [np.cumsum(unpacked(p, np.uint64), dtype=np.uint64) for p in group.column("pairs").to_pylist()]
-        n = np.concatenate([unpacked(c, np.int64) for c in group.column("n").to_pylist()])
-        kinds, which = np.unique(np.concatenate(rows), return_inverse=True)
-        total = np.bincount(which, weights=n, minlength=len(kinds)).astype(np.int64)
+        kinds, _, which, cuts, (total,) = _merged(group, "n")
+        n = np.concatenate([widened(c) for c in group.column("n").to_pylist()])
         opens, trained = np.zeros(len(n), dtype=np.uint8), np.flatnonzero(n)
         opens[trained[np.unique(which[trained], return_index=True)[1]]] = 1
-        cuts = np.cumsum([len(r) for r in rows])[:-1]
-        rest = [0] * (len(rows) - 1)
-        return pa.Table.from_arrays(
-            [
-                group.column("chunk").combine_chunks(),
-                pa.array([key[0].as_py()] * len(rows), pa.int32()),
-                pa.array([packed(c, np.int64) for c in np.split(total[which], cuts)], pa.binary()),
-                pa.array([packed(o, np.uint8) for o in np.split(opens, cuts)], pa.binary()),
-                pa.array([int((total == 1).sum()), *rest], pa.int64()),
-                pa.array([int((total == 2).sum()), *rest], pa.int64()),
-            ],
-            schema=schema,
-        )
+        size = group.num_rows
+        facts = [int((total == 1).sum()), int((total == 2).sum()), int((total > 0).sum()), int(total.sum())]
+        return _table(
+            _COUNTS, group.column("chunk").to_pylist(), [key[0].as_py()] * size, [narrow(c) for c in np.split(total[which], cuts)],
+            [packed(o, np.uint8) for o in np.split(opens, cuts)], *[[f] + [0] * (size - 1) for f in facts],
+        )
+
+    return asked.groupBy("slice").applyInArrow(run, _COUNTS)
+
+
+def _facts(counts: DataFrame) -> dict:
+    names = ("once", "twice", "kinds", "total")
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
+
 
-    return asked.groupBy("number").applyInArrow(run, "chunk long, number int, counts binary, opens binary, once long, twice long")
+def _in_order(found: list[dict], column: str, read) -> np.ndarray:
+    """The answers of all slices to a chunk, ascending by hash."""
+    return np.concatenate([read(r[column]) for r in sorted(found, key=lambda r: r["slice"])])
 
 
-def _in_order(found: pa.Table, column: str, kind) -> np.ndarray:
-    """The answers of all slices to a chunk, in the order of ``line_pairs``."""
-    blobs = sorted(zip(found.column("number").to_pylist(), found.column(column).to_pylist()))
-    return np.concatenate([unpacked(b, kind) for _, b in blobs])
+def _by_number(hashes: np.ndarray, found: list[dict], column: str, read) -> np.ndarray:
+    """The answers of all slices to a chunk, by its own numbers."""
+    values = _in_order(found, column, read)
+    out = np.empty_like(values)
+    out[np.argsort(hashes, kind="stable")] = values
+    return out
+
+
+# --- contexts of words --------------------------------------------------------------
+
+_FOUND = "chunk long, slice long, counts binary, opens binary, chance binary, rooms binary, seats binary, sweep int, what int"
+_LINES, _PAIRS, _WORDS_OF = 0, 1, 2
 
 
-def _tables(documents: DataFrame, pair_counts: DataFrame) -> DataFrame:
-    """(hash, sent, rooms): tables of each word in all contexts, and all tables in the context of each word."""
+def _told(counts: DataFrame, what: int, *columns: str) -> DataFrame:
+    """Answers in one shape, so that one cogroup brings all to the chunk."""
+    have = {"chunk", "slice", *columns}
+    return counts.select(
+        *[(F.col(n) if n in have else F.lit(what if n == "what" else None).cast(k)).alias(n)
+          for n, k in (f.split() for f in _FOUND.split(", "))]
+    )
+
+
+def _pair_questions(documents: DataFrame, line_answers: DataFrame, bits: int, width: int) -> DataFrame:
+    """The pairs of each chunk by slice, counted in one training copy of each distinct line of the corpus."""
 
     def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
         row = mine.to_pylist()[0]
-        hashes = unpacked(row["hashes"], np.uint64)
-        _, _, before, after = line_pairs(unpacked(row["tokens"], np.int32), unpacked(row["line_words"], np.int32), hashes)
-        opens = _in_order(found, "opens", np.uint8)
-        sent, rooms = (np.bincount(x, weights=opens, minlength=len(hashes)).astype(np.int64) for x in (after, before))
-        some = np.flatnonzero(sent + rooms)
-        columns = [pa.array(x[some], pa.int64()) for x in (hashes.view(np.int64), sent, rooms)]
-        return pa.Table.from_arrays(columns, names=["hash", "sent", "rooms"])
+        chunk = Read(row)
+        pairs, which, _, _ = chunk.pairs(width)
+        opens = _by_number(chunk.line_hashes, found.to_pylist(), "opens", lambda b: unpacked(b, np.uint8))
+        n = np.bincount(which, weights=chunk.opened(opens), minlength=len(pairs)).astype(np.int64)
+        cuts = list(_slices(pairs, bits, width))
+        none = [None] * len(cuts)
+        return _table(_ASKED, [c for c, _, _ in cuts], [row["chunk"]] * len(cuts), [rising(pairs[a:b]) for _, a, b in cuts],
+                      [narrow(n[a:b]) for _, a, b in cuts], none, none)
 
-    left = documents.select("chunk", "tokens", "line_words", "hashes").groupBy("chunk")
-    found = left.cogroup(pair_counts.select("chunk", "number", "opens").groupBy("chunk"))
-    found = found.applyInArrow(run, "hash long, sent long, rooms long")
-    return found.groupBy("hash").agg(F.sum("sent").alias("sent"), F.sum("rooms").alias("rooms"))
+    return documents.groupBy("chunk").cogroup(line_answers.groupBy("chunk")).applyInArrow(run, _ASKED)
 
 
-# --- words and their spelling -------------------------------------------------------
+def seat_alike(names: np.ndarray, customers: np.ndarray, others: np.ndarray, parent: np.ndarray,
+               discount: float, strength: float, seed: int) -> np.ndarray:
+    """``seat`` with random numbers that depend on the name of a kind: every chunk that holds it draws the same.
+
+    A block of customers opens the whole number of tables next to its expectation, up or down by chance.
+    """
+    customers = customers.astype(np.int64)
+    tables = np.minimum(customers, 1)
+    live = np.flatnonzero(customers > 1)
+    done, block = 1, 1
+    while len(live):
+        here = tables[live]
+        new = (strength + discount * (others[live] + here)) * parent[live]
+        chance = new / (new + np.maximum(done - discount * here, 1e-12))
+        size = np.minimum(customers[live] - done, block)
+        salt = mixed(np.array([seed], dtype=np.uint64) * np.uint64(1 << 40) + np.uint64(done))
+        draw = (mixed(names[live] + salt) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+        tables[live] += np.floor(size * chance + draw).astype(np.int64)
+        done += block
+        block = max(1, done // 16) if done >= 32 else 1
+        live = live[customers[live] > done]
+    return tables
+
+
+def _context_tables(sweep: int, pairs: np.ndarray, counts: np.ndarray, before: np.ndarray, after: np.ndarray,
+                    chance: np.ndarray | None, rooms: np.ndarray | None, discount: float, seed: int) -> np.ndarray:
+    """Tables of each pair: one for each kind at first, then as the sweeps seat them."""
+    if not sweep:
+        return np.minimum(counts, 1)
+    others = np.maximum(rooms[before] - 1, 0)
+    return seat_alike(pairs, counts, others, chance[after], discount, STRENGTH, seed * 64 + sweep)
 
-_WORDS = "words long, hashes binary, spelled binary, lengths binary, n binary, tables binary, spelling binary, sums binary"
-_W_NAMES = [f.split()[0] for f in _WORDS.split(", ")]
-_W_TYPE = pa.schema([("words", pa.int64()), *[(n, pa.binary()) for n in _W_NAMES[1:]]])
 
+_SENT = "words long, chunk long, at binary, sent binary, rooms binary, seats binary"
 
-def _word_row(name: int, hashes, spelled: bytes, lengths, n, tables, spelling, sums) -> pa.RecordBatch:
-    values = [
-        name, packed(hashes, np.uint64), zlib.compress(spelled, 1), packed(lengths, np.int64), packed(n, np.int64),
-        packed(tables, np.int64), packed(spelling, np.float64), packed(sums, np.float64),
-    ]
-    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _W_TYPE)], schema=_W_TYPE)
 
+def _sent(documents: DataFrame, told: DataFrame, sweep: int, bits: int, width: int, discount: float, seed: int) -> DataFrame:
+    """What the contexts of each chunk's own pairs send: tables of each word, tables and customers in its context."""
+
+    def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
+        row, found = mine.to_pylist()[0], found.to_pylist()
+        chunk = Read(row)
+        pairs, _, before, after = chunk.pairs(width)
+        mine = [r for r in found if r["what"] == _PAIRS]
+        counts, opens = _in_order(mine, "counts", widened), _in_order(mine, "opens", lambda b: unpacked(b, np.uint8))
+        words = [r for r in found if r["what"] == _WORDS_OF]
+        chance = rooms = None
+        if sweep:
+            chance = 10.0 ** _by_number(chunk.hashes, words, "chance", _floats)
+            rooms = _by_number(chunk.hashes, words, "rooms", widened)
+        own = np.flatnonzero(opens)
+        pairs, before, after, counts = pairs[own], before[own], after[own], counts[own]
+        tables = _context_tables(sweep, pairs, counts, before, after, chance, rooms, discount, seed)
+        order = np.argsort(chunk.hashes, kind="stable")
+        sums = [np.bincount(x, weights=w, minlength=len(order)).astype(np.int64)[order]
+                for x, w in ((after, tables), (before, tables), (before, counts))]
+        cuts = list(_slices(chunk.hashes[order], bits))
+        return _table(_SENT, [c for c, _, _ in cuts], [row["chunk"]] * len(cuts), [None] * len(cuts),
+                      *[[narrow(x[a:b]) for _, a, b in cuts] for x in sums])
+
+    return documents.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, _SENT)
+
+
+def _floats(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.float32).astype(np.float64)
 
-def _word_chunks(counted: DataFrame) -> DataFrame:
-    """Of (hash, word, m), by hash: a row per ``CHUNK_WORDS`` words, seated at a table per known word."""
+
+# --- words and their spelling -------------------------------------------------------
+
+_WORDS = (
+    "words long, hashes binary, spelled binary, lengths binary, seen binary, n binary, tables binary, rooms binary, "
+    "seats binary, spelling binary, chance binary"
+)
+
+
+def _word_rows(counted: DataFrame) -> DataFrame:
+    """The distinct words before they are seated; a word's first guess falls by its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size, names = [], 0, _names()
         for batch in batches:
-            parts.append(batch)
-            size += batch.num_rows
-            if size >= CHUNK_WORDS:
-                yield row(parts, next(names))
-                parts, size = [], 0
-        if size:
-            yield row(parts, next(names))
-
-    def row(parts: list[pa.RecordBatch], name: int) -> pa.RecordBatch:
-        table = pa.Table.from_batches(parts)
-        spelled = table.column("word").to_pylist()
-        n = table.column("m").to_numpy()
-        lengths = np.array([len(w) for w in spelled])
-        return _word_row(
-            name, table.column("hash").to_numpy().view(np.uint64), b"".join(spelled), lengths, n,
-            np.minimum(n, 1), np.exp(-3.0 * (lengths + 1.0)), np.zeros(len(n)),
-        )
+            for row in batch.to_pylist():
+                lengths = widened(row["lengths"])
+                none = narrow(np.zeros(len(lengths), dtype=np.int64))
+                guess = packed(np.exp(-3.0 * (lengths + 1.0)), np.float64)
+                yield from _batches(_table(
+                    _WORDS, [row["words"]], [row["hashes"]], [row["spelled"]], [row["lengths"]], [row["seen"]],
+                    [none], [none], [none], [none], [guess], [None],
+                ))
 
     return counted.mapInArrow(run, _WORDS)
 
@@ -473,40 +671,45 @@ def spelling_ngrams(spelled: np.ndarray, lengths: np.ndarray, order: int = ORDER
     return keys, owner
 
 
-def _asked(word_rows: DataFrame, totals: dict, sweep: int, seed: int, discount: float, strength: float) -> DataFrame:
-    """Reseat the words and ask for their n-grams: (words, tree, keys, customers)."""
-    schema = pa.schema([("words", pa.int64()), ("tree", pa.int32()), ("keys", pa.binary()), ("customers", pa.binary()), ("tables", pa.binary())])
+_SEATED = "words long, tree int, keys binary, customers binary, n binary, tables binary, rooms binary, seats binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n, tables = unpacked(row["n"], np.int64), unpacked(row["tables"], np.int64)
-                spelling = unpacked(row["spelling"], np.float64)
-                hashes = unpacked(row["hashes"], np.uint64)
-                rng = np.random.default_rng([seed, sweep, int(hashes[0] % np.uint64(1 << 62))])
-                tables = seat(rng, n, totals["tables"] - tables, spelling, discount, strength)
-                lengths = unpacked(row["lengths"], np.int64)
-                spelled = np.frombuffer(zlib.decompress(row["spelled"]), np.uint8)
-                keys, owner = spelling_ngrams(spelled, lengths)
-                unique, which = np.unique(keys, return_inverse=True)
-                customers = np.bincount(which, weights=tables[owner], minlength=len(unique)).astype(np.int64)
-                tree = ((unique >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int32)
-                order = np.argsort(tree, kind="stable")
-                tree, unique, customers = tree[order], unique[order], customers[order]
-                cuts = np.flatnonzero(np.diff(tree, prepend=-1))
-                ends = np.append(cuts[1:], len(tree))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["words"]] * (len(cuts) + 1), pa.int64()),
-                        pa.array([*tree[cuts].tolist(), -1], pa.int32()),
-                        pa.array([*[unique[a:b].tobytes() for a, b in zip(cuts, ends)], None], pa.binary()),
-                        pa.array([*[customers[a:b].tobytes() for a, b in zip(cuts, ends)], None], pa.binary()),
-                        pa.array([*[None] * len(cuts), packed(tables, np.int64)], pa.binary()),
-                    ],
-                    schema=schema,
-                )
-
-    return word_rows.mapInArrow(run, "words long, tree int, keys binary, customers binary, tables binary")
+
+def _asked(word_rows: DataFrame, sent: DataFrame, members: DataFrame, tables: int, sweep: int, seed: int, discount: float, strength: float) -> DataFrame:
+    """Seat what the contexts sent and ask for the words' n-grams, by tree; a row of tree -1 holds the seating."""
+
+    def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
+        row, slice_ = mine.to_pylist()[0], mine.column("words").to_pylist()[0]
+        old, parts = widened(row["tables"]), found.to_pylist()
+        n, rooms, seats = (_summed(parts, name, len(old)) for name in ("sent", "rooms", "seats"))
+        rng = np.random.default_rng([seed, sweep, slice_])
+        seated = seat(rng, n, np.maximum(tables - old, 0), unpacked(row["spelling"], np.float64), discount, strength)
+        spelled = np.frombuffer(zlib.decompress(row["spelled"]), np.uint8)
+        keys, owner = spelling_ngrams(spelled, widened(row["lengths"]))
+        unique, which = np.unique(keys, return_inverse=True)
+        customers = np.bincount(which, weights=seated[owner], minlength=len(unique)).astype(np.int64)
+        tree = ((unique >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int32)
+        order = np.argsort(tree, kind="stable")
+        tree, unique, customers = tree[order], unique[order], customers[order]
+        cuts = np.flatnonzero(np.diff(tree, prepend=-1))
+        parts = list(zip(cuts, np.append(cuts[1:], len(tree))))
+        none = [None] * len(parts)
+        return _table(
+            _SEATED, [slice_] * (len(parts) + 1), [*tree[cuts].tolist(), -1], [*[rising(unique[a:b]) for a, b in parts], None],
+            [*[least(customers[a:b]) for a, b in parts], None], *[[*none, narrow(x)] for x in (n, seated, rooms, seats)],
+        )
+
+    found = sent.unionByName(members, allowMissingColumns=True)
+    return word_rows.groupBy("words").cogroup(found.groupBy("words")).applyInArrow(run, _SEATED)
+
+
+def _summed(parts: list[dict], name: str, size: int) -> np.ndarray:
+    """What chunks sent to the words of a slice; other rows tell which words a chunk has."""
+    at = {p["chunk"]: p["at"] for p in parts if p["at"] is not None}
+    out = np.zeros(size, dtype=np.int64)
+    for part in parts:
+        if part["at"] is None:
+            out[risen(at[part["chunk"]]).astype(np.int64)] += widened(part[name])
+    return out
 
 
 def _answers(asked: DataFrame, top, sweep: int, seed: int) -> DataFrame:
@@ -515,7 +718,7 @@ def _answers(asked: DataFrame, top, sweep: int, seed: int) -> DataFrame:
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
         tree = key[0].as_py()
-        rows = [(w, np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)) for w, k, c in zip(
+        rows = [(w, risen(k), wide(c)) for w, k, c in zip(
             group.column("words").to_pylist(), group.column("keys").to_pylist(), group.column("customers").to_pylist())]
         keys, which = np.unique(np.concatenate([k for _, k, _ in rows]), return_inverse=True)
         customers = np.bincount(which, weights=np.concatenate([c for _, _, c in rows]), minlength=len(keys))
@@ -536,15 +739,15 @@ def _answers(asked: DataFrame, top, sweep: int, seed: int) -> DataFrame:
     return asked.groupBy("tree").applyInArrow(run, "words long, tree int, chances binary, sent binary")
 
 
-def _spelled(word_rows: DataFrame, seated: DataFrame, answers: DataFrame, totals, keep: bool,
-             discount: float, strength: float) -> DataFrame:
-    """The word rows with new tables and spelling, and their average predictive summed up."""
+def _spelled(word_rows: DataFrame, seated: DataFrame, answers: DataFrame, totals: dict, discount: float, strength: float) -> DataFrame:
+    """The word rows with new tables and spelling, and this sweep's predictive probability of each word."""
 
     def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
         row = mine.to_pylist()[0]
-        tables = next(unpacked(t, np.int64) for t in found.column("tables").to_pylist() if t is not None)
-        blobs = {t: c for t, c in zip(found.column("tree").to_pylist(), found.column("chances").to_pylist()) if c is not None}
-        lengths, n = unpacked(row["lengths"], np.int64), unpacked(row["n"], np.int64)
+        found = found.to_pylist()
+        new = next(f for f in found if f["tables"] is not None)
+        blobs = {f["tree"]: f["chances"] for f in found if f["chances"] is not None}
+        lengths, n, tables = widened(row["lengths"]), widened(new["n"]), widened(new["tables"])
         keys, owner = spelling_ngrams(np.frombuffer(zlib.decompress(row["spelled"]), np.uint8), lengths)
         unique, which = np.unique(keys, return_inverse=True)
         tree = ((unique >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int32)
@@ -552,51 +755,64 @@ def _spelled(word_rows: DataFrame, seated: DataFrame, answers: DataFrame, totals
         chances = np.empty(len(unique))
         chances[order] = np.concatenate([np.frombuffer(blobs[t], np.float32) for t in np.unique(tree).tolist()])
         spelling = np.exp(np.bincount(owner, weights=np.log(chances)[which], minlength=len(lengths)))
-        sums = unpacked(row["sums"], np.float64)
-        if keep:
-            new = strength + discount * totals["tables"]
-            sums = sums + (np.maximum(n - discount * tables, 0.0) + new * spelling) / (strength + totals["n"])
-        batch = _word_row(row["words"], unpacked(row["hashes"], np.uint64), zlib.decompress(row["spelled"]),
-                          lengths, n, tables, spelling, sums)
-        return pa.Table.from_batches([batch])
-
-    left = word_rows.groupBy("words")
-    sent = seated.select("words", "tree", F.lit(None).cast("binary").alias("chances"), "tables").unionByName(
-        answers.select("words", "tree", "chances", F.lit(None).cast("binary").alias("tables"))
-    )
-    return left.cogroup(sent.groupBy("words")).applyInArrow(run, _WORDS)
+        opened = strength + discount * totals["tables"]
+        chance = (np.maximum(n - discount * tables, 0.0) + opened * spelling) / (strength + totals["n"])
+        chance = np.maximum(chance, 1e-300)
+        return _table(
+            _WORDS, [row["words"]], [row["hashes"]], [row["spelled"]], [row["lengths"]], [row["seen"]], [new["n"]], [new["tables"]],
+            [new["rooms"]], [new["seats"]], [packed(spelling, np.float64)], [np.log10(chance).astype(np.float32).tobytes()],
+        )
+
+    shape = "words long, tree int, chances binary, n binary, tables binary, rooms binary, seats binary"
+    both = [
+        df.select(*[(F.col(n) if n in df.columns else F.lit(None).cast(k)).alias(n) for n, k in (f.split() for f in shape.split(", "))])
+        for df in (seated, answers)
+    ]
+    found = both[0].unionByName(both[1])
+    return word_rows.groupBy("words").cogroup(found.groupBy("words")).applyInArrow(run, _WORDS)
+
 
+def _totals(seated: DataFrame) -> dict:
+    """Tables and customers of the word restaurant."""
 
-def _count_tables(seated: DataFrame) -> int:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = sum(int(unpacked(t, np.int64).sum()) for t in batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+            for row in batch.to_pylist():
+                yield from _batches(_table("tables long, n long", [int(widened(row["tables"]).sum())], [int(widened(row["n"]).sum())]))
 
-    return seated.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sums = seated.select("tables", "n").mapInArrow(run, "tables long, n long")
+    return sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tables", "n")]).first().asDict()
 
 
-def _model(counted: DataFrame, total: int, kinds: int, once: int, twice: int, seed: int) -> DataFrame:
-    """The word rows after all sweeps."""
-    spark = counted.sparkSession
-    discount, strength = _discount(once, twice), 10.0
-    at = {"words": new_path(spark, "words")}
-    rows = written_at(_word_chunks(counted), at["words"])
-    totals = {"tables": kinds, "n": total}
-    top = np.full((256, 256), 1.0 / 256.0)
-    for sweep in range(BURN + SAMPLES):
-        old, at = at, {name: new_path(spark, name) for name in ("words", "asked", "answers")}
-        asked = written_at(_asked(rows, totals, sweep, seed, discount, strength), at["asked"])
-        seated = asked.filter("tree = -1").select("words", "tree", "tables")
-        totals = {"tables": _count_tables(seated.select("tables")), "n": total}
-        shared = spark.sparkContext.broadcast(top)  # 512 KB
-        answers = written_at(_answers(asked.filter("tree >= 0").drop("tables"), shared, sweep, seed), at["answers"])
-        spelled = _spelled(rows, seated, answers.filter("words IS NOT NULL"), totals, sweep >= BURN, discount, strength)
-        rows = written_at(spelled, at["words"])
-        top = top_sweep(_sent_up(answers), top, np.random.default_rng([seed, sweep]))
-        for path in (old["words"], at["asked"], at["answers"]):  # nothing reads them any more
-            delete(spark, path)
-    return rows
+def _of_words(members: DataFrame, word_rows: DataFrame) -> DataFrame:
+    """What each chunk is to know of its words: (chunk, slice, counts, chance, rooms, seats)."""
+    out = "chunk long, slice long, counts binary, chance binary, rooms binary, seats binary"
+
+    def run(key: tuple, chunks: pa.Table, words: pa.Table) -> pa.Table:
+        row = words.to_pylist()[0]
+        counts, rooms, seats = (widened(row[c]) for c in ("seen", "rooms", "seats"))
+        chance = np.frombuffer(row["chance"], np.float32)
+        at = [risen(a).astype(np.int64) for a in chunks.column("at").to_pylist()]
+        return _table(
+            out, chunks.column("chunk").to_pylist(), chunks.column("words").to_pylist(), [narrow(counts[k]) for k in at],
+            [chance[k].tobytes() for k in at], [narrow(rooms[k]) for k in at], [narrow(seats[k]) for k in at],
+        )
+
+    return members.groupBy("words").cogroup(word_rows.groupBy("words")).applyInArrow(run, out)
+
+
+def _sent_facts(sent: DataFrame, members: DataFrame) -> tuple[int, int]:
+    """How many words have one table in all contexts, and how many have two."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        parts = group.to_pylist()
+        size = 1 + max((int(risen(p["at"])[-1]) for p in parts if p["at"] is not None), default=0)
+        n = _summed(parts, "sent", size)
+        return _table("once long, twice long", [int((n == 1).sum())], [int((n == 2).sum())])
+
+    both = sent.select("words", "chunk", "at", "sent").unionByName(members, allowMissingColumns=True)
+    found = both.groupBy("words").applyInArrow(run, "once long, twice long")
+    return tuple(found.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first())
 
 
 def _sent_up(answers: DataFrame) -> np.ndarray:
@@ -617,124 +833,109 @@ def _sent_up(answers: DataFrame) -> np.ndarray:
     return out.reshape(256, 256)
 
 
-def _word_scores(rows: DataFrame) -> DataFrame:
-    """(hash, score): log10 of the average predictive probability of each word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                chance = unpacked(row["sums"], np.float64) / SAMPLES
-                hashes = unpacked(row["hashes"], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes, pa.int64()), pa.array(np.log10(np.maximum(chance, 1e-300)), pa.float64())],
-                    names=["hash", "score"],
-                )
-
-    return rows.select("hashes", "sums").mapInArrow(run, "hash long, score double")
-
-
 def score(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "text", seed: int = 17) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row.
 
     Learns from the rows where ``held_out`` is false. ``score`` is the model's log10
     probability of the text, ``base_score`` that of single words with 0.1 added to each count.
     """
+    spark = docs.sparkSession
     id_type = docs.schema[id].dataType.simpleString()
     texts = docs.select(
         F.col(id).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), or_empty(text).alias("text")
     )
     n_bytes = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    chunks = written(_chunked(texts, max(SLICE_BITS, (n_bytes // SLICE_BYTES).bit_length())), "chunks")
-    documents = chunks.filter("kind IS NULL").select(
-        "chunk", "ids", "held", "words", "lines", "line_words", "tokens", "line_numbers", "hashes"
-    )
-    pairs = written(_pair_counts(chunks), "pairs")
-    pair = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
-    asked = chunks.filter(F.col("kind") < PAIR).select("chunk", "kind", "number", "hash")
-    counted = (
-        chunks.filter(F.col("kind") < PAIR)
-        .groupBy("kind", "hash", "word")
-        .agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-    )
-    # of words, m is the customers of their contexts, rooms the tables of these, sent the word's own customers
-    tables = _tables(documents, pairs).withColumn("kind", F.lit(WORD))
-    counted = counted.join(tables, ["kind", "hash"], "left").fillna(0, ["sent", "rooms"])
-    counted = written(counted, "counted")
-    of_kind = {
-        r["kind"]: r.asDict()
-        for r in counted.groupBy("kind").agg(
-            F.sum("n").alias("n"), F.sum("m").alias("m"), F.count_if(F.col("n") > 0).alias("kinds"),
-            F.sum("sent").alias("sent"), F.count_if(F.col("sent") > 0).alias("seated"),
-            *[F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in ("n", "sent") for k in (1, 2)],
-        ).collect()
-    }
-    none = dict.fromkeys(("n", "m", "sent", "kinds", "seated", "n1", "n2", "sent1", "sent2"), 0)
-    word, line = of_kind.get(WORD, none), of_kind.get(LINE, none)
-    in_order = counted.filter(F.col("kind") == WORD).select("hash", "word", F.col("sent").alias("m")).sortWithinPartitions("hash")
-    scores = _word_scores(_model(in_order, word["sent"], word["seated"], word["sent1"], word["sent2"], seed))
-    known = counted.filter(F.col("kind") == WORD).select("hash", "n", "m", "rooms").join(scores, "hash")
-    known = known.select(F.lit(WORD).alias("kind"), "hash", "n", "m", "rooms", F.col("score").cast("float"))
-    lines = counted.filter(F.col("kind") == LINE).select("kind", "hash", "n", "m", "rooms", F.lit(0.0).cast("float").alias("score"))
-    answers = asked.join(known.unionByName(lines), ["kind", "hash"]).select(
-        F.col("chunk").alias("asker"), "kind", "number", "n", "m", "rooms", "score"
-    )
-    counts = pairs.select(F.col("chunk").alias("asker"), F.lit(PAIR).alias("kind"), "number", "counts")
-    answers = answers.unionByName(counts, allowMissingColumns=True)
-    line_discount, line_strength = _discount(line["n1"], line["n2"]), 1.0
-    pair_discount = _discount(*pair)
+    bits, word_bits = max(SLICE_BITS, (n_bytes // SLICE_BYTES).bit_length()), max(WORD_BITS, (n_bytes // WORD_BYTES).bit_length())
+    width = min(64, n_bytes.bit_length() + SPARE_BITS)
+    documents = written(_chunked(texts), "chunks")
+    of_lines = documents.select("chunk", "held", "words", "lines", "line_words", "tokens", "line_numbers", "hashes", "line_hashes")
+    counted = written(_counted_words(_word_questions(documents, word_bits)), "counted")
+    members = counted.filter("chunk IS NOT NULL").select("words", "chunk", "at")
+    rows = _word_rows(counted.filter("chunk IS NULL").select("words", "hashes", "spelled", "lengths", "seen"))
+    lines = written(_counts(_word_questions(documents, word_bits, lines=True)), "lines")
+    pairs = written(_counts(_pair_questions(of_lines, lines.select("chunk", "slice", "opens"), bits, width)), "pairs")
+    word = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kinds", "total")]).first().asDict()
+    line, pair = _facts(lines), _facts(pairs)
+    line_discount, line_strength = _discount(line["once"], line["twice"]), 1.0
+    pair_discount = _discount(pair["once"], pair["twice"])
+
+    at, told = {"words": new_path(spark, "words")}, []
+    rows, strength, totals = written_at(rows, at["words"]), 10.0, {"tables": word["kinds"]}
+    top = np.full((256, 256), 1.0 / 256.0)
+    for sweep in range(BURN + SAMPLES):
+        old, at = at, {name: new_path(spark, name) for name in ("sent", "words", "asked", "answers")}
+        known = _told(pairs, _PAIRS, "counts", "opens")
+        if sweep:
+            known = known.unionByName(_told(told[-1], _WORDS_OF, "chance", "rooms"))
+        sent = written_at(_sent(of_lines, known, sweep, word_bits, width, pair_discount, seed), at["sent"])
+        if not sweep:
+            discount = _discount(*_sent_facts(sent, members))
+        asked = written_at(_asked(rows, sent, members, totals["tables"], sweep, seed, discount, strength), at["asked"])
+        seated = asked.filter("tree = -1").select("words", "tree", "n", "tables", "rooms", "seats")
+        totals = _totals(seated)
+        shared = spark.sparkContext.broadcast(top)  # 512 KB
+        answers = written_at(_answers(asked.filter("tree >= 0").select("words", "tree", "keys", "customers"), shared, sweep, seed), at["answers"])
+        rows = written_at(_spelled(rows, seated, answers.filter("words IS NOT NULL"), totals, discount, strength), at["words"])
+        top = top_sweep(_sent_up(answers), top, np.random.default_rng([seed, sweep]))
+        told.append(written(_of_words(members, rows), "told"))
+        for path in (old["words"], at["sent"], at["asked"], at["answers"]):  # nothing reads them any more
+            delete(spark, path)
+    told = told[BURN - 1 :]  # the first is only what the next sweep was seated by
+    found = _told(lines, _LINES, "counts").unionByName(_told(pairs, _PAIRS, "counts"))
+    for k, answer in enumerate(told):
+        found = found.unionByName(_told(answer, _WORDS_OF, "counts", "chance", "rooms", "seats").withColumn("sweep", F.lit(k)))
 
     out = f"id {id_type}, held_out boolean, n_tokens long, n_known long, known double, score double"
 
     def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
-        row = mine.to_pylist()[0]
-        kinds = found.column("kind").to_numpy()
-        counts = _in_order(found.filter(pa.array(kinds == PAIR)), "counts", np.int64)
-        found = found.filter(pa.array(kinds != PAIR))
-        column = {c: found.column(c).to_numpy() for c in ("kind", "number", "n", "m", "rooms", "score")}
-        own = {}
-        for kind in (WORD, LINE):
-            at = column["kind"] == kind
-            order = np.argsort(column["number"][at])
-            own[kind] = {c: column[c][at][order].astype(np.float64) for c in ("n", "m", "rooms", "score")}
-        tokens, n_words = unpacked(row["tokens"], np.int32), unpacked(row["words"], np.int64)
-        line_numbers, n_lines = unpacked(row["line_numbers"], np.int32), unpacked(row["lines"], np.int64)
-        line_words = unpacked(row["line_words"], np.int32)
-        c, log = own[WORD]["n"], own[WORD]["score"]
-        _, which, before, after = line_pairs(tokens, line_words, unpacked(row["hashes"], np.uint64))
-        room, seats = own[WORD]["rooms"][before], own[WORD]["m"][before]
-        new = (STRENGTH + pair_discount * room) * 10.0 ** log[after]
-        follows = np.log10((np.maximum(counts - pair_discount, 0.0) + new) / (STRENGTH + seats))
-        drawn = _sums(follows[which[:-1]], line_words + 1)
-        total = line_strength + line["n"]
+        row, found = mine.to_pylist()[0], found.to_pylist()
+        chunk = Read(row)
+        names, which, before, after = chunk.pairs(width)
+        counts = _in_order([f for f in found if f["what"] == _PAIRS], "counts", widened)
+        of_line = _by_number(chunk.line_hashes, [f for f in found if f["what"] == _LINES], "counts", widened)
+
+        def of_word(k: int, name: str, read) -> np.ndarray:
+            return _by_number(chunk.hashes, [f for f in found if f["what"] == _WORDS_OF and f["sweep"] == k], name, read)
+
+        c, seats = of_word(0, "counts", widened), of_word(0, "seats", widened)[before]
+        states = [(10.0 ** of_word(k, "chance", _floats), of_word(k, "rooms", widened)) for k in range(1 + SAMPLES)]
+        follows = np.zeros(len(names))
+        for k, (chance, rooms) in enumerate(states[1:]):
+            tables = _context_tables(BURN + k, names, counts, before, after, *states[k], pair_discount, seed)
+            new = (STRENGTH + pair_discount * rooms[before]) * chance[after]
+            follows += (np.maximum(counts - pair_discount * tables, 0.0) + new) / (STRENGTH + seats)
+        follows = np.log10(follows / SAMPLES)
+        drawn = _sums(follows[which[:-1]], chunk.line_words + 1)
+        total = line_strength + line["total"]
 
         def seen(numbers: np.ndarray, new: np.ndarray) -> np.ndarray:
             """log10 probability of lines that a new table would draw with 10 ** new."""
-            n, tables = own[LINE]["n"][numbers], own[LINE]["m"][numbers]
+            n = of_line[numbers]
             with np.errstate(divide="ignore"):
-                old = np.log10((n - line_discount * tables) / total)
-            return np.logaddexp(old * _TEN, (new + np.log10((line_strength + line_discount * line["m"]) / total)) * _TEN) / _TEN
+                old = np.log10((n - line_discount * (n > 0)) / total)
+            return np.logaddexp(old * _TEN, (new + np.log10((line_strength + line_discount * line["kinds"]) / total)) * _TEN) / _TEN
 
         end = seen(np.array([END]), follows[which[-1:]])[0]
         return pa.Table.from_arrays(
             [
                 _ids_in(row["ids"]),
-                pa.array(unpacked(row["held"], np.uint8).astype(bool)),
-                pa.array(n_words + 1),
-                pa.array((_sums((c[tokens] > 0).astype(float), n_words) + (c[END] > 0)).astype(np.int64)),
-                pa.array(_sums(np.log10(c + 0.1)[tokens], n_words) + np.log10(c[END] + 0.1)),
-                pa.array(_sums(seen(line_numbers, drawn), n_lines) + end),
+                pa.array(chunk.held),
+                pa.array(chunk.words + 1),
+                pa.array((_sums((c[chunk.tokens] > 0).astype(float), chunk.words) + (c[END] > 0)).astype(np.int64)),
+                pa.array(_sums(np.log10(c + 0.1)[chunk.tokens], chunk.words) + np.log10(c[END] + 0.1)),
+                pa.array(_sums(seen(chunk.line_numbers, drawn), chunk.lines) + end),
             ],
             names=["id", "held_out", "n_tokens", "n_known", "known", "score"],
         )
 
-    scored = documents.groupBy("chunk").cogroup(answers.groupBy("asker")).applyInArrow(run, out)
-    size = float(np.log10(word["n"] + 0.1 * (word["kinds"] + 1)))
+    scored = documents.drop("spelled", "lengths").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, out)
+    size = float(np.log10(word["total"] + 0.1 * (word["kinds"] + 1)))
     return scored.select(
         F.col("id").alias(id),
         "held_out",
         "n_tokens",
         "n_known",
-        F.lit(word["n"]).cast("bigint").alias("train_tokens"),
+        F.lit(word["total"]).cast("bigint").alias("train_tokens"),
         (F.col("known") - F.col("n_tokens") * F.lit(size)).alias("base_score"),
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

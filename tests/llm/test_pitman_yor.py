@@ -2,7 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newslens.llm.pitman_yor import LINE_END, Level, line_pairs, packed, score, seat, spelling_ngrams, top_sweep, tree_sweep, unpacked
+from newslens.llm.pitman_yor import (
+    LINE_END, Level, least, line_pairs, narrow, packed, risen, rising, score, seat, seat_alike, spelling_ngrams, top_sweep, tree_sweep,
+    unpacked, wide, widened,
+)
 
 
 def test_packing_is_exact():
@@ -12,6 +15,50 @@ def test_packing_is_exact():
     assert len(unpacked(packed(np.zeros(0), np.int64), np.int64)) == 0
 
 
+def test_counts_and_hashes_pack_exactly():
+    for top in (0, 255, 256, 65_536, 1 << 40):
+        x = np.array([0, 3, top])
+        assert (widened(narrow(x)) == x).all() and (wide(least(x)) == x).all()
+    for x in ([], [5], [0, 0, 1], [7, 1 << 63, (1 << 64) - 1]):
+        assert risen(rising(np.array(x, dtype=np.uint64))).tolist() == x
+    assert len(widened(narrow(np.zeros(0, dtype=np.int64)))) == len(wide(least(np.zeros(0, dtype=np.int64)))) == 0
+
+
+def test_contexts_are_seated_alike_and_like_one_by_one():
+    rng = np.random.default_rng(5)
+    names = rng.integers(0, 1 << 62, 40_000).astype(np.uint64)
+    for c, p in ((2, 0.25), (7, 0.4), (200, 0.05)):
+        c, others, p = np.full(len(names), c), np.full(len(names), 3.0), np.full(len(names), p)
+        here = seat_alike(names, c, others, p, 0.6, 1.0, 9)
+        assert (here[7:50] == seat_alike(names[7:50], c[7:50], others[7:50], p[7:50], 0.6, 1.0, 9)).all()
+        assert here.mean() == pytest.approx(seat(rng, c, others, p, 0.6, 1.0).mean(), rel=0.01)
+        assert (here >= 1).all() and (here <= c).all() and len(np.unique(here)) > 1
+    # one customer after another, in plain Python
+    mean = np.mean([plain_seating(rng, 7, 3.0, 0.4, 0.6, 1.0) for _ in range(20_000)])
+    seven = seat_alike(names, np.full(len(names), 7), np.full(len(names), 3.0), np.full(len(names), 0.4), 0.6, 1.0, 1)
+    assert seven.mean() == pytest.approx(mean, rel=0.01)
+
+
+def plain_seating(rng, customers, others, parent, discount, strength):
+    tables = 1
+    for done in range(1, customers):
+        new = (strength + discount * (others + tables)) * parent
+        tables += rng.random() < new / (new + done - discount * tables)
+    return tables
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    words = "the red fox runs over a green hill and a cat sleeps under it while rain falls".split()
+    pick = np.random.default_rng(4)
+    rows = [(i, "\n".join(" ".join(pick.choice(words, 6)) for _ in range(4)) + "\na line of all", i % 10 == 0, "") for i in range(200)]
+    one = score(table(spark, rows).coalesce(1), F.col("held")).collect()
+    many = score(table(spark, rows).repartition(20), F.col("held")).collect()
+    by = {r.doc_id: r for r in many}
+    assert len(by) == 200
+    for r in one:
+        assert r.score == pytest.approx(by[r.doc_id].score, rel=1e-4) and r.base_score == pytest.approx(by[r.doc_id].base_score)
+
+
 def test_seating_bounds_and_mean():
     rng = np.random.default_rng(1)
     c = np.array([0, 1, 2, 50, 100_000])
