@@ -278,7 +278,7 @@ class Chunk:
         spelled = [self.spelled[h] for h in kinds.tolist()]
         values = [
             name, _ids_out(self.ids), packed(np.concatenate(self.held), np.uint8), narrow(np.concatenate(self.words)),
-            narrow(np.concatenate(self.lines)), narrow(np.concatenate(self.line_words)), packed(tokens, np.int32, 6),
+            narrow(np.concatenate(self.lines)), narrow(np.concatenate(self.line_words)), packed(tokens, np.int32),
             narrow(line_numbers), kinds.tobytes(), lines.tobytes(), zlib.compress(b"".join(spelled), 1),
             narrow(np.array([len(w) for w in spelled])),
         ]
@@ -364,8 +364,10 @@ def _names() -> Iterator[int]:
 
 def _numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, frequent ones first after those of the two ends; the number of each place."""
-    unique, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    frequent = np.argsort(-count, kind="stable")
+    coded = pa.array(hashes).dictionary_encode()
+    unique, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    count = np.bincount(which, minlength=len(unique))
+    frequent = np.lexsort((unique, -count))
     rank = np.empty(len(unique), dtype=np.int64)
     rank[frequent] = np.arange(2, len(unique) + 2)
     ends = np.array([END, LINE_END], dtype=np.uint64)
