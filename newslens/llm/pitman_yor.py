@@ -17,7 +17,7 @@ A sweep reseats the customers of each kind in each restaurant one after another
 there are many), given all others and the parent's probabilities; the tables it opens are the customers
 of the parent. After ``BURN`` sweeps the predictive probabilities of words in their contexts are averaged over
 ``SAMPLES`` sweeps, and the averages give the score. Kinds of a restaurant are reseated together, against the counts of the
-sweep before.
+sweep before; in the first sweep each kind of a context has one table.
 
 How it is spread: scan tasks cut their texts into chunks, and write for each its documents' words as
 numbers inside the chunk, and its distinct words and lines. A chunk asks slices of hashes, whose number grows with the
