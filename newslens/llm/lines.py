@@ -15,8 +15,12 @@ send variants. Which hashes are shared is told to the tasks by a bit map of 2 **
 whose size does not depend on the data: a full map would only let more lines through.
 
 A line is dropped if an earlier one, by (id, place in the text), is equal or near; it does not matter whether
-that one stays. Lines are compared without the spaces at their ends; lines shorter than
-``MIN_CHARS`` code points are never dropped, and nothing is near to them.
+that one stays. Lines are compared without the spaces at their ends; a line without any other character stays.
+Equal lines are found at every length from ``min_repeat`` code points, 1 unless said otherwise. Near lines have
+``min_chars`` code points or more: one edit of a short line is another line.
+
+A line may be any share of the rows. Lines with over ``SHARE`` of the repeated rows, which are known from the counts, are
+dealt over ``DEALS`` salts where rows are told whether they stay.
 
 Defined results: null text is empty and stays as it is. A text that loses all its lines is empty. Rows
 without an id come last. Rows that agree in id and text are one document: they keep the same lines. An empty
@@ -36,9 +40,11 @@ from pyspark.sql import functions as F
 from newslens.llm.arrays import Spans, mixed, pieces, rows_of, runs, string_buffer
 from newslens.llm.common import SPACES, or_empty, written
 
-MIN_CHARS = 20
+MIN_CHARS, MIN_REPEAT = 20, 1
 PARTS = 16
 BITS = 27
+#: At most 1 / SHARE lines are dealt, each over DEALS salts.
+SHARE, DEALS = 0.001, 256
 
 _U = np.uint64
 _GAP = np.zeros(256, dtype=bool)
@@ -316,32 +322,40 @@ def _name(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(7), line).alias("h2")]
 
 
-def dropped_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_repeat: int = MIN_REPEAT
+) -> DataFrame:
     """(id, mark, places): the places of the lines that each document loses."""
     texts = _texts(docs, id, text)
     near = near_lines(texts, min_chars)
     line = F.btrim("part", F.lit(SPACES))
     each = texts.select("id", "mark", F.posexplode(F.split("text", "\n")).alias("place", "part"))
-    each = each.select("id", "mark", "place", line.alias("line")).filter(F.length("line") >= min_chars)
+    each = each.select("id", "mark", "place", line.alias("line")).filter(F.length("line") >= max(min_repeat, 1))
     each = each.select("id", "mark", "place", *_name(F.col("line")))
     firsts = each.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n"))
     near = near.select(*_name(F.col("line")), F.lit(True).alias("near"))
-    told = (
-        firsts.filter("n > 1").select("h1", "h2", "first").join(near, ["h1", "h2"], "full")
-        .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    )
+    told = firsts.filter("n > 1").join(near, ["h1", "h2"], "full")
+    told = written(told.select("h1", "h2", "first", "n", F.coalesce("near", F.lit(False)).alias("near")), "told")
+    rows = told.agg(F.sum("n")).first()[0] or 0
+    hot = [r.h1 for r in told.filter(F.col("n") > rows * SHARE).select("h1").collect()]  # at most 1 / SHARE
+    salts = F.sequence(F.lit(0), F.when(F.col("h1").isin(hot), DEALS - 1).otherwise(0))
+    dealt = F.when(F.col("h1").isin(hot), F.pmod(F.xxhash64("id", "mark", "place"), F.lit(DEALS))).otherwise(0).cast("int")
+    told = told.drop("n").withColumn("salt", F.explode(salts))
     gone = F.col("near") | (F.col("first") < _order())
     return (
-        each.join(told, ["h1", "h2"])
+        each.withColumn("salt", dealt)
+        .join(told, ["h1", "h2", "salt"])
         .filter(gone)
         .groupBy("id", "mark")
         .agg(F.collect_set("place").alias("places"))
     )
 
 
-def line_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_repeat: int = MIN_REPEAT
+) -> DataFrame:
     """The documents without their dropped lines, and ``n_lines`` and ``n_dropped``."""
-    places = dropped_lines(docs, id, text, min_chars)
+    places = dropped_lines(docs, id, text, min_chars, min_repeat)
     rows = docs.select(F.struct("*").alias("doc"), F.xxhash64(or_empty(text)).alias("mark"))
     places = places.withColumnRenamed("mark", "of")
     same = rows[f"doc.{id}"].eqNullSafe(places["id"]) & (rows["mark"] == places["of"])

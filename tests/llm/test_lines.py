@@ -4,18 +4,19 @@ from collections import defaultdict
 from newslens.llm.lines import SPACES, dropped_lines, line_dedup, one_edit
 
 
-def brute(docs, least=20):
+def brute(docs, least=20, repeat=1):
     """{id: text} without lines that equal, or are one edit from, an earlier one."""
     places = []
     for i, t in docs:
         for k, line in enumerate((t or "").split("\n")):
-            if len(line.strip(SPACES)) >= least:
+            if len(line.strip(SPACES)) >= repeat:
                 places.append((i is None, i, k, line.strip(SPACES)))
     first = {}
     for none, i, k, line in sorted(places, key=lambda p: (p[0], p[1] or 0, p[2])):
         first.setdefault(line, (none, i or 0, k))
     shorter = defaultdict(set)
-    for line in first:
+    long = [line for line in first if len(line) >= least]
+    for line in long:
         for j in range(len(line)):
             shorter[line[:j] + line[j + 1 :]].add((j, line))
 
@@ -23,16 +24,16 @@ def brute(docs, least=20):
         out = {x for _, x in shorter[line]}
         for j in range(len(line)):
             rest = line[:j] + line[j + 1 :]
-            out |= {x for k, x in shorter[rest] if k == j} | ({rest} if rest in first else set())
+            out |= {x for k, x in shorter[rest] if k == j} | ({rest} if rest in first and len(rest) >= least else set())
         return out - {line}
 
-    gone = {line for line in first if any(first[x] < first[line] for x in near(line))}
+    gone = {line for line in long if any(first[x] < first[line] for x in near(line))}
     out = {}
     for i, t in docs:
         kept = []
         for k, line in enumerate((t or "").split("\n")):
             bare = line.strip(SPACES)
-            if len(bare) < least or (bare not in gone and first[bare] == (i is None, i or 0, k)):
+            if len(bare) < repeat or (bare not in gone and first[bare] == (i is None, i or 0, k)):
                 kept.append(line)
         out[i] = t if t is None else "\n".join(kept)
     return out
@@ -68,6 +69,23 @@ def test_a_small_bit_map_only_lets_more_through(spark, monkeypatch):
     assert {r.doc_id: r.text for r in line_dedup(df).collect()} == brute(docs)
 
 
+def test_short_lines_that_repeat_go_and_near_ones_stay(spark):
+    docs = [(1, "ok\nor\n\n"), (2, "ok \nof\n\nno"), (3, "of"), (4, "short line")]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    got = {r.doc_id: r.text for r in line_dedup(df).collect()}
+    assert got == brute(docs) == {1: "ok\nor\n\n", 2: "of\n\nno", 3: "", 4: "short line"}
+    kept = {r.doc_id: r.text for r in line_dedup(df, min_repeat=3).collect()}
+    assert kept == brute(docs, repeat=3) == dict(docs)
+
+
+def test_a_line_on_most_rows_is_dealt(spark):
+    docs = [(i, f"a line that every document has\nthe own line of {i} {i * i}\nso\nso") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id int, text string").repartition(7)
+    assert {r.doc_id: r.text for r in line_dedup(df).collect()} == brute(docs)
+    # frequent lines meet by a salt
+    assert "salt" in dropped_lines(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_every_single_edit_is_found(spark):
     line = "abcdefghijklmnopqrstuvwxyz äöü 12"
     edits = {line[:k] + line[k + 1 :] for k in range(len(line))} | {line[:k] + "#" + line[k:] for k in range(len(line) + 1)}
