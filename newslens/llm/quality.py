@@ -4,7 +4,9 @@ A linear model with logistic loss minimises the non-negative unbiased risk
 ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` from trusted positives and unlabelled texts: where
 the second term turns negative on a batch, its gradient is turned back. The class prior is
 estimated first, from a plain positive-against-unlabelled model on the other half of the sample: the
-least ratio of unlabelled to positive texts above a threshold, with a margin for the sample, drawn towards ``GUESS`` by ``GUESS_TEXTS`` texts.
+least ratio of unlabelled to positive texts above a threshold, where a margin for the size of the sample is added when
+thresholds are compared, and of that ratio the lower end: the least ratio errs upwards, and a prior that is
+too high takes junk for good. Nothing is assumed of it, so from few texts it is low.
 Known negatives are never used.
 
 Features are shares of bytes and of hashed byte pairs, and measures of a text's shape: length, cases,
@@ -37,8 +39,6 @@ PAIRS = 1024
 SHAPES = 16
 WIDTH = 256 + PAIRS + SHAPES
 ROUNDS, BATCH, RATE = 40, 512, 0.02
-#: The class prior before any text was seen, and the number of texts that this counts as.
-GUESS, GUESS_TEXTS = 0.8, 300
 #: The penalty on the squared weights, divided by the number of unlabelled texts.
 PENALTY = 80.0
 
@@ -130,6 +130,19 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
+def slopes(zp: np.ndarray, zu: np.ndarray, prior: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the risk by the margins of positive and of unlabelled texts: of all of it, or, where the risk of
+    negatives is below zero, of that term alone, turned round. Without a prior those of the logistic loss."""
+    sp, su = _sigmoid(zp), _sigmoid(zu)
+    # logistic loss: log(1+exp(-z)) for +, log(1+exp(z)) for -
+    if prior is None:
+        return (sp - 1.0) / len(zp), su / len(zu)
+    negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+    if negative >= 0:
+        return prior * (sp - 1.0) / len(zp) - prior * sp / len(zp), su / len(zu)
+    return prior * sp / len(zp), -su / len(zu)
+
+
 def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, seed: int) -> tuple[np.ndarray, float]:
     """Weights by Adam; without a prior, plain logistic regression of positive against unlabelled."""
     rng = np.random.default_rng(seed)
@@ -143,15 +156,7 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, seed: int) -> tuple[
             x = p[rng.integers(0, len(p), size_p)]
             y = u[rng.integers(0, len(u), size_u)]
             zp, zu = x @ w + b, y @ w + b
-            sp, su = _sigmoid(zp), _sigmoid(zu)
-            # logistic loss: log(1+exp(-z)) for +, log(1+exp(z)) for -
-            if prior is None:
-                gp, gu = (sp - 1.0) / size_p, su / size_u
-            else:
-                negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-                turn = 1.0 if negative >= 0 else -1.0
-                gp = prior * ((sp - 1.0) if turn > 0 else 0.0) / size_p - turn * prior * sp / size_p
-                gu = turn * su / size_u
+            gp, gu = slopes(zp, zu, prior)
             grad = np.concatenate([x.T @ gp + y.T @ gu + decay * w, [gp.sum() + gu.sum()]])
             step += 1
             m = 0.9 * m + 0.1 * grad
@@ -161,15 +166,16 @@ def _fit(p: np.ndarray, u: np.ndarray, prior: float | None, seed: int) -> tuple[
     return w, b
 
 
-def class_prior(p: np.ndarray, u: np.ndarray, confidence: float = 0.1) -> float:
-    """Least ratio of the shares above a threshold, of unlabelled to positive scores."""
+def class_prior(p: np.ndarray, u: np.ndarray, confidence: float = 0.1, doubt: float = 0.25) -> float:
+    """Least ratio of the shares above a threshold, of unlabelled to positive scores, at its lower end: each share
+    is off by as much as it is with a chance of ``doubt`` at most (Hoeffding)."""
     cuts = np.unique(np.quantile(p, np.linspace(0.02, 0.98, 97)))
     qp = np.array([(p >= c).mean() for c in cuts])
     qu = np.array([(u >= c).mean() for c in cuts])
-    margin = np.sqrt(np.log(4 / confidence) / (2 * len(u))) + np.sqrt(np.log(4 / confidence) / (2 * len(p)))
+    off = lambda chance, n: np.sqrt(np.log(1 / chance) / (2 * n))
+    margin = off(confidence / 4, len(u)) + off(confidence / 4, len(p))
     best = np.argmin((qu + margin) / np.maximum(qp, 1e-9))
-    found = np.clip(qu[best] / max(qp[best], 1e-9), 0.02, 0.98)
-    return float((len(u) * found + GUESS_TEXTS * GUESS) / (len(u) + GUESS_TEXTS))
+    return float(np.clip((qu[best] - off(doubt, len(u))) / (qp[best] + off(doubt, len(p))), 0.02, 0.98))
 
 
 def train(p: np.ndarray, u: np.ndarray, seed: int = 17) -> Classifier:
@@ -180,11 +186,9 @@ def train(p: np.ndarray, u: np.ndarray, seed: int = 17) -> Classifier:
     mean = u.mean(axis=0)
     scale = u.std(axis=0) + 0.02
     p, u = (p - mean) / scale, (u - mean) / scale
-    if min(len(p), len(u)) >= 20:
-        w, b = _fit(p[::2], u[::2], None, seed)
-        prior = class_prior(_sigmoid(p[1::2] @ w + b), _sigmoid(u[1::2] @ w + b))
-    else:
-        prior = GUESS
+    # one half for the plain model, the other for the prior; a single text is both
+    w, b = _fit(p[::2], u[::2], None, seed)
+    prior = class_prior(_sigmoid(p[len(p) > 1 :: 2] @ w + b), _sigmoid(u[len(u) > 1 :: 2] @ w + b))
     w, b = _fit(p, u, prior, seed + 1)
     return Classifier(w, b, mean, scale, prior)
 
