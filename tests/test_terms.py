@@ -90,3 +90,28 @@ def test_ten_thousand_rules(spark, articles):
     assert [r.entity_counts for r in tracked.collect()] == [{"e7": 2, "e9999": 1}]
     plan = tracked._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|NestedLoop|Exchange", plan)
+
+
+def test_whole_words_are_counted_as_the_engine_counts_them(spark, articles, monkeypatch):
+    random.seed(4)
+    rules = [(w, rf"\b{w}\b", None) for w in ("abc", "ab", "soci", "x_1", "1")] + [("ab", r"\bab+\b", None), ("abc", r"\babc\b", ["soci"]), ("nl", "\\bab\\b\n", None)]
+    odd = ["é", "́", "—", "’", "‍", "ª", "漢", "²", "­", "½", "‿", " ", ".", "_", "\U0001f600", "ⓐ", "\n"]
+    texts = ["".join(random.choices(["abc", "ab", "soci", "x_1", "1", *odd, " "], k=random.randrange(1, 25))) for _ in range(300)]
+    news = articles(*[("t", t, "2025-01-01") for t in texts])
+    table = spark.createDataFrame(rules, RULE)
+    named = nl.track_mentions(news, [nl.CountRule(e, p, context=tuple(c or ())) for e, p, c in rules])
+    want = {r.link: {e: n for e, n in r.entity_counts.items() if n} for r in named.collect()}
+    assert {r.link: r.entity_counts for r in nl.track_mentions(news, table).collect()} == want
+    monkeypatch.setattr(terms.with_candidates, "__defaults__", ("candidates", 300))  # joined by word
+    assert {r.link: r.entity_counts for r in nl.track_mentions(news, table).collect()} == want
+
+
+def test_whole_words_need_no_pattern(spark, articles):
+    """No pattern is tried for words whose number is known: one text of many rules was a pass for each of them."""
+    rules = spark.range(3_000).selectExpr("concat('e', id % 2000) AS entity", r"concat('\\bterm', id, '\\b') AS pattern")
+    news = articles(("t", " ".join(f"term{k}" for k in range(3_000)) + " term5 ", "2025-01-01"))
+    rows = terms.with_candidates(news, "content", rules)
+    found = [c.hits for r in rows.select("candidates").collect() for c in r.candidates]
+    assert sorted(found) == [1] * 2_999 + [2]
+    counts = nl.track_mentions(news, rules).collect()[0].entity_counts
+    assert counts == {f"e{k}": (2 if k < 1000 else 1) + (k == 5) for k in range(2_000)}
