@@ -4,17 +4,19 @@ One pass over the pages for all sites: the Python step picks the site's rule by
 source and returns the raw pieces; fallbacks, dates, joining and filtering are expressions.
 
 The Python steps are declared nondeterministic. They are not, but otherwise a filter on their
-result is pushed below them with a second copy of the step, and every page is parsed twice.
+result is pushed below them with a second copy of the step, and every page is parsed twice. They turn an
+Arrow batch into Python strings by pieces of ``PIECE_BYTES`` of HTML, and return each piece's result before the next is read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import or_
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,10 @@ from newslens.functions.html import Found, Page, wanted
 from newslens.rules import SITE_RULES, SiteRule
 
 _PIECES = "title string, stamps array<string>, long_dates array<string>, paragraphs array<string>"
+_LISTS = ("stamps", "long_dates", "paragraphs")
+_P_TYPE = pa.struct([("title", pa.string()), *[(name, pa.list_(pa.string())) for name in _LISTS]])
+#: HTML that a Python worker has as strings at once; a longer page is alone.
+PIECE_BYTES = 1 << 20
 
 
 def _article_reader(rule: SiteRule) -> Callable[[str], dict]:
@@ -81,6 +87,26 @@ def _each(reader: Callable, rules: Sequence[SiteRule]) -> Callable:
     return one
 
 
+def _some(html: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of stretches of at most ``PIECE_BYTES``, or of one page."""
+    start, size = 0, 0
+    for at, n in enumerate(pc.binary_length(html).to_pylist()):
+        if at > start and size + (n or 0) > PIECE_BYTES:
+            yield start, at - start
+            start, size = at, 0
+        size += n or 0
+    if len(html) > start:
+        yield start, len(html) - start
+
+
+def _read(one: Callable, batches: Iterator[tuple[pa.Array, ...]], kind: pa.DataType, none) -> Iterator[pa.Array]:
+    """What ``one`` reads off each (source, html, header) of the batches, ``none`` for pages that cannot be read."""
+    for batch in batches:
+        for start, rows in _some(batch[1]):
+            some = zip(*(column.slice(start, rows).to_pylist() for column in batch))
+            yield pa.array([none if (found := one(*page)) is None else found for page in some], kind)
+
+
 def _of_rules(df: DataFrame, rules: Sequence[SiteRule]) -> DataFrame:
     return df.filter(F.col("source").isin([r.source for r in rules]) & F.col("html").isNotNull())
 
@@ -103,10 +129,9 @@ def pieces(pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> DataFram
     """
     one = _each(_article_reader, rules)
 
-    @F.pandas_udf(_PIECES)
-    def read(source: pd.Series, html: pd.Series, header: pd.Series) -> pd.DataFrame:
-        rows = [one(*page) or {} for page in zip(source, html, header)]
-        return pd.DataFrame(rows, columns=["title", "stamps", "long_dates", "paragraphs"])
+    @F.arrow_udf(_PIECES)
+    def read(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return _read(one, batches, _P_TYPE, {})
 
     read = read.asNondeterministic()
     return (
@@ -121,9 +146,9 @@ def links(listing_pages: DataFrame, rules: Sequence[SiteRule] = SITE_RULES) -> D
     """Listing pages (source, page_no, html) to their article links in page order."""
     one = _each(_link_reader, rules)
 
-    @F.pandas_udf("array<string>")
-    def read(source: pd.Series, html: pd.Series, header: pd.Series) -> pd.Series:
-        return pd.Series([one(*page) or [] for page in zip(source, html, header)], dtype=object)
+    @F.arrow_udf("array<string>")
+    def read(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return _read(one, batches, pa.list_(pa.string()), [])
 
     read = read.asNondeterministic()
     found = (

@@ -137,3 +137,24 @@ def test_page_reader_edges():
     assert [f.text(False) for f in page.found["p"]] == ["ab"]
     assert page.first("i", "p").text(False) == "ab" and page.first("i") is None
     assert Page("", wanted("p")).found == {"p": []}
+
+
+def test_a_batch_is_read_in_pieces():
+    """A worker has few pages as strings at once, however many a batch holds; long and null pages come through."""
+    import pyarrow as pa
+    from newslens.operators import extract
+
+    pages = ["x" * 20_000] * 200 + [None, "", "y" * (3 * extract.PIECE_BYTES), "z"]
+    batch = tuple(pa.array(c, pa.string()) for c in (["s"] * len(pages), pages, [None] * len(pages)))
+    assert [rows for _, rows in extract._some(batch[1])] == [52, 52, 52, 46, 1, 1]
+    read = []
+
+    def one(source, html, header):
+        read.append(html)
+        return None if html is None else [html[:1], str(len(html))]
+
+    parts = extract._read(one, iter([batch, tuple(c.slice(0, 0) for c in batch)]), pa.list_(pa.string()), [])
+    first = next(parts)
+    assert len(first) == len(read) == 52  # the others are not yet read
+    rows = first.to_pylist() + [r for part in parts for r in part.to_pylist()]
+    assert rows == [[] if p is None else [p[:1], str(len(p))] for p in pages]
