@@ -32,7 +32,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def _powers(base: int, n: int, store: dict = {}) -> np.ndarray:  # noqa: B006  kept for the worker's life
     have = store.get(base)
     if have is None or len(have) < n:
-        size = max(n, 2 * CHUNK + 2)
+        size = max(1 << (n - 1).bit_length(), 1)  # no more than twice of what is asked for
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         have = store[base] = np.cumprod(have, dtype=np.uint64)

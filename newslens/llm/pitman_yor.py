@@ -24,7 +24,7 @@ numbers inside the chunk, and its distinct words and lines. A chunk asks slices
 bytes of text, by packed arrays: of its words (64 bits; words of equal hash would be one), of its lines, and of its pairs of neighbours
 (of as many bits as the corpus needs, see ``SPARE_BITS``). A slice answers with sums over all chunks, and tells for one chunk that it
 stands for a line or pair. Pairs are counted in the one training copy of a line that stands for all. A chunk seats the pairs
-it stands for; the random numbers hang on the pair's hash, so every chunk that scores the pair finds the same tables,
+it stands for, which are written once and read in every sweep; the random numbers hang on the pair's hash, so every chunk that scores the pair finds the same tables,
 and however the input is cut, the customers are the same. The distinct words stay in their slices. Each sweep sends
 a slice's distinct n-grams to the restaurant trees, one for every last two bytes of a context: such a tree
 shares all parents down to that context, holds at most 256 ** (ORDER - 2) kinds, and needs from outside only
@@ -57,13 +57,15 @@ ORDER = 5
 DISCOUNT, STRENGTH = 0.75, 1.0
 BURN, SAMPLES = 1, 2
 #: Bytes of text that one chunk is about.
-CHUNK_BYTES = 14_000_000
+CHUNK_BYTES = 11_000_000
 #: Bytes of text whose pairs one slice of the pairs' hashes is about, and the least number of slices, in bits.
 SLICE_BYTES, SLICE_BITS = 16_000_000, 6
 #: The same for slices of words and lines.
 WORD_BYTES, WORD_BITS = 32_000_000, 3
 #: Bits of a pair's hash beyond those of the corpus's number of bytes: an unseen pair is taken for a seen one once in 2 ** SPARE_BITS.
 SPARE_BITS = 20
+#: Pairs of a chunk that are scored at once.
+SCORED = 1 << 18
 
 
 # --- seating ------------------------------------------------------------------------
@@ -243,7 +245,9 @@ class Chunk:
 
     def __init__(self):
         self.ids, self.held, self.words, self.lines, self.line_words = [], [], [], [], []
-        self.hashes, self.line_hashes, self.spelled, self.size = [], [], {}, 0
+        self.hashes, self.line_hashes, self.size = [], [], 0
+        # distinct words of each piece; the ends have no place in a text
+        self.kinds, self.spelled = [np.array([END, LINE_END], dtype=np.uint64)], [pa.array([b"", b"\n"], pa.large_binary())]
 
     def add(self, ids: pa.Array, held: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
         data = lowered(data)
@@ -266,25 +270,38 @@ class Chunk:
         self.held.append(held)
         self.size += len(data)
         unique, at = np.unique(hashes, return_index=True)
-        text = data.tobytes()
-        for value, k in zip(unique.tolist(), at.tolist()):
-            if value not in self.spelled:
-                self.spelled[value] = text[starts[k] : ends[k]]
+        self.kinds.append(unique)
+        self.spelled.append(_cut_out(data, starts[at], ends[at]))
 
     def row(self, name: int) -> pa.RecordBatch:
         kinds, tokens = _numbered(np.concatenate(self.hashes))
         lines, line_numbers = _numbered(np.concatenate(self.line_hashes))
-        self.spelled |= {END: b"", LINE_END: b"\n"}
-        spelled = [self.spelled[h] for h in kinds.tolist()]
+        unique, first = np.unique(np.concatenate(self.kinds), return_index=True)
+        spelled, at = _joined(pa.concat_arrays(self.spelled).take(pa.array(first[np.searchsorted(unique, kinds)])))
         values = [
             name, _ids_out(self.ids), packed(np.concatenate(self.held), np.uint8), narrow(np.concatenate(self.words)),
             narrow(np.concatenate(self.lines)), narrow(np.concatenate(self.line_words)), packed(tokens, np.int32),
-            narrow(line_numbers), kinds.tobytes(), lines.tobytes(), zlib.compress(b"".join(spelled), 1),
-            narrow(np.array([len(w) for w in spelled])),
+            narrow(line_numbers), kinds.tobytes(), lines.tobytes(), zlib.compress(spelled, 1),
+            narrow(np.diff(at)),
         ]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _C_TYPE)], schema=_C_TYPE)
 
 
+def _cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Parts of a buffer as a binary column."""
+    size = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    parts = data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], size)]
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(parts)])
+
+
+def _joined(column: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of a large_binary column without nulls, end to end, and where each starts."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return (data.to_pybytes()[at[0] : at[-1]] if data else b""), at - at[0]
+
+
 class Read:
     """A chunk as it was written: its documents, lines and words, and their order by hash."""
 
@@ -325,30 +342,48 @@ def line_pairs(tokens: np.ndarray, line_words: np.ndarray, hashes: np.ndarray, w
     A place is a word or the end of its line, in text order, and last the text end: a line end in the
     context of a line end, which is also the context of the first word of a line. Hashes have ``width`` bits.
     """
-    after = np.append(np.insert(tokens, np.cumsum(line_words), LINE_END), LINE_END).astype(np.uint64)
-    before = np.append(np.uint64(LINE_END), after[:-1])
+    ends = np.array([LINE_END], dtype=tokens.dtype)
+    after = np.concatenate([np.insert(tokens, np.cumsum(line_words), LINE_END), ends])
     bits, spot = len(hashes).bit_length(), len(after).bit_length()
-    key = before << np.uint64(bits) | after
+    key = np.full(len(after), LINE_END, dtype=np.uint64)
+    key[1:] = after[:-1]
+    key <<= np.uint64(bits)
+    key |= after.astype(np.uint64)
+    del after
     if 2 * bits + spot <= 64:  # the place rides along in one plain sort
-        key = np.sort(key << np.uint64(spot) | np.arange(len(key), dtype=np.uint64))
-        place, key = (key & np.uint64((1 << spot) - 1)).astype(np.int64), key >> np.uint64(spot)
+        key <<= np.uint64(spot)
+        key |= np.arange(len(key), dtype=np.uint64)
+        key.sort()
+        place = (key & np.uint64((1 << spot) - 1)).astype(np.int32)
+        key >>= np.uint64(spot)
     else:
         place = np.argsort(key, kind="stable")
         key = key[place]
     new = np.ones(len(key), dtype=bool)
     new[1:] = key[1:] != key[:-1]
     key = key[new]
-    first, second = (key >> np.uint64(bits)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.int64)
-    words = mixed(hashes + np.uint64(1))
-    found = mixed(words[first] * np.uint64(3) + words[second]) >> np.uint64(64 - width)
+    first, second = (key >> np.uint64(bits)).astype(np.int32), (key & np.uint64((1 << bits) - 1)).astype(np.int32)
+    del key
+    found = _pair_hashes(hashes, first, second, width)
     order = np.argsort(found, kind="stable")
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    which = np.empty(len(place), dtype=np.int64)
-    which[place] = rank[np.cumsum(new) - 1]
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    which = np.empty(len(place), dtype=np.int32)
+    number = np.cumsum(new, dtype=np.int32)
+    number -= 1
+    which[place] = rank[number]
     return found[order], which, first[order], second[order]
 
 
+def _pair_hashes(hashes: np.ndarray, first: np.ndarray, second: np.ndarray, width: int) -> np.ndarray:
+    """Of pairs of numbers of words with these hashes."""
+    words = mixed(hashes + np.uint64(1))
+    found = words[first]
+    found *= np.uint64(3)
+    found += words[second]
+    return mixed(found) >> np.uint64(64 - width)
+
+
 def _slices(hashes: np.ndarray, bits: int, width: int = 64) -> Iterator[tuple[int, int, int]]:
     """(slice, start, end) of the slices of ascending hashes that have some."""
     number = (hashes >> np.uint64(width - bits)).astype(np.int64)
@@ -440,9 +475,9 @@ def _word_questions(documents: DataFrame, bits: int, lines: bool = False) -> Dat
                 spelled = lengths = [None] * len(cuts)
                 if not lines:
                     words = _binary(row["spelled"], row["lengths"]).take(pa.array(order))
-                    spelled = [zlib.compress(b"".join(words.slice(a, b - a).to_pylist()), 1) for _, a, b in cuts]
-                    size = np.diff(np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1])
-                    lengths = [narrow(size[a:b]) for _, a, b in cuts]
+                    text, at = _joined(words)
+                    spelled = [zlib.compress(text[at[a] : at[b]], 1) for _, a, b in cuts]
+                    lengths = [narrow(np.diff(at[a : b + 1])) for _, a, b in cuts]
                 yield from _batches(_table(
                     _ASKED, [c for c, _, _ in cuts], [row["chunk"]] * len(cuts), [rising(hashes[a:b]) for _, a, b in cuts],
                     [narrow(n[a:b]) for _, a, b in cuts], spelled, lengths,
@@ -476,11 +511,11 @@ def _counted_words(asked: DataFrame) -> DataFrame:
     def run(key: tuple, group: pa.Table) -> pa.Table:
         kinds, index, which, cuts, (n,) = _merged(group, "n")
         words = pa.concat_arrays([_binary(s, k) for s, k in zip(group.column("spelled").to_pylist(), group.column("lengths").to_pylist())])
-        words = words.take(pa.array(index)).to_pylist()
+        text, at = _joined(words.take(pa.array(index)))
         rest = [None] * group.num_rows
         return _table(
             _COUNTED, [key[0].as_py()] * (1 + len(rest)), [None, *group.column("chunk").to_pylist()], [rising(kinds), *rest],
-            [zlib.compress(b"".join(words), 1), *rest], [narrow(np.array([len(w) for w in words])), *rest], [narrow(n), *rest],
+            [zlib.compress(text, 1), *rest], [narrow(np.diff(at)), *rest], [narrow(n), *rest],
             [None, *[rising(w.astype(np.uint64)) for w in np.split(which, cuts)]],
             [int((n > 0).sum()), *rest], [int(n.sum()), *rest],
         )
@@ -523,14 +558,18 @@ def _in_order(found: list[dict], column: str, read) -> np.ndarray:
     return np.concatenate([read(r[column]) for r in sorted(found, key=lambda r: r["slice"])])
 
 
-def _by_number(hashes: np.ndarray, found: list[dict], column: str, read) -> np.ndarray:
-    """The answers of all slices to a chunk, by its own numbers."""
+def _by_number(order: np.ndarray, found: list[dict], column: str, read) -> np.ndarray:
+    """The answers of all slices to a chunk, by its own numbers; ``order`` sorts their hashes."""
     values = _in_order(found, column, read)
     out = np.empty_like(values)
-    out[np.argsort(hashes, kind="stable")] = values
+    out[order] = values
     return out
 
 
+def _ascending(hashes: np.ndarray) -> np.ndarray:
+    return np.argsort(hashes, kind="stable")
+
+
 # --- contexts of words --------------------------------------------------------------
 
 _FOUND = "chunk long, slice long, counts binary, opens binary, chance binary, rooms binary, seats binary, sweep int, what int"
@@ -553,7 +592,7 @@ def _pair_questions(documents: DataFrame, line_answers: DataFrame, bits: int, wi
         row = mine.to_pylist()[0]
         chunk = Read(row)
         pairs, which, _, _ = chunk.pairs(width)
-        opens = _by_number(chunk.line_hashes, found.to_pylist(), "opens", lambda b: unpacked(b, np.uint8))
+        opens = _by_number(_ascending(chunk.line_hashes), found.to_pylist(), "opens", _flags)
         n = np.bincount(which, weights=chunk.opened(opens), minlength=len(pairs)).astype(np.int64)
         cuts = list(_slices(pairs, bits, width))
         none = [None] * len(cuts)
@@ -563,6 +602,26 @@ def _pair_questions(documents: DataFrame, line_answers: DataFrame, bits: int, wi
     return documents.groupBy("chunk").cogroup(line_answers.groupBy("chunk")).applyInArrow(run, _ASKED)
 
 
+_OWN = "chunk long, hashes binary, before binary, after binary, counts binary"
+
+
+def _own_pairs(documents: DataFrame, answers: DataFrame, width: int) -> DataFrame:
+    """The pairs that each chunk stands for, which it seats in every sweep: their words' numbers, ascending, and their counts."""
+
+    def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
+        row, found = mine.to_pylist()[0], found.to_pylist()
+        hashes = np.frombuffer(row["hashes"], np.uint64)
+        _, _, before, after = line_pairs(unpacked(row["tokens"], np.int32), widened(row["line_words"]), hashes, width)
+        own = np.flatnonzero(_in_order(found, "opens", _flags))
+        own = own[np.lexsort((after[own], before[own]))]
+        return _table(
+            _OWN, [row["chunk"]], [row["hashes"]], [narrow(np.diff(before[own], prepend=0))], [narrow(after[own])],
+            [narrow(_in_order(found, "counts", widened)[own])],
+        )
+
+    return documents.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, _OWN)
+
+
 def seat_alike(names: np.ndarray, customers: np.ndarray, others: np.ndarray, parent: np.ndarray,
                discount: float, strength: float, seed: int) -> np.ndarray:
     """``seat`` with random numbers that depend on the name of a kind: every chunk that holds it draws the same.
@@ -599,31 +658,43 @@ def _context_tables(sweep: int, pairs: np.ndarray, counts: np.ndarray, before: n
 _SENT = "words long, chunk long, at binary, sent binary, rooms binary, seats binary"
 
 
-def _sent(documents: DataFrame, told: DataFrame, sweep: int, bits: int, width: int, discount: float, seed: int) -> DataFrame:
-    """What the contexts of each chunk's own pairs send: tables of each word, tables and customers in its context."""
+def _sent(own: DataFrame, told: DataFrame | None, sweep: int, bits: int, width: int, discount: float, seed: int) -> DataFrame:
+    """What the contexts of each chunk's own pairs send: tables of each word, tables and customers in its context.
 
-    def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
-        row, found = mine.to_pylist()[0], found.to_pylist()
-        chunk = Read(row)
-        pairs, _, before, after = chunk.pairs(width)
-        mine = [r for r in found if r["what"] == _PAIRS]
-        counts, opens = _in_order(mine, "counts", widened), _in_order(mine, "opens", lambda b: unpacked(b, np.uint8))
-        words = [r for r in found if r["what"] == _WORDS_OF]
-        chance = rooms = None
+    ``told`` is what the sweep before made of the chunk's words; the first sweep needs nothing.
+    """
+
+    def sent(row: dict, found: list[dict]) -> pa.Table:
+        hashes = np.frombuffer(row["hashes"], np.uint64)
+        before, after, counts = np.cumsum(widened(row["before"])), widened(row["after"]), widened(row["counts"])
+        order = _ascending(hashes)
+        names = chance = rooms = None
         if sweep:
-            chance = 10.0 ** _by_number(chunk.hashes, words, "chance", _floats)
-            rooms = _by_number(chunk.hashes, words, "rooms", widened)
-        own = np.flatnonzero(opens)
-        pairs, before, after, counts = pairs[own], before[own], after[own], counts[own]
-        tables = _context_tables(sweep, pairs, counts, before, after, chance, rooms, discount, seed)
-        order = np.argsort(chunk.hashes, kind="stable")
+            names = _pair_hashes(hashes, before, after, width)
+            chance = 10.0 ** _by_number(order, found, "chance", _floats)
+            rooms = _by_number(order, found, "rooms", widened)
+        tables = _context_tables(sweep, names, counts, before, after, chance, rooms, discount, seed)
         sums = [np.bincount(x, weights=w, minlength=len(order)).astype(np.int64)[order]
                 for x, w in ((after, tables), (before, tables), (before, counts))]
-        cuts = list(_slices(chunk.hashes[order], bits))
+        cuts = list(_slices(hashes[order], bits))
         return _table(_SENT, [c for c, _, _ in cuts], [row["chunk"]] * len(cuts), [None] * len(cuts),
                       *[[narrow(x[a:b]) for _, a, b in cuts] for x in sums])
 
-    return documents.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, _SENT)
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from _batches(sent(batch.slice(k, 1).to_pylist()[0], []))
+
+    def run(key: tuple, mine: pa.Table, found: pa.Table) -> pa.Table:
+        return sent(mine.to_pylist()[0], found.to_pylist())
+
+    if told is None:
+        return own.mapInArrow(alone, _SENT)
+    return own.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, _SENT)
+
+
+def _flags(blob: bytes) -> np.ndarray:
+    return unpacked(blob, np.uint8)
 
 
 def _floats(blob: bytes) -> np.ndarray:
@@ -786,21 +857,30 @@ def _totals(seated: DataFrame) -> dict:
     return sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tables", "n")]).first().asDict()
 
 
-def _of_words(members: DataFrame, word_rows: DataFrame) -> DataFrame:
-    """What each chunk is to know of its words: (chunk, slice, counts, chance, rooms, seats)."""
-    out = "chunk long, slice long, counts binary, chance binary, rooms binary, seats binary"
+_KNOWN = "words long, sweep int, seen binary, rooms binary, seats binary, chance binary"
+
+
+def _of_words(members: DataFrame, known: DataFrame) -> DataFrame:
+    """What each chunk is to know of its words after each of the ``known`` sweeps: (chunk, slice, counts, chance, rooms, seats, sweep).
+
+    Counts and customers in the contexts are the same after every sweep; the first of the given ones tells them.
+    """
+    out = "chunk long, slice long, counts binary, chance binary, rooms binary, seats binary, sweep int"
 
     def run(key: tuple, chunks: pa.Table, words: pa.Table) -> pa.Table:
-        row = words.to_pylist()[0]
-        counts, rooms, seats = (widened(row[c]) for c in ("seen", "rooms", "seats"))
-        chance = np.frombuffer(row["chance"], np.float32)
+        number, slices = chunks.column("chunk").to_pylist(), chunks.column("words").to_pylist()
         at = [risen(a).astype(np.int64) for a in chunks.column("at").to_pylist()]
-        return _table(
-            out, chunks.column("chunk").to_pylist(), chunks.column("words").to_pylist(), [narrow(counts[k]) for k in at],
-            [chance[k].tobytes() for k in at], [narrow(rooms[k]) for k in at], [narrow(seats[k]) for k in at],
-        )
+        told = []
+        for k, row in enumerate(sorted(words.to_pylist(), key=lambda r: r["sweep"])):
+            counts, rooms, seats = (widened(row[c]) for c in ("seen", "rooms", "seats"))
+            chance, none = np.frombuffer(row["chance"], np.float32), [None] * len(at)
+            told.append(_table(
+                out, number, slices, none if k else [narrow(counts[p]) for p in at], [chance[p].tobytes() for p in at],
+                [narrow(rooms[p]) for p in at], none if k else [narrow(seats[p]) for p in at], [row["sweep"]] * len(at),
+            ))
+        return pa.concat_tables(told)
 
-    return members.groupBy("words").cogroup(word_rows.groupBy("words")).applyInArrow(run, out)
+    return members.groupBy("words").cogroup(known.groupBy("words")).applyInArrow(run, out)
 
 
 def _sent_facts(sent: DataFrame, members: DataFrame) -> tuple[int, int]:
@@ -858,6 +938,8 @@ def score(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "te
     pairs = written(_counts(_pair_questions(of_lines, lines.select("chunk", "slice", "opens"), bits, width)), "pairs")
     word = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kinds", "total")]).first().asDict()
     line, pair = _facts(lines), _facts(pairs)
+    own_path = new_path(spark, "own")
+    own = written_at(_own_pairs(documents.select("chunk", "tokens", "line_words", "hashes"), pairs.select("chunk", "slice", "counts", "opens"), width), own_path)
     line_discount, line_strength = _discount(line["once"], line["twice"]), 1.0
     pair_discount = _discount(pair["once"], pair["twice"])
 
@@ -866,10 +948,8 @@ def score(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "te
     top = np.full((256, 256), 1.0 / 256.0)
     for sweep in range(BURN + SAMPLES):
         old, at = at, {name: new_path(spark, name) for name in ("sent", "words", "asked", "answers")}
-        known = _told(pairs, _PAIRS, "counts", "opens")
-        if sweep:
-            known = known.unionByName(_told(told[-1], _WORDS_OF, "chance", "rooms"))
-        sent = written_at(_sent(of_lines, known, sweep, word_bits, width, pair_discount, seed), at["sent"])
+        known = _of_words(members, told[-1]).select("chunk", "slice", "chance", "rooms") if sweep else None
+        sent = written_at(_sent(own, known, sweep, word_bits, width, pair_discount, seed), at["sent"])
         if not sweep:
             discount = _discount(*_sent_facts(sent, members))
         asked = written_at(_asked(rows, sent, members, totals["tables"], sweep, seed, discount, strength), at["asked"])
@@ -879,13 +959,17 @@ def score(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "te
         answers = written_at(_answers(asked.filter("tree >= 0").select("words", "tree", "keys", "customers"), shared, sweep, seed), at["answers"])
         rows = written_at(_spelled(rows, seated, answers.filter("words IS NOT NULL"), totals, discount, strength), at["words"])
         top = top_sweep(_sent_up(answers), top, np.random.default_rng([seed, sweep]))
-        told.append(written(_of_words(members, rows), "told"))
+        slim = rows.withColumn("sweep", F.lit(sweep)).select(*[f.split()[0] for f in _KNOWN.split(", ")])
+        told.append(written(slim, "told"))
         for path in (old["words"], at["sent"], at["asked"], at["answers"]):  # nothing reads them any more
             delete(spark, path)
     told = told[BURN - 1 :]  # the first is only what the next sweep was seated by
+    delete(spark, own_path)
+    known = told[0]
+    for later in told[1:]:
+        known = known.unionByName(later)
     found = _told(lines, _LINES, "counts").unionByName(_told(pairs, _PAIRS, "counts"))
-    for k, answer in enumerate(told):
-        found = found.unionByName(_told(answer, _WORDS_OF, "counts", "chance", "rooms", "seats").withColumn("sweep", F.lit(k)))
+    found = found.unionByName(_told(_of_words(members, known), _WORDS_OF, "counts", "chance", "rooms", "seats", "sweep"))
 
     out = f"id {id_type}, held_out boolean, n_tokens long, n_known long, known double, score double"
 
@@ -894,19 +978,26 @@ def score(docs: DataFrame, held_out: Column, id: str = "doc_id", text: str = "te
         chunk = Read(row)
         names, which, before, after = chunk.pairs(width)
         counts = _in_order([f for f in found if f["what"] == _PAIRS], "counts", widened)
-        of_line = _by_number(chunk.line_hashes, [f for f in found if f["what"] == _LINES], "counts", widened)
+        of_line = _by_number(_ascending(chunk.line_hashes), [f for f in found if f["what"] == _LINES], "counts", widened)
+        order = _ascending(chunk.hashes)
 
         def of_word(k: int, name: str, read) -> np.ndarray:
-            return _by_number(chunk.hashes, [f for f in found if f["what"] == _WORDS_OF and f["sweep"] == k], name, read)
+            return _by_number(order, [f for f in found if f["what"] == _WORDS_OF and f["sweep"] == BURN - 1 + k], name, read)
 
-        c, seats = of_word(0, "counts", widened), of_word(0, "seats", widened)[before]
+        c, seats = of_word(0, "counts", widened), of_word(0, "seats", widened)
         states = [(10.0 ** of_word(k, "chance", _floats), of_word(k, "rooms", widened)) for k in range(1 + SAMPLES)]
+        del found
         follows = np.zeros(len(names))
-        for k, (chance, rooms) in enumerate(states[1:]):
-            tables = _context_tables(BURN + k, names, counts, before, after, *states[k], pair_discount, seed)
-            new = (STRENGTH + pair_discount * rooms[before]) * chance[after]
-            follows += (np.maximum(counts - pair_discount * tables, 0.0) + new) / (STRENGTH + seats)
-        follows = np.log10(follows / SAMPLES)
+        for start in range(0, len(names), SCORED):  # pairs do not hang on each other
+            some = slice(start, start + SCORED)
+            first, second, n = before[some], after[some], counts[some]
+            for k, (chance, rooms) in enumerate(states[1:]):
+                tables = _context_tables(BURN + k, names[some], n, first, second, *states[k], pair_discount, seed)
+                new = (STRENGTH + pair_discount * rooms[first]) * chance[second]
+                follows[some] += (np.maximum(n - pair_discount * tables, 0.0) + new) / (STRENGTH + seats[first])
+        del names, before, after, counts, states
+        follows /= SAMPLES
+        np.log10(follows, out=follows)
         drawn = _sums(follows[which[:-1]], chunk.line_words + 1)
         total = line_strength + line["total"]
 
